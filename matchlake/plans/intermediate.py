@@ -74,6 +74,11 @@ def int_teams(stg_cricket_match: DataFrame, stg_ipl_teams: DataFrame) -> DataFra
     names = (d.select(F.explode("doc.info.teams").alias("team_name"),
                       F.col("doc.info.team_type").alias("team_type"))
               .distinct())
+    return attach_team_ids(names, stg_ipl_teams)
+
+
+def attach_team_ids(names: DataFrame, stg_ipl_teams: DataFrame) -> DataFrame:
+    """Left join (team_name, team_type) rows to the team table on the name."""
     teams = stg_ipl_teams.select(F.col("team").alias("__team"), "team_id", "image_url")
     return (names.join(broadcast_if_small(teams), F.col("team_name") == F.col("__team"), "left")
                  .select("team_name", "team_type", "team_id", "image_url"))

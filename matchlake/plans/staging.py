@@ -74,12 +74,10 @@ def stg_match_innings(stg: DataFrame, default_powerplay: DataFrame, lenient: boo
                         ["file_name", "match_type", "inning_idx", "f0"])
     dlv = explode_level(ovs, "ov.deliveries", "ball_idx", "f1",
                         ["file_name", "match_type", "inning_idx", "f0", F.col("ov.over").alias("over")])
-    seed = F.broadcast(default_powerplay.select(
-        F.col("match_type").alias("seed_match_type"), "start_over", "end_over"))
     pp = F.get(F.col("f0.powerplays"), 0)
     f1 = F.col("f1")
-    rows = dlv.join(seed, F.col("match_type") == F.col("seed_match_type"), "left").select(
-        "file_name",
+    rows = dlv.select(
+        "file_name", "match_type",
         (F.col("inning_idx") + 1).cast("bigint").alias("inning_id"),
         (_cast(F.col("over"), "bigint", lenient) + 1).alias("over_number"),
         F.col("f0.team").alias("batting_team"),
@@ -93,11 +91,28 @@ def stg_match_innings(stg: DataFrame, default_powerplay: DataFrame, lenient: boo
         _cast(f1["runs"]["total"], "bigint", lenient).alias("runs_total"),
         F.get(f1["wickets"], 0)["kind"].alias("dismissal_kind"),
         F.get(f1["wickets"], 0)["player_out"].alias("out_player"),
-        F.coalesce(ceil_double(pp["from"]), F.col("start_over").cast("double")).alias("powerplays_start_over"),
-        F.coalesce(ceil_double(pp["to"]), F.col("end_over").cast("double")).alias("powerplays_end_over"),
+        pp["from"].alias("pp_from"), pp["to"].alias("pp_to"),
     )
-    in_pp = F.col("over_number").between(F.col("powerplays_start_over"), F.col("powerplays_end_over"))
-    return rows.withColumn("is_powerplay", F.when(in_pp, F.lit(1)).otherwise(F.lit(0)).cast("bigint"))
+    return with_powerplay(rows, default_powerplay).select(*INNINGS_COLUMNS)
+
+
+def with_powerplay(df: DataFrame, default_powerplay: DataFrame, match_type: str = "match_type",
+                   pp_from: str = "pp_from", pp_to: str = "pp_to",
+                   over_number: str = "over_number") -> DataFrame:
+    """Adds ``powerplays_start_over``/``powerplays_end_over`` (DOUBLE) and
+    ``is_powerplay``: the given bounds rounded up, else the seed's bounds for
+    the match type, else NULL; an over is in the powerplay when it lies
+    between both bounds (NULL bounds: not).  The seed holds a few fixed rows."""
+    seed = F.broadcast(default_powerplay.select(
+        F.col("match_type").alias("__seed_type"), "start_over", "end_over"))
+    j = df.join(seed, F.col(match_type) == F.col("__seed_type"), "left")
+    start = F.coalesce(ceil_double(pp_from), F.col("start_over").cast("double"))
+    end = F.coalesce(ceil_double(pp_to), F.col("end_over").cast("double"))
+    out = (j.withColumn("powerplays_start_over", start)
+            .withColumn("powerplays_end_over", end)
+            .drop("__seed_type", "start_over", "end_over"))
+    in_pp = F.col(over_number).between(F.col("powerplays_start_over"), F.col("powerplays_end_over"))
+    return out.withColumn("is_powerplay", F.when(in_pp, F.lit(1)).otherwise(F.lit(0)).cast("bigint"))
 
 
 def stg_ipl_teams(teams: DataFrame) -> DataFrame:
