@@ -44,6 +44,9 @@ class IngestReport:
 def write_batch(flagged: DataFrame, target: str, quarantine: str) -> IngestReport:
     """Append a flagged batch to target and quarantine.
 
+    Invalid files stay candidates on later runs (a fixed file then loads), but
+    a name already in quarantine is not quarantined twice.
+
     The batch is checkpointed to the shared folder first: both writes then read
     the same rows (one timestamp, one listing of the target taken before the
     append), and a lost executor recomputes from the checkpoint, not from the
@@ -53,6 +56,7 @@ def write_batch(flagged: DataFrame, target: str, quarantine: str) -> IngestRepor
     if batch.isEmpty():
         return IngestReport(0, 0)
     valid, invalid = split_valid(batch)
+    invalid = anti_new(invalid, loaded_keys(batch.sparkSession, quarantine), "file_name")
     valid, n_valid = observed_count(valid, "loaded")
     invalid, n_invalid = observed_count(invalid, "quarantined")
     append_parquet(valid, target)
@@ -64,6 +68,7 @@ def ingest_files(spark: SparkSession, source_root: str, target: str, quarantine:
                  name_glob: str = JSON_NAME_GLOB) -> IngestReport:
     """Land every new ``*.json`` file under ``source_root`` (recursively)."""
     ensure_table(spark, target, schemas.RAW_DOCUMENTS)
+    ensure_table(spark, quarantine, schemas.RAW_DOCUMENTS)
     files = scan_json_files(spark, source_root, name_glob)
     flagged = new_documents(files, loaded_keys(spark, target))
     return write_batch(flagged, target, quarantine)

@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.plans.ingest import new_documents, split_valid
-from matchlake.sources import append_parquet, ensure_table, loaded_keys
+from matchlake.plans.ingest import new_documents, write_batch
+from matchlake.sources import ensure_table, loaded_keys
 from matchlake.sources.files import JSON_NAME_GLOB, relative_name
 from matchlake import schemas
 
@@ -36,10 +36,7 @@ def ingest_stream(spark: SparkSession, candidates: DataFrame, target: str, quara
 
     def land(batch: DataFrame, epoch_id: int) -> None:
         flagged = new_documents(batch.dropDuplicates(["file_name"]), loaded_keys(spark, target))
-        flagged = flagged.checkpoint(eager=True)
-        valid, invalid = split_valid(flagged)
-        append_parquet(valid, target)
-        append_parquet(invalid, quarantine)
+        write_batch(flagged, target, quarantine)
 
     q = (candidates.writeStream.foreachBatch(land)
          .option("checkpointLocation", checkpoint)
