@@ -74,7 +74,12 @@ def innings_summary(int_match_innings: DataFrame, int_match_info: DataFrame,
     remaining ties.  A missing second rank gives NULL columns.
 
     The three aggregates share the (match, innings) partitioning, so their
-    joins need no further shuffle; the header joins last.
+    joins need no further shuffle; the header joins last.  Each aggregate
+    reads the deliveries itself (partial aggregation before its shuffle, so
+    a crowded innings is reduced map-side); the build materialises the
+    deliveries as Parquet, so that is three pruned column scans.  Measured
+    at sf0.1: sharing one (innings, batter, bowler) pre-aggregate was slower,
+    both checkpointed (10.0 s) and recomputed (8.1 s), than this (6.6 s).
     """
     keys = ["match_id", "inning_id"]
     base = int_match_innings.select(
