@@ -53,7 +53,8 @@ def json_array_unnest(spark: SparkSession, d: str) -> DataFrame:
 def order_documents(spark: SparkSession, d: str) -> DataFrame:
     """One match document per order: innings per return flag, overs per line
     status, deliveries per line item (positions by line number, then part,
-    supplier, price, quantity).  Groups are bounded by the lines of one order."""
+    supplier, price, quantity).  One shuffle: the lines of an order (a
+    bounded group) are collected once and nested inside the row."""
     li = table(spark, d, "lineitem")
     o = table(spark, d, "orders").select("o_orderkey", "o_orderpriority")
     is_o = F.col("l_linestatus") == "O"
@@ -79,20 +80,28 @@ def order_documents(spark: SparkSession, d: str) -> DataFrame:
             F.struct(F.lit("run out").alias("kind"),
                      F.concat(F.lit("L"), F.col("l_linenumber").cast("string")).alias("player_out"))
         )).alias("wickets"))
-    overs = li.groupBy("l_orderkey", "l_returnflag", "l_linestatus").agg(
-        F.array_sort(F.collect_list(delivery)).alias("deliveries"))
-    over = F.struct(F.col("l_linestatus").alias("seq"),
-                    F.when(F.col("l_linestatus") == "F", "0").otherwise("5").alias("over"),
-                    F.col("deliveries"))
-    innings = overs.groupBy("l_orderkey", "l_returnflag").agg(
-        F.array_sort(F.collect_list(over)).alias("overs"))
-    inning = F.struct(
-        F.col("l_returnflag").alias("seq"),
-        F.concat(F.lit("team_"), F.col("l_returnflag")).alias("team"),
-        F.when(F.col("l_returnflag") == "A",
-               F.array(F.struct(F.lit("0.1").alias("from"), F.lit("5.6").alias("to")))).alias("powerplays"),
-        F.col("overs"))
-    docs = innings.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(inning)).alias("innings"))
+    lines = li.groupBy("l_orderkey").agg(F.collect_list(F.struct(
+        F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status"), delivery.alias("d")
+    )).alias("lines"))
+
+    def distinct_sorted(arr, field):
+        return F.array_sort(F.array_distinct(F.transform(arr, lambda x: x[field])))
+
+    def overs_of(flag_value):
+        in_innings = F.filter("lines", lambda x: x["flag"] == flag_value)
+        return F.transform(distinct_sorted(in_innings, "status"), lambda st: F.struct(
+            st.alias("seq"),
+            F.when(st == "F", "0").otherwise("5").alias("over"),
+            F.array_sort(F.transform(F.filter(in_innings, lambda x: x["status"] == st),
+                                     lambda x: x["d"])).alias("deliveries")))
+
+    innings = F.transform(distinct_sorted("lines", "flag"), lambda fl: F.struct(
+        fl.alias("seq"),
+        F.concat(F.lit("team_"), fl).alias("team"),
+        F.when(fl == "A", F.array(F.struct(F.lit("0.1").alias("from"), F.lit("5.6").alias("to"))))
+         .alias("powerplays"),
+        overs_of(fl).alias("overs")))
+    docs = lines.select("l_orderkey", innings.alias("innings"))
     prio = F.col("o_orderpriority")
     match_type = (F.when(prio.isin("1-URGENT", "2-HIGH"), "T20").when(prio == "3-MEDIUM", "ODI")
                   .otherwise("Test"))
