@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from matchlake import schemas
 from matchlake.functions import is_valid_json
 from matchlake.operators import anti_new, observed_count
-from matchlake.sources import append_parquet, ensure_table, loaded_keys, scan_json_files
+from matchlake.sources import (
+    append_parquet, checkpoint_reliably, ensure_table, loaded_keys, scan_json_files,
+)
 from matchlake.sources.files import JSON_NAME_GLOB
 
 RAW_COLUMNS = [f.name for f in schemas.RAW_DOCUMENTS.fields]
@@ -52,7 +54,7 @@ def write_batch(flagged: DataFrame, target: str, quarantine: str) -> IngestRepor
     append), and a lost executor recomputes from the checkpoint, not from the
     source listing.
     """
-    batch = flagged.checkpoint(eager=True)
+    batch = checkpoint_reliably(flagged)
     if batch.isEmpty():
         return IngestReport(0, 0)
     valid, invalid = split_valid(batch)

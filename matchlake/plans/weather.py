@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from matchlake import schemas
 from matchlake.functions import hour_iso, parse_dmy_hm
 from matchlake.operators import anti_new
-from matchlake.sources import read_csv, read_latest, write_version
+from matchlake.sources import checkpoint_reliably, read_csv, read_latest, write_version
 
 OUTPUT_COLUMNS = schemas.SCHEDULE_COLUMNS + schemas.WEATHER_COLUMNS
 MEASURE_NAMES = dict(zip(schemas.HOURLY_VARIABLES, schemas.WEATHER_COLUMNS[1:]))
@@ -70,7 +70,7 @@ def run_weather_job(spark: SparkSession, schedule_csv: str, archive: DataFrame,
     except Exception:  # noqa: BLE001 - no previous version yet
         previous = spark.createDataFrame([], _previous_schema())
     all_rows, new_rows = enrich_schedule(schedule, archive, previous, as_of)
-    new_rows = new_rows.checkpoint(eager=True)
+    new_rows = checkpoint_reliably(new_rows)
     per_season = {r["season"]: r["count"] for r in new_rows.groupBy("season").count().collect()}
     if not per_season:
         return {"new": 0, "per_season": {}}

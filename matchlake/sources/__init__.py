@@ -2,7 +2,7 @@
 
 from matchlake.sources.files import scan_json_files
 from matchlake.sources.sinks import (
-    append_parquet, materialize_table, materialize_view, read_latest, write_version,
+    append_parquet, checkpoint_reliably, materialize_table, materialize_view, read_latest, write_version,
 )
 from matchlake.sources.tables import (
     Source, SourceRegistry, ensure_table, loaded_keys, path_exists, read_csv, read_seed,
@@ -10,7 +10,7 @@ from matchlake.sources.tables import (
 )
 
 __all__ = [
-    "Source", "SourceRegistry", "append_parquet", "ensure_table", "loaded_keys",
+    "Source", "SourceRegistry", "append_parquet", "checkpoint_reliably", "ensure_table", "loaded_keys",
     "materialize_table", "materialize_view", "path_exists", "read_csv", "read_latest",
     "read_seed", "read_table_or_empty", "scan_json_files", "write_version",
 ]

@@ -37,6 +37,22 @@ def materialize_view(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+def checkpoint_reliably(df: DataFrame) -> DataFrame:
+    """``df`` written to the checkpoint folder (``spark.checkpoint.dir``) with
+    its lineage cut.  The rows are cached while the checkpoint is written, so
+    the plan runs once rather than once for the action and once for the write."""
+    from pyspark import StorageLevel
+
+    from matchlake.session import shared_dir
+
+    shared_dir(df.sparkSession)            # make sure a checkpoint folder is set
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()
+
+
 def new_version() -> str:
     """Sortable version label from the UTC clock (no listing needed)."""
     return _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d%H%M%S%f")

@@ -24,12 +24,14 @@ def test_every_query_has_oracle():
     assert set(QUERIES) == set(ORACLE_SQL)
 
 
-def test_flagship_partition_invariant(spark):
-    q = QUERIES["innings_summary_analog"]
+@pytest.mark.parametrize("name", ["innings_summary_analog", "day_slot_assignment", "venue_lookup",
+                                  "order_points_table"])
+def test_partition_invariant(spark, name):
+    q = QUERIES[name]
     results = []
-    for n in ("1", "8"):
+    for n in ("1", "3", "8"):
         spark.conf.set("spark.sql.shuffle.partitions", n)
         df = q(spark, SF)
         results.append(digest(df.columns, [tuple(r) for r in df.collect()]))
     spark.conf.set("spark.sql.shuffle.partitions", "4")
-    assert results[0] == results[1]
+    assert results[0] == results[1] == results[2]

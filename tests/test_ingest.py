@@ -63,3 +63,13 @@ def test_stream_available_now_twice(spark, tmp_dir):
     ingest_stream(spark, json_file_stream(spark, root), target, quarantine, ck)
     names = sorted(r[0] for r in spark.read.parquet(target).select("file_name").collect())
     assert names == ["A B.JSON", "late.json", "pretty.json", "sub/c.json"]
+
+
+def test_stream_bounded_batches(spark, tmp_dir):
+    base = tmp_dir.replace("file:", "")
+    root = f"{base}/land"
+    landing(root)
+    ingest_stream(spark, json_file_stream(spark, root, max_files_per_trigger=2), f"{base}/raw", f"{base}/q",
+                  f"{base}/ck")
+    assert spark.read.parquet(f"{base}/raw").count() == 3
+    assert spark.read.parquet(f"{base}/q").count() == 3
