@@ -49,7 +49,7 @@ WHERE event_type <> 'signup' AND json_valid(content)
 
 @query("incremental_ingest", INGEST_SQL)
 def incremental_ingest(spark: SparkSession, d: str) -> DataFrame:
-    events = table(spark, d, "events")
+    events = table(spark, d, "events", row_heavy=True)
     loaded = event_candidates(events.where(F.col("event_type") == "signup")).select("file_name")
     flagged = ingest.new_documents(event_candidates(events), loaded)
     valid, _quarantined = ingest.split_valid(flagged)
@@ -142,7 +142,7 @@ FROM s JOIN h ON s.latitude = h.lat AND CAST(s.ts AS DATE) = h.d
 WHERE date_trunc('minute', s.ts) <= TIMESTAMP '{HOURLY_AS_OF}' AND s.value >= 10
 """)
 def hourly_lookup(spark: SparkSession, d: str) -> DataFrame:
-    events = table(spark, d, "events")
+    events = table(spark, d, "events", row_heavy=True)
     schedule = purchase_schedule(events)
     previous = schedule.where(F.col("value") < 10).select(
         *schemas.SCHEDULE_COLUMNS,

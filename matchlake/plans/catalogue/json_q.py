@@ -27,7 +27,7 @@ SELECT event_type,
 FROM events GROUP BY event_type
 """)
 def json_scalar(spark: SparkSession, d: str) -> DataFrame:
-    e = table(spark, d, "events").select(
+    e = table(spark, d, "events", row_heavy=True).select(
         "event_type", json_value_scalar("props", "$.k").cast("bigint").alias("k"))
     return e.groupBy("event_type").agg(F.sum("k").alias("sum_k"), F.count(F.lit(1)).alias("n_events"),
                                        F.count("k").alias("n_with_k"))
@@ -39,7 +39,7 @@ SELECT DISTINCT unnest([o.o_orderpriority, c.c_mktsegment]) AS team_name, o.o_or
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
 """)
 def json_array_unnest(spark: SparkSession, d: str) -> DataFrame:
-    o = table(spark, d, "orders")
+    o = table(spark, d, "orders", row_heavy=True)
     c = table(spark, d, "customer").select("c_custkey", "c_mktsegment")
     docs = o.join(broadcast_if_small(c), o["o_custkey"] == c["c_custkey"], "inner").select(
         F.to_json(F.struct(F.array("o_orderpriority", "c_mktsegment").alias("teams"),
@@ -55,7 +55,7 @@ def order_documents(spark: SparkSession, d: str) -> DataFrame:
     status, deliveries per line item (positions by line number, then part,
     supplier, price, quantity).  One shuffle: the lines of an order (a
     bounded group) are collected once and nested inside the row."""
-    li = table(spark, d, "lineitem")
+    li = table(spark, d, "lineitem", row_heavy=True)
     o = table(spark, d, "orders").select("o_orderkey", "o_orderpriority")
     is_o = F.col("l_linestatus") == "O"
     flag = F.col("l_returnflag")
@@ -168,7 +168,7 @@ WITH x AS (
 SELECT l_orderkey, l_linenumber, list_sort(json_keys(extras))[1] AS extra_type FROM x
 """)
 def json_first_key(spark: SparkSession, d: str) -> DataFrame:
-    li = table(spark, d, "lineitem")
+    li = table(spark, d, "lineitem", row_heavy=True)
     text = F.when(F.col("l_linestatus") == "O",
                   F.when(F.col("l_returnflag") == "A", '{"wides": 1}')
                    .when(F.col("l_returnflag") == "N", '{"noballs": 1, "legbyes": 1}')
@@ -185,7 +185,7 @@ SELECT event_id, event_type AS team1,
 FROM events
 """)
 def json_path_index(spark: SparkSession, d: str) -> DataFrame:
-    e = table(spark, d, "events")
+    e = table(spark, d, "events", row_heavy=True)
     user = F.concat(F.lit("u"), F.col("user_id").cast("string"))
     teams = F.when(F.col("value") > 50, F.array("event_type", user)).otherwise(F.array("event_type"))
     wickets = F.array(F.struct(F.col("event_type").alias("kind"), user.alias("player_out")),
@@ -202,7 +202,7 @@ def json_path_index(spark: SparkSession, d: str) -> DataFrame:
 # --------------------------------------------------------------------------- M1 M2 X1 X2 X10 F4 F10
 def order_header_documents(spark: SparkSession, d: str) -> DataFrame:
     """One header-only match document per order (numbers written as JSON numbers)."""
-    o = table(spark, d, "orders")
+    o = table(spark, d, "orders", row_heavy=True)
     c = table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
     j = o.join(broadcast_if_small(c), o["o_custkey"] == c["c_custkey"], "inner")
     status = F.col("o_orderstatus")

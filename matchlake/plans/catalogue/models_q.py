@@ -183,7 +183,7 @@ def schedule_enriched(spark: SparkSession, d: str) -> DataFrame:
     stadiums = c.select(F.col("c_nationkey").cast("bigint").alias("venue_id"),
                         F.col("c_acctbal").alias("latitude"), (-F.col("c_acctbal")).alias("longitude"))
     k = F.get_json_object("props", "$.k").cast("double")
-    weather = table(spark, d, "events").groupBy("user_id").agg(
+    weather = table(spark, d, "events", row_heavy=True).groupBy("user_id").agg(
         F.max("value").alias("temp_c"), F.min("value").alias("humidity_percent"),
         F.count(F.lit(1)).cast("double").alias("pressure_hpa"), F.max(k).alias("cloudcover_percent"),
         F.lit(None).cast("double").alias("rain_mm"), F.min(k).alias("wind_m_s"),

@@ -6,11 +6,11 @@ from matchlake.sources.sinks import (
 )
 from matchlake.sources.tables import (
     Source, SourceRegistry, ensure_table, loaded_keys, path_exists, read_csv, read_seed,
-    read_table_or_empty,
+    read_table_or_empty, spread,
 )
 
 __all__ = [
     "Source", "SourceRegistry", "append_parquet", "checkpoint_reliably", "ensure_table", "loaded_keys",
     "materialize_table", "materialize_view", "path_exists", "read_csv", "read_latest",
-    "read_seed", "read_table_or_empty", "scan_json_files", "write_version",
+    "read_seed", "read_table_or_empty", "scan_json_files", "spread", "write_version",
 ]

@@ -20,6 +20,23 @@ SEEDS: dict[str, T.StructType] = {
 }
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over the cluster's cores when its scan yields fewer
+    partitions than that (a file with a single row group is one task).
+
+    The partition count comes from the physical plan (no job runs).  A large
+    input already has more splits than cores and is returned unchanged, so on
+    a cluster this adds no shuffle.  Filters and column pruning still reach
+    the scan below the repartition.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    try:
+        have = df._jdf.queryExecution().executedPlan().execute().getNumPartitions()
+    except Exception:  # noqa: BLE001 - no JVM access (e.g. a remote session)
+        return df
+    return df.repartition(want) if have < want else df
+
+
 def read_seed(spark: SparkSession, name: str) -> DataFrame:
     """A seed CSV shipped with the package (a handful of fixed rows)."""
     path = os.path.join(SEED_DIR, f"{name}.csv")
