@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from matchlake import schemas
 from matchlake.functions import hour_iso, parse_dmy_hm
@@ -19,6 +20,8 @@ from matchlake.sources import checkpoint_reliably, read_csv, read_latest, write_
 OUTPUT_COLUMNS = schemas.SCHEDULE_COLUMNS + schemas.WEATHER_COLUMNS
 MEASURE_NAMES = dict(zip(schemas.HOURLY_VARIABLES, schemas.WEATHER_COLUMNS[1:]))
 PLACE_DAY = ["latitude", "longitude", "date"]
+# Columns of the enriched schedule the job writes (the weather table without view counts).
+OUTPUT_SCHEMA = T.StructType([f for f in schemas.WEATHER_INFO.fields if f.name != "total_views"])
 
 
 def now_local(tz: str = "Asia/Kolkata") -> Column:
@@ -57,7 +60,6 @@ def enrich_schedule(schedule: DataFrame, archive: DataFrame, previous: DataFrame
     return all_rows, new_rows
 
 
-PREVIOUS_SCHEMA = schemas.WEATHER_INFO
 
 
 def run_weather_job(spark: SparkSession, schedule_csv: str, archive: DataFrame, output_base: str,
@@ -66,9 +68,9 @@ def run_weather_job(spark: SparkSession, schedule_csv: str, archive: DataFrame,
     enrich, and write a new CSV version when anything new was found."""
     schedule = read_csv(spark, schedule_csv, schemas.SCHEDULE, missing="error")
     try:
-        previous = read_latest(spark, output_base, fmt="csv", schema=_previous_schema(), header="true")
+        previous = read_latest(spark, output_base, fmt="csv", schema=OUTPUT_SCHEMA, header="true")
     except Exception:  # noqa: BLE001 - no previous version yet
-        previous = spark.createDataFrame([], _previous_schema())
+        previous = spark.createDataFrame([], OUTPUT_SCHEMA)
     all_rows, new_rows = enrich_schedule(schedule, archive, previous, as_of)
     new_rows = checkpoint_reliably(new_rows)
     per_season = {r["season"]: r["count"] for r in new_rows.groupBy("season").count().collect()}
@@ -78,7 +80,3 @@ def run_weather_job(spark: SparkSession, schedule_csv: str, archive: DataFrame,
     return {"new": sum(per_season.values()), "per_season": per_season, "version": version}
 
 
-def _previous_schema():
-    from pyspark.sql import types as T
-
-    return T.StructType([f for f in schemas.WEATHER_INFO.fields if f.name != "total_views"])
