@@ -24,7 +24,7 @@ def json_file_stream(spark: SparkSession, root: str, name_glob: str = JSON_NAME_
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.text(root, wholetext=True, pathGlobFilter=name_glob, recursiveFileLookup=True)
-    return raw.select(relative_name(F.col("_metadata.file_path"), root).alias("file_name"),
+    return raw.select(relative_name(F.col("_metadata.file_path"), root, spark).alias("file_name"),
                       F.col("value").alias("content"))
 
 

@@ -73,3 +73,12 @@ def test_stream_bounded_batches(spark, tmp_dir):
                   f"{base}/ck")
     assert spark.read.parquet(f"{base}/raw").count() == 3
     assert spark.read.parquet(f"{base}/q").count() == 3
+
+
+def test_names_with_plus_percent_and_relative_root(spark, tmp_dir):
+    base = tmp_dir.replace("file:", "")
+    write(base, "land/a+b c%d.json", "{}")
+    jvm_cwd = spark.sparkContext._jvm.System.getProperty("user.dir")
+    rel = os.path.relpath(os.path.join(base, "land"), jvm_cwd)
+    got = [r["file_name"] for r in scan_json_files(spark, rel).collect()]
+    assert got == ["a+b c%d.json"]
