@@ -1,9 +1,10 @@
 """Build every model in dependency order from the sources.
 
-Staging models with several consumers (match info, deliveries) are written
-once to the shared folder and read back, so each mart plan starts from
-files instead of re-parsing the documents, and a lost executor recomputes
-from those files rather than from the raw documents.
+The documents are parsed once and stored as nested Parquet; the header,
+delivery and team models read only the nested fields they use.  Models with
+several consumers (deliveries, match info) are written once to the output
+folder and read back, so each mart plan starts from files, and a lost
+executor recomputes from those files rather than from the raw documents.
 """
 
 from __future__ import annotations
@@ -31,9 +32,11 @@ def build(spark: SparkSession, src: Sources, out_dir: str | None = None, season:
     out_dir = out_dir or scratch_dir(spark, "models")
     m: dict[str, DataFrame] = {}
     m["stg_cricket_match"] = staging.stg_cricket_match(src.cricket_match_raw)
-    m["stg_match_info"] = staging.stg_match_info(m["stg_cricket_match"])
+    # Parse every document once; the models read the nested Parquet columns they need.
+    docs = materialize_table(staging.parsed_documents(m["stg_cricket_match"]), f"{out_dir}/parsed_documents")
+    m["stg_match_info"] = staging.stg_match_info(docs)
     m["stg_match_innings"] = materialize_table(
-        staging.stg_match_innings(m["stg_cricket_match"], read_seed(spark, "default_powerplay")),
+        staging.stg_match_innings(docs, read_seed(spark, "default_powerplay")),
         f"{out_dir}/stg_match_innings")
     m["stg_ipl_teams"] = staging.stg_ipl_teams(src.ipl_teams)
     m["stg_players_info"] = staging.stg_players_info(src.players_info)
@@ -43,7 +46,7 @@ def build(spark: SparkSession, src: Sources, out_dir: str | None = None, season:
     m["int_match_info"] = materialize_table(intermediate.int_match_info(m["stg_match_info"]),
                                             f"{out_dir}/int_match_info")
     m["int_match_innings"] = intermediate.int_match_innings(m["stg_match_innings"], m["int_match_info"])
-    m["int_teams"] = intermediate.int_teams(m["stg_cricket_match"], m["stg_ipl_teams"])
+    m["int_teams"] = intermediate.int_teams(docs, m["stg_ipl_teams"])
     m["int_stadiums_info"] = materialize_table(
         intermediate.int_stadiums_info(m["stg_match_info"], m["stg_stadium_coordinates"]),
         f"{out_dir}/int_stadiums_info")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchlake.functions import parse_document, split_first
+from matchlake.functions import split_first
 from matchlake.operators import attach_dense_id, broadcast_if_small, join_null_safe, sequence_within
 
 MATCH_INFO_EXTRA = ["match_id", "matches_per_day", "flag_playoffs", "match_order",
@@ -70,7 +70,9 @@ def int_match_innings(stg_match_innings: DataFrame, int_match_info: DataFrame) -
 def int_teams(stg_cricket_match: DataFrame, stg_ipl_teams: DataFrame) -> DataFrame:
     """Distinct (team name, team type) from the documents, with the team's id
     and image; a name listed twice in the team table fans out."""
-    d = stg_cricket_match.select(parse_document("raw_file").alias("doc"))
+    from matchlake.plans.staging import parsed_documents
+
+    d = parsed_documents(stg_cricket_match)
     names = (d.select(F.explode("doc.info.teams").alias("team_name"),
                       F.col("doc.info.team_type").alias("team_type"))
               .distinct())

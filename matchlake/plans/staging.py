@@ -20,6 +20,18 @@ def stg_cricket_match(raw: DataFrame) -> DataFrame:
     return raw.select("file_name", F.col("content").alias("raw_file"), "file_upload_timestamp")
 
 
+def parsed_documents(stg: DataFrame) -> DataFrame:
+    """``(file_name, doc)``: each document parsed once with the declared schema.
+
+    The models below accept either raw documents (``raw_file`` text) or this
+    frame; the build stores it as nested Parquet so the JSON is parsed once
+    and every model reads only the nested fields it uses.
+    """
+    if "doc" in stg.columns:
+        return stg.select("file_name", "doc")
+    return stg.select("file_name", parse_document("raw_file").alias("doc"))
+
+
 def stg_match_info(stg: DataFrame, lenient: bool = False) -> DataFrame:
     """One row per document: the match header (18 columns).
 
@@ -27,7 +39,7 @@ def stg_match_info(stg: DataFrame, lenient: bool = False) -> DataFrame:
     ``margin`` reads 'no result' for any outcome without wickets or runs,
     ties included.  A bad date raises unless ``lenient``.
     """
-    d = stg.select("file_name", parse_document("raw_file").alias("doc"))
+    d = parsed_documents(stg)
     i = F.col("doc.info")
     return d.select(
         i["match_type"].alias("match_type"),
@@ -67,7 +79,7 @@ def stg_match_innings(stg: DataFrame, default_powerplay: DataFrame, lenient: boo
     alphabetically first key of ``extras``.  The seed is a fixed file of a few
     rows, so broadcasting it is always safe.
     """
-    d = stg.select("file_name", parse_document("raw_file").alias("doc"))
+    d = parsed_documents(stg)
     inn = explode_level(d, "doc.innings", "inning_idx", "f0",
                         ["file_name", F.col("doc.info.match_type").alias("match_type")])
     ovs = explode_level(inn, "f0.overs", "over_idx", "ov",

@@ -62,3 +62,15 @@ def test_sequence_within_has_no_single_partition_exchange(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("g"), "id")
     plan = plan_of(sequence_within(df, ["g"], ["id"], "rn"))
     assert "SinglePartition" not in plan and "rangepartitioning" in plan.lower()
+
+
+def test_parsed_documents_prune_nested_columns(spark, tmp_dir):
+    from matchlake.sources import materialize_table
+
+    docs = materialize_table(staging.parsed_documents(staging.stg_cricket_match(fixtures.raw_documents(spark))),
+                             f"{tmp_dir}/parsed")
+    header = staging.stg_match_info(docs)
+    plan = plan_of(header)
+    read_schema = [line for line in plan.splitlines() if "ReadSchema" in line or "FileScan" in line][0]
+    assert "info" in read_schema and "innings" not in read_schema and "deliveries" not in read_schema
+    assert header.count() == 4
