@@ -60,12 +60,22 @@ def sequence_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequen
     rows there as offset.  Only the first group of a partition can be
     continued, so the offset table has at most one row per partition and its
     broadcast is bounded by the partition count.  ``order_cols`` must make the
-    order total (end with an identifying column).
+    order total (end with an identifying column).  The range-partitioned rows
+    are checkpointed once (eagerly), so the result is consistent even when
+    the input is recomputed in a different row order.
     """
+    from matchlake.sources.sinks import checkpoint_reliably
+
     n = _partitions(df, num_partitions)
     order = [_sort(c) for c in order_cols]
-    base = (df.repartitionByRange(n, *[F.col(g).asc() for g in group_cols], *order)
-              .withColumn("__pid", F.spark_partition_id()))
+    # Range bounds come from sampling the input; two plan branches that each
+    # re-plan the exchange can sample rows in a different order and disagree
+    # on the bounds.  The partitioned rows are therefore pinned once (with
+    # their partition id) in the checkpoint folder, and both the local
+    # numbering and the offsets read that same copy.
+    base = checkpoint_reliably(
+        df.repartitionByRange(n, *[F.col(g).asc() for g in group_cols], *order)
+          .withColumn("__pid", F.spark_partition_id()))
     local = base.withColumn(
         "__local", F.row_number().over(Window.partitionBy("__pid", *group_cols).orderBy(*order)))
     # Counted from ``local`` so that both branches share one range exchange

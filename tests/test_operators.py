@@ -77,3 +77,16 @@ def test_anti_new_and_checks(spark):
     obs_df, obs = observed_count(t, "n")
     obs_df.collect()
     assert obs.get["n"] == 4
+
+
+def test_sequence_within_on_shuffled_input(spark):
+    """Input straight out of a shuffle (row order varies between reads) with a
+    hot group: numbering must still match the window exactly."""
+    base = spark.range(0, 60000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 97).cast("string")).alias("g"),
+        (F.col("id") * 7919 % 10007).alias("v"), "id")
+    shuffled = base.repartition(7).groupBy("g", "v", "id").agg(F.count(F.lit(1)).alias("n"))
+    got = sequence_within(shuffled, ["g"], ["v", "id"], "rn", num_partitions=8)
+    ref = base.withColumn("rn2", F.row_number().over(Window.partitionBy("g").orderBy("v", "id")))
+    j = got.join(ref.select("id", "rn2"), "id")
+    assert j.count() == 60000 and j.where("rn <> rn2").count() == 0
