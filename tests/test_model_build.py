@@ -14,7 +14,7 @@ def models(spark):
 
     src = Sources(fixtures.raw_documents(spark), fixtures.ipl_teams(spark), fixtures.players(spark),
                   fixtures.coordinates(spark), fixtures.weather_info(spark))
-    return build(spark, src, out_dir=scratch_dir(spark, "pipeline"))
+    return build(spark, src, out_dir=scratch_dir(spark, "model_build"))
 
 
 def rows(df, *cols):
