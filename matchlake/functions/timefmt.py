@@ -20,5 +20,7 @@ def parse_dmy_hm(date_text: Column | str, time_text: Column | str, lenient: bool
 
 
 def hour_iso(ts: Column | str) -> Column:
-    """Floor to the hour and format as ``YYYY-MM-DDTHH:00``."""
-    return F.date_format(F.date_trunc("hour", _c(ts)), "yyyy-MM-dd'T'HH:mm")
+    """Floor to the hour and format as ``YYYY-MM-DDTHH:00``.  Formats the hour
+    field directly, so a naive datetime never passes through the session's
+    time zone."""
+    return F.date_format(_c(ts), "yyyy-MM-dd'T'HH':00'")

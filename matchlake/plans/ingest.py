@@ -25,7 +25,12 @@ RAW_COLUMNS = [f.name for f in schemas.RAW_DOCUMENTS.fields]
 
 def new_documents(candidates: DataFrame, loaded: DataFrame, key: str = "file_name") -> DataFrame:
     """Candidates ``(file_name, content)`` whose name is not loaded yet, stamped
-    with one load timestamp per batch and flagged ``is_valid``."""
+    with one load timestamp per batch and flagged ``is_valid``.
+
+    Duplicate object keys are valid JSON for Python's parser, so the session
+    is told to accept them in the validity check.
+    """
+    candidates.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     return (anti_new(candidates, loaded, key)
             .withColumn("file_upload_timestamp", F.current_timestamp())
             .withColumn("is_valid", is_valid_json("content")))
