@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from matchlake import constants as C
+
 
 def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
@@ -30,9 +32,9 @@ def ceil_double(col: Column | str) -> Column:
 def margin_label(wickets: Column | str, runs: Column | str) -> Column:
     """'<n> wickets', else '<n> runs', else 'no result' (ties included)."""
     w, r = _c(wickets), _c(runs)
-    return (F.when(w.isNotNull(), F.concat(w, F.lit(" wickets")))
-            .when(r.isNotNull(), F.concat(r, F.lit(" runs")))
-            .otherwise(F.lit("no result")))
+    return (F.when(w.isNotNull(), F.concat(w, F.lit(C.WICKETS_SUFFIX)))
+            .when(r.isNotNull(), F.concat(r, F.lit(C.RUNS_SUFFIX)))
+            .otherwise(F.lit(C.NO_RESULT)))
 
 
 def flag_from_predicate(predicate: Column) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from matchlake import constants as C
 from matchlake.operators import (
     accepted_values_violations, not_null_violations, relationships_violations, unique_violations,
 )
@@ -33,8 +34,8 @@ class Check:
         return f"{self.test}__{self.model}__{self.column}"
 
 
-# Declared tests of the models (fixed values).
-ORDER_STATUSES = ("placed", "shipped", "completed", "return_pending", "returned")
+# Declared tests of the models.
+ORDER_STATUSES = C.ORDER_STATUSES
 DECLARED_CHECKS = (
     Check("customers", "customer_id", "unique"),
     Check("customers", "customer_id", "not_null"),

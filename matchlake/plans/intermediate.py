@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from matchlake.functions import split_first
 from matchlake.operators import attach_dense_id, broadcast_if_small, join_null_safe, sequence_within
+from matchlake import constants as C
 
 MATCH_INFO_EXTRA = ["match_id", "matches_per_day", "flag_playoffs", "match_order",
                     "city_cleaned", "venue_cleaned", "match_time", "venue_id"]
@@ -36,10 +37,10 @@ def day_slots(df: DataFrame, day: str = "match_date", number: str = "match_numbe
     counted = join_null_safe(df, per_day, [day], "left")
     ordered = sequence_within(counted, [day], [number, tiebreak], "match_order", num_partitions)
     n, k = F.col("matches_per_day"), F.col("match_order")
-    slot = (F.when(n == 1, "19:30")
-             .when((n == 2) & (k == 1), "15:30")
-             .when((n == 2) & (k == 2), "19:30")
-             .otherwise("19:30"))
+    slot = (F.when(n == 1, C.SLOT_SINGLE)
+             .when((n == 2) & (k == 1), C.SLOT_FIRST_OF_TWO)
+             .when((n == 2) & (k == 2), C.SLOT_SECOND_OF_TWO)
+             .otherwise(C.SLOT_OTHER))
     return ordered.withColumn("match_time", slot)
 
 
@@ -48,8 +49,8 @@ def int_match_info(stg_match_info: DataFrame, num_partitions: int | None = None)
     base_cols = stg_match_info.columns
     base = (stg_match_info
             .withColumn("match_id", split_first("filename", "."))
-            .withColumn("flag_playoffs", F.when(F.col("match_number").isNull(), "playoffs")
-                                          .otherwise("league match"))
+            .withColumn("flag_playoffs", F.when(F.col("match_number").isNull(), C.FLAG_PLAYOFFS)
+                                          .otherwise(C.FLAG_LEAGUE))
             .withColumn("city_cleaned", clean_city())
             .withColumn("venue_cleaned", clean_venue()))
     slotted = day_slots(base, num_partitions=num_partitions)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from matchlake.functions import flag_from_predicate
 from matchlake.operators import broadcast_if_small, pivot_top_n, unpivot_sides
 from matchlake.sources.sinks import checkpoint_reliably
+from matchlake import constants as C
 
 POINTS_COLUMNS = ["season", "team", "matches_played", "wins", "losses", "no_results", "points",
                   "team_id", "image_url"]
@@ -22,7 +23,7 @@ def points_table(int_match_info: DataFrame, int_teams: DataFrame) -> DataFrame:
     """
     m = (int_match_info.where(F.col("playoff_stage").isNull())
          .select("season", "match_id", "team1", "team2", "match_winner",
-                 flag_from_predicate(F.lower("margin") == "no result").alias("no_result")))
+                 flag_from_predicate(F.lower("margin") == C.NO_RESULT).alias("no_result")))
 
     def result(team: str):
         return (F.when(F.col("no_result"), "no_result")
@@ -39,7 +40,7 @@ def points_table(int_match_info: DataFrame, int_teams: DataFrame) -> DataFrame:
         F.count_if(r == "win").alias("wins"),
         F.count_if(r == "loss").alias("losses"),
         F.count_if(r == "no_result").alias("no_results"),
-        F.sum(F.when(r == "win", 2).when(r == "no_result", 1).otherwise(0)).cast("bigint").alias("points"),
+        F.sum(F.when(r == "win", C.POINTS_WIN).when(r == "no_result", C.POINTS_NO_RESULT).otherwise(C.POINTS_LOSS)).cast("bigint").alias("points"),
     )
     teams = int_teams.select(F.col("team_name").alias("team"), "team_id", "image_url")
     return (summary.join(broadcast_if_small(teams), "team", "inner")
@@ -88,7 +89,7 @@ def innings_summary(int_match_innings: DataFrame, int_match_info: DataFrame,
     base = int_match_innings.select(
         *keys, "batter", "bowler", "runs_batter", "runs_total",
         F.when(F.col("dismissal_kind").isNotNull(), 1).otherwise(0).alias("is_wicket"),
-        F.when(F.col("extra_type").isin("wides", "noballs"), 0).otherwise(1).alias("legal_ball"),
+        F.when(F.col("extra_type").isin(*C.ILLEGAL_EXTRAS), 0).otherwise(1).alias("legal_ball"),
     )
     # One scan, one shuffle: the three groupings as grouping sets (partial
     # aggregation before the shuffle), pinned once and split by grouping id.

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from matchlake.functions import ceil_double, first_key, margin_label, parse_document, regexp_group
 from matchlake.operators import explode_level
+from matchlake import constants as C
 
-LAST_NAME_PATTERN = r"^[^ ]+\s+(.*)$"
 
 
 def _cast(c, to: str, lenient: bool):
@@ -135,7 +135,7 @@ def stg_players_info(players: DataFrame) -> DataFrame:
     """Players with ``last_name`` = text after the first word (NULL for one word)."""
     cols = ["player_name", "category", "type", "age", "batting_style", "bowling_style", "team",
             "player_url", "player_img"]
-    return (players.select(*cols, regexp_group("player_name", LAST_NAME_PATTERN).alias("last_name"))
+    return (players.select(*cols, regexp_group("player_name", C.LAST_NAME_PATTERN).alias("last_name"))
                    .orderBy("player_name"))
 
 

@@ -16,6 +16,7 @@ from matchlake import schemas
 from matchlake.functions import hour_iso, parse_dmy_hm
 from matchlake.operators import anti_new
 from matchlake.sources import checkpoint_reliably, read_csv, read_latest, write_version
+from matchlake import constants as C
 
 OUTPUT_COLUMNS = schemas.SCHEDULE_COLUMNS + schemas.WEATHER_COLUMNS
 MEASURE_NAMES = dict(zip(schemas.HOURLY_VARIABLES, schemas.WEATHER_COLUMNS[1:]))
@@ -24,7 +25,7 @@ PLACE_DAY = ["latitude", "longitude", "date"]
 OUTPUT_SCHEMA = T.StructType([f for f in schemas.WEATHER_INFO.fields if f.name != "total_views"])
 
 
-def now_local(tz: str = "Asia/Kolkata") -> Column:
+def now_local(tz: str = C.SCHEDULE_TIME_ZONE) -> Column:
     """Current wall-clock time at the matches' place, as a naive datetime."""
     return F.from_utc_timestamp(F.current_timestamp(), tz).cast("timestamp_ntz")
 
