@@ -78,9 +78,9 @@ def sequence_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequen
           .withColumn("__pid", F.spark_partition_id()))
     local = base.withColumn(
         "__local", F.row_number().over(Window.partitionBy("__pid", *group_cols).orderBy(*order)))
-    # Counted from ``local`` so that both branches share one range exchange
-    # (one set of range bounds); ``local`` is already clustered by the keys.
-    counts = local.groupBy("__pid", *group_cols).agg(F.max("__local").alias("__cnt"))
+    # Rows per (partition, group), counted on the pinned copy with a partial
+    # aggregate: only the small counts cross the network.
+    counts = base.groupBy("__pid", *group_cols).agg(F.count(F.lit(1)).alias("__cnt"))
     earlier = (Window.partitionBy(*group_cols).orderBy("__pid")
                .rowsBetween(Window.unboundedPreceding, -1))
     offsets = (counts.withColumn("__before", F.sum("__cnt").over(earlier))
