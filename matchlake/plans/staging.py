@@ -80,19 +80,24 @@ def stg_match_innings(stg: DataFrame, default_powerplay: DataFrame, lenient: boo
     rows, so broadcasting it is always safe.
     """
     d = parsed_documents(stg)
+    # Each level keeps only the parent fields used later, so a delivery row
+    # never carries its whole innings or over (which would grow with the
+    # square of the innings length).
     inn = explode_level(d, "doc.innings", "inning_idx", "f0",
                         ["file_name", F.col("doc.info.match_type").alias("match_type")])
-    ovs = explode_level(inn, "f0.overs", "over_idx", "ov",
-                        ["file_name", "match_type", "inning_idx", "f0"])
-    dlv = explode_level(ovs, "ov.deliveries", "ball_idx", "f1",
-                        ["file_name", "match_type", "inning_idx", "f0", F.col("ov.over").alias("over")])
     pp = F.get(F.col("f0.powerplays"), 0)
+    inn = inn.select("file_name", "match_type", "inning_idx", F.col("f0.team").alias("batting_team"),
+                     pp["from"].alias("pp_from"), pp["to"].alias("pp_to"), F.col("f0.overs").alias("overs"))
+    parent = ["file_name", "match_type", "inning_idx", "batting_team", "pp_from", "pp_to"]
+    ovs = explode_level(inn, "overs", "over_idx", "ov", parent)
+    ovs = ovs.select(*parent, F.col("ov.over").alias("over"), F.col("ov.deliveries").alias("deliveries"))
+    dlv = explode_level(ovs, "deliveries", "ball_idx", "f1", [*parent, "over"])
     f1 = F.col("f1")
     rows = dlv.select(
         "file_name", "match_type",
         (F.col("inning_idx") + 1).cast("bigint").alias("inning_id"),
         (_cast(F.col("over"), "bigint", lenient) + 1).alias("over_number"),
-        F.col("f0.team").alias("batting_team"),
+        "batting_team",
         (F.col("ball_idx") + 1).cast("bigint").alias("ball_in_over"),
         f1["batter"].alias("batter"),
         f1["bowler"].alias("bowler"),
@@ -103,7 +108,7 @@ def stg_match_innings(stg: DataFrame, default_powerplay: DataFrame, lenient: boo
         _cast(f1["runs"]["total"], "bigint", lenient).alias("runs_total"),
         F.get(f1["wickets"], 0)["kind"].alias("dismissal_kind"),
         F.get(f1["wickets"], 0)["player_out"].alias("out_player"),
-        pp["from"].alias("pp_from"), pp["to"].alias("pp_to"),
+        "pp_from", "pp_to",
     )
     return with_powerplay(rows, default_powerplay).select(*INNINGS_COLUMNS)
 
