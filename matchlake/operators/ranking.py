@@ -50,7 +50,8 @@ def pivot_top_n(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[C
 
 
 def sequence_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Column | str],
-                    out_col: str = "rn", num_partitions: int | None = None) -> DataFrame:
+                    out_col: str = "rn", num_partitions: int | None = None,
+                    size_col: str | None = None) -> DataFrame:
     """ROW_NUMBER() OVER (PARTITION BY group_cols ORDER BY order_cols) for every
     row, without sending a whole group to one task.
 
@@ -62,10 +63,14 @@ def sequence_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequen
     broadcast is bounded by the partition count.  ``order_cols`` must make the
     order total (end with an identifying column).  The range-partitioned rows
     are checkpointed once (eagerly), so the result is consistent even when
-    the input is recomputed in a different row order.
+    the input is recomputed in a different row order.  With ``size_col``
+    each row also gets its group's row count (COUNT(*) OVER the group), summed
+    from the same per-partition counts, so the input is evaluated once.
     """
     from matchlake.sources.sinks import checkpoint_reliably
 
+    if size_col and not group_cols:
+        raise ValueError("size_col needs group columns")
     n = _partitions(df, num_partitions)
     order = [_sort(c) for c in order_cols]
     # Range bounds come from sampling the input; two plan branches that each
@@ -87,8 +92,12 @@ def sequence_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequen
                      .where(F.col("__before") > 0)
                      .drop("__cnt"))
     joined = join_null_safe(local, offsets, ["__pid", *group_cols], "left", broadcast_right=True)
-    return (joined.withColumn(out_col, (F.col("__local") + F.coalesce("__before", F.lit(0))).cast("bigint"))
-                  .drop("__pid", "__local", "__before"))
+    out = (joined.withColumn(out_col, (F.col("__local") + F.coalesce("__before", F.lit(0))).cast("bigint"))
+                 .drop("__pid", "__local", "__before"))
+    if size_col:
+        sizes = counts.groupBy(*group_cols).agg(F.sum("__cnt").cast("bigint").alias(size_col))
+        out = join_null_safe(out, sizes, list(group_cols), "left")
+    return out
 
 
 def dense_id(df: DataFrame, key: Column | str, id_col: str = "id",

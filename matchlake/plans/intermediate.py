@@ -27,15 +27,14 @@ def day_slots(df: DataFrame, day: str = "match_date", number: str = "match_numbe
               tiebreak: str = "filename", num_partitions: int | None = None) -> DataFrame:
     """Adds ``matches_per_day``, ``match_order`` and ``match_time``.
 
-    ``matches_per_day`` is a partial aggregation joined back (not a window, so
-    a crowded day does not land in one task); ``match_order`` is the
-    skew-safe row number by ``number`` (text order, NULL first) then
-    ``tiebreak``.  One match a day starts at 19:30; of two, the first at
+    ``match_order`` is the skew-safe row number by ``number`` (text order,
+    NULL first) then ``tiebreak``, and ``matches_per_day`` comes from the same
+    pass (per-partition counts summed per day), so a crowded day never lands
+    in one task and the input is read once.  One match a day starts at 19:30; of two, the first at
     15:30 and the second at 19:30; three or more all at 19:30.
     """
-    per_day = df.groupBy(day).agg(F.count(F.lit(1)).alias("matches_per_day"))
-    counted = join_null_safe(df, per_day, [day], "left")
-    ordered = sequence_within(counted, [day], [number, tiebreak], "match_order", num_partitions)
+    ordered = sequence_within(df, [day], [number, tiebreak], "match_order", num_partitions,
+                              size_col="matches_per_day")
     n, k = F.col("matches_per_day"), F.col("match_order")
     slot = (F.when(n == 1, C.SLOT_SINGLE)
              .when((n == 2) & (k == 1), C.SLOT_FIRST_OF_TWO)
