@@ -90,3 +90,14 @@ def test_sequence_within_on_shuffled_input(spark):
     ref = base.withColumn("rn2", F.row_number().over(Window.partitionBy("g").orderBy("v", "id")))
     j = got.join(ref.select("id", "rn2"), "id")
     assert j.count() == 60000 and j.where("rn <> rn2").count() == 0
+
+
+def test_sequence_within_group_sizes(spark):
+    df = spark.range(0, 3000).select(
+        F.when(F.col("id") % 2 == 0, F.lit("hot")).when(F.col("id") % 5 == 0, F.lit(None))
+         .otherwise((F.col("id") % 7).cast("string")).alias("g"), "id")
+    got = sequence_within(df, ["g"], ["id"], "rn", num_partitions=5, size_col="n")
+    ref = df.withColumn("n2", F.count(F.lit(1)).over(Window.partitionBy("g")))
+    j = got.join(ref.select("id", "n2"), "id")
+    assert j.count() == 3000 and j.where("n <> n2").count() == 0
+    assert got.where("rn > n").count() == 0
