@@ -71,16 +71,19 @@ def sequence_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequen
 
     if size_col and not group_cols:
         raise ValueError("size_col needs group columns")
-    n = _partitions(df, num_partitions)
     order = [_sort(c) for c in order_cols]
+    keys = [*[F.col(g).asc() for g in group_cols], *order]
     # Range bounds come from sampling the input; two plan branches that each
     # re-plan the exchange can sample rows in a different order and disagree
     # on the bounds.  The partitioned rows are therefore pinned once (with
     # their partition id) in the checkpoint folder, and both the local
     # numbering and the offsets read that same copy.
-    base = checkpoint_reliably(
-        df.repartitionByRange(n, *[F.col(g).asc() for g in group_cols], *order)
-          .withColumn("__pid", F.spark_partition_id()))
+    # Without an explicit count AQE may merge adjacent range partitions to fit
+    # the data; merged ranges stay in order, and the partition id is taken
+    # after the merge.
+    ranged = (df.repartitionByRange(num_partitions, *keys) if num_partitions
+              else df.repartitionByRange(*keys))
+    base = checkpoint_reliably(ranged.withColumn("__pid", F.spark_partition_id()))
     local = base.withColumn(
         "__local", F.row_number().over(Window.partitionBy("__pid", *group_cols).orderBy(*order)))
     # Rows per (partition, group), counted on the pinned copy with a partial
