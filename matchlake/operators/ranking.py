@@ -15,10 +15,6 @@ def _sort(c: Column | str) -> Column:
     return F.col(c).asc() if isinstance(c, str) else c
 
 
-def _partitions(df: DataFrame, n: int | None) -> int:
-    return n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def top_n_per_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Column | str],
                     n: int, rn_col: str = "rn") -> DataFrame:
     """Rows ranked 1..n per group (ROW_NUMBER ≤ n), rank kept as BIGINT.
