@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchlake.functions import split_first
-from matchlake.operators import attach_dense_id, broadcast_if_small, join_null_safe, sequence_within
+from matchlake.operators import attach_dense_id, broadcast_if_small, sequence_within
 from matchlake import constants as C
 
 MATCH_INFO_EXTRA = ["match_id", "matches_per_day", "flag_playoffs", "match_order",
