@@ -75,3 +75,23 @@ def test_parsed_documents_prune_nested_columns(spark, tmp_dir):
     read_schema = [line for line in plan.splitlines() if "ReadSchema" in line or "FileScan" in line][0]
     assert "info" in read_schema and "innings" not in read_schema and "deliveries" not in read_schema
     assert header.count() == 4
+
+
+def test_innings_summary_reads_deliveries_once(spark):
+    from matchlake.plans.catalogue import QUERIES
+
+    plan = plan_of(QUERIES["innings_summary_analog"](spark, "/root/testdata/sf0.001"))
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "lineitem" in line]
+    assert len(scans) == 1, scans
+
+
+def test_spread_only_when_under_split(spark, tmp_dir):
+    from matchlake.sources import spread
+
+    path = f"{tmp_dir}/many"
+    spark.range(0, 1000, numPartitions=12).write.parquet(path)
+    many = spark.read.parquet(path)
+    have = many.rdd.getNumPartitions()          # small files are packed into fewer splits
+    assert spread(many, min_partitions=have) is many                    # enough splits: unchanged
+    one = spark.read.parquet("/root/testdata/sf0.001/region.parquet")
+    assert spread(one, min_partitions=8).rdd.getNumPartitions() == 8    # single split: spread
