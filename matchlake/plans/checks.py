@@ -70,7 +70,24 @@ def run_checks(models: Mapping[str, DataFrame], checks=DECLARED_CHECKS) -> dict[
 
 
 def check_summary(spark: SparkSession, models: Mapping[str, DataFrame], checks=DECLARED_CHECKS) -> DataFrame:
-    """One row per check: name and number of failing rows (one small job per check)."""
-    rows = [(name, df.count()) for name, df in run_checks(models, checks).items()]
+    """One row per check: name and number of failing rows.
+
+    Row-level checks (not_null, accepted_values) on the same model are
+    counted in one aggregation pass; unique and relationships checks need
+    their own grouping or join, one small job each.
+    """
+    applicable = [c for c in checks if c.model in models and (c.to is None or c.to in models)]
+    row_level: dict[str, list[Check]] = {}
+    rows = []
+    for c in applicable:
+        if c.test in ("not_null", "accepted_values"):
+            row_level.setdefault(c.model, []).append(c)
+        else:
+            rows.append((c.name, failing_rows(models, c).count()))
+    for model, cs in row_level.items():
+        aggs = [F.count_if(F.col(c.column).isNull() if c.test == "not_null"
+                           else ~F.col(c.column).isin(list(c.values))).alias(c.name) for c in cs]
+        counts = models[model].agg(*aggs).first()
+        rows += [(c.name, counts[c.name]) for c in cs]
     schema = T.StructType([T.StructField("check", T.StringType()), T.StructField("failures", T.LongType())])
     return spark.createDataFrame(rows, schema).orderBy(F.col("check"))
