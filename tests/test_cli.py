@@ -45,3 +45,17 @@ def test_jobs_end_to_end(spark, tmp_dir, capsys):
     assert spark.read.parquet(f"{base}/models/points_table").count() == 7
     assert spark.read.parquet(f"{base}/models/innings_summary").count() == 2
     assert main(["check", "--raw", f"{base}/raw"]) == 0
+
+
+def test_stream_job_twice(spark, tmp_dir):
+    base = tmp_dir.replace("file:", "")
+    land = f"{base}/land"
+    os.makedirs(land)
+    for name, doc in fixtures.DOCS.items():
+        with open(f"{land}/{name}", "w") as f:
+            json.dump(doc, f)
+    args = ["stream", "--source", land, "--target", f"{base}/raw", "--quarantine", f"{base}/q",
+            "--checkpoint", f"{base}/ck", "--max-files-per-trigger", "2"]
+    assert main(args) == 0
+    assert main(args) == 0                      # nothing new: no second copy
+    assert spark.read.parquet(f"{base}/raw").count() == 4
