@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from matchlake import schemas
 from matchlake.functions import hour_iso, parse_dmy_hm
 from matchlake.operators import anti_new
-from matchlake.sources import checkpoint_reliably, read_csv, read_latest, write_version
+from matchlake.sources import checkpoint_reliably, path_exists, read_csv, read_latest, write_version
 from matchlake import constants as C
 
 OUTPUT_COLUMNS = schemas.SCHEDULE_COLUMNS + schemas.WEATHER_COLUMNS
@@ -68,9 +68,9 @@ def run_weather_job(spark: SparkSession, schedule_csv: str, archive: DataFrame,
     """Read the schedule (required) and the newest previous output (optional),
     enrich, and write a new CSV version when anything new was found."""
     schedule = read_csv(spark, schedule_csv, schemas.SCHEDULE, missing="error")
-    try:
+    if path_exists(spark, output_base):
         previous = read_latest(spark, output_base, fmt="csv", schema=OUTPUT_SCHEMA, header="true")
-    except Exception:  # noqa: BLE001 - no previous version yet
+    else:                                   # first run: no previous output yet
         previous = spark.createDataFrame([], OUTPUT_SCHEMA)
     all_rows, new_rows = enrich_schedule(schedule, archive, previous, as_of)
     new_rows = checkpoint_reliably(new_rows)
