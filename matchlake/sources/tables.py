@@ -20,8 +20,8 @@ SEEDS: dict[str, T.StructType] = {
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over the cluster's cores when its scan yields fewer
-    partitions than that (a file with a single row group is one task).
+    """Round-robin ``df`` over the cluster's cores when its scan yields at most
+    half as many partitions (a file with a single row group is one task).
 
     The partition count comes from the physical plan (no job runs).  A large
     input already has more splits than cores and is returned unchanged, so on
@@ -33,7 +33,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
         have = df._jdf.queryExecution().executedPlan().execute().getNumPartitions()
     except Exception:  # noqa: BLE001 - no JVM access (e.g. a remote session)
         return df
-    return df.repartition(want) if have < want else df
+    # Only a clearly under-split scan (at most half the cores busy) is worth a shuffle.
+    return df.repartition(want) if have * 2 <= want else df
 
 
 def read_seed(spark: SparkSession, name: str) -> DataFrame:
