@@ -13,6 +13,7 @@ from matchlake.llm.exact_dedup import exact_dedup
 from matchlake.llm.line_dedup import line_dedup
 from matchlake.llm.mixing import mix_sources
 from matchlake.llm.store import documents
+from matchlake.llm.substring_dedup import substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -37,6 +38,23 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
 
+@_query("op3_substring_dedup", r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+w AS (SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS pos, len(words) AS n FROM d),
+s AS (SELECT doc_id, pos, n, string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY pos
+             ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING) AS win FROM w),
+later AS (SELECT doc_id, pos FROM s WHERE pos + 20 <= n
+          QUALIFY row_number() OVER (PARTITION BY win ORDER BY doc_id, pos) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + 20)) AS pos FROM later),
+kept AS (SELECT w.doc_id, w.pos, w.word, gone.pos IS NOT NULL AS cut FROM w LEFT JOIN gone USING (doc_id, pos))
+SELECT doc_id, count(pos) AS n_words, count(*) FILTER (cut) AS n_removed,
+       sha256(coalesce(string_agg(word, ' ' ORDER BY pos) FILTER (NOT cut), '')) AS kept_sha256
+FROM (SELECT doc_id FROM documents) LEFT JOIN kept USING (doc_id) GROUP BY doc_id
+""")
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(documents(spark, sf_dir), digest=True)
+
+
 @_query("op4_line_dedup", r"""
 WITH l AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 p AS (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS pos FROM l),
