@@ -14,6 +14,7 @@ from matchlake.llm.line_dedup import line_dedup
 from matchlake.llm.mixing import mix_sources
 from matchlake.llm.store import documents
 from matchlake.llm.substring_dedup import substring_dedup
+from matchlake.llm.suffix_dedup import suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -38,6 +39,11 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
 
+@_query("op2_suffix_dedup")
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(documents(spark, sf_dir), digest=True)
+
+
 @_query("op3_substring_dedup", r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
 w AS (SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS pos, len(words) AS n FROM d),
