@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchlake.llm.exact_dedup import exact_dedup
+from matchlake.llm.jaccard_join import jaccard_classes
 from matchlake.llm.line_dedup import line_dedup
 from matchlake.llm.mixing import mix_sources
 from matchlake.llm.store import documents
@@ -78,6 +79,11 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+@_query("op5_jaccard_join")
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_classes(documents(spark, sf_dir))
+
+
 @_query("op8_mix_sources", r"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size,

@@ -44,3 +44,35 @@ def substring_dedup(rows, width):
             seen.add(key)
         out[d] = (len(w), sum(gone), " ".join(x for x, g in zip(w, gone) if not g))
     return out
+
+
+def jaccard_classes(rows, n=3, percent=90):
+    """{doc_id: (set size, smallest linked id)}"""
+    sets = {}
+    for d, t in rows:
+        w = WORD.findall(re.sub("[A-Z]+", lambda m: m[0].lower(), t or ""))
+        sets[d] = frozenset(tuple(w[i: i + n]) for i in range(len(w) - n + 1)) if len(w) >= n else frozenset([tuple(w)] if w else [])
+    root = {d: d for d in sets}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    by_gram, done = defaultdict(list), set()
+    for d, s in sets.items():
+        for g in s:
+            by_gram[g].append(d)
+    for members in by_gram.values():
+        for i, a in enumerate(members):
+            for b in members[:i]:
+                if (a, b) in done or find(a) == find(b):
+                    continue
+                done.add((a, b))
+                x, y = sets[a], sets[b]
+                if min(len(x), len(y)) * 100 >= percent * max(len(x), len(y)):
+                    both = len(x & y)
+                    if both * 100 >= percent * (len(x) + len(y) - both):
+                        lo, hi = sorted((find(a), find(b)))
+                        root[hi] = lo
+    return {d: (len(s), find(d)) for d, s in sets.items()}
