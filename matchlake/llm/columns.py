@@ -82,6 +82,8 @@ def byte_symbols(seed: int) -> np.ndarray:
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -90,10 +92,11 @@ def lower_ascii(raw: np.ndarray) -> np.ndarray:
     return _LOWER[raw]
 
 
-def words(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(raw: np.ndarray, offs: np.ndarray, letters: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end) byte positions of the words ``[^\\x20\\x09-\\x0D]+`` and the
-    index of the first word of each row (one more entry than rows)."""
-    inside = ~_SPACE[raw]
+    index of the first word of each row (one more entry than rows).
+    ``letters``: words are runs of A-Z, a-z and bytes beyond ASCII instead."""
+    inside = _LETTER[raw] if letters else ~_SPACE[raw]
     before = np.zeros(len(raw) + 1, bool)
     before[1:] = inside
     cut = offs[:-1][offs[:-1] < len(raw)]

@@ -16,6 +16,7 @@ from matchlake.llm.mixing import mix_sources
 from matchlake.llm.store import documents
 from matchlake.llm.substring_dedup import substring_dedup
 from matchlake.llm.suffix_dedup import suffix_dedup
+from matchlake.llm.toxicity import fit, fold, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -84,6 +85,13 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(documents(spark, sf_dir))
 
 
+@_query("op7_toxicity")
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = fit(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet"))
+    return toxicity(docs, model).select("doc_id", (fold("doc_id") == 0).alias("held_out"), "score", "predicted")
+
+
 @_query("op8_mix_sources", r"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size,
