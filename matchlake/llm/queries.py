@@ -13,6 +13,7 @@ from matchlake.llm.exact_dedup import exact_dedup
 from matchlake.llm.jaccard_join import jaccard_classes
 from matchlake.llm.line_dedup import line_dedup
 from matchlake.llm.mixing import mix_sources
+from matchlake.llm.pii import digest, find_pii
 from matchlake.llm.store import documents
 from matchlake.llm.substring_dedup import substring_dedup
 from matchlake.llm.suffix_dedup import suffix_dedup
@@ -85,6 +86,11 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(documents(spark, sf_dir))
 
 
+@_query("op6_pii")
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest(find_pii(documents(spark, sf_dir)))
+
+
 @_query("op7_toxicity")
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
