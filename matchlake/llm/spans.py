@@ -72,19 +72,18 @@ def cell_batch(ids: np.ndarray, row: np.ndarray, ckey: np.ndarray, cell: np.ndar
 def settle(cells: DataFrame, name: str, first_too: bool) -> tuple[DataFrame, DataFrame]:
     """(intervals of repeated starts known from equal cells: doc, lo, hi;
     first occurrences of the different cells that share a ckey: doc, ckey, lo,
-    hi, n_cells).  ``first_too``: the first of equal windows is repeated, too."""
+    hi).  ``cells`` is read more than once.  ``first_too``: the first of equal windows is repeated, too."""
     keyed = cells.where("ckey is not null")
-    groups = (keyed.groupBy("ckey").agg(F.count("*").alias("n"), F.min("cell").alias("a"), F.max("cell").alias("b"))
-                   .where("n > 1").select("ckey", (F.col("a") != F.col("b")).alias("mixed")))
+    groups = keyed.groupBy("ckey").agg(F.count("*").alias("n")).where("n > 1").select("ckey")
     shared = stored(keyed.join(groups, "ckey"), f"{name}-shared")
-    whole = (shared.groupBy("ckey", "cell")
-                   .agg(F.count("*").alias("n"), F.min(F.struct("doc", "lo", "hi")).alias("first"),
-                        F.first("mixed").alias("mixed")))
-    equal = (shared.join(whole.where("n > 1").select("ckey", "cell", "first"), ["ckey", "cell"]))
+    whole = stored(shared.groupBy("ckey", "cell").agg(F.count("*").alias("n"), F.min(F.struct("doc", "lo", "hi")).alias("first")),
+                   f"{name}-whole")
+    mixed = whole.groupBy("ckey").agg(F.count("*").alias("k")).where("k > 1").select("ckey")
+    equal = shared.join(whole.where("n > 1").select("ckey", "cell", "first"), ["ckey", "cell"])
     if not first_too:
         equal = equal.where((F.col("doc") != F.col("first.doc")) | (F.col("lo") != F.col("first.lo")))
     known = equal.select("doc", "lo", "hi").unionByName(cells.where("ckey is null").select("doc", "lo", "hi"))
-    return known, whole.where("mixed").select("first.doc", "ckey", "first.lo", "first.hi")
+    return known, whole.join(mixed, "ckey").select("first.doc", "ckey", "first.lo", "first.hi")
 
 
 def per_document(intervals: DataFrame, *cols: str) -> DataFrame:

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from matchlake.session import scratch_dir
 
+#: Written tables up to this many bytes on disk may be broadcast instead of shuffling texts.
+SMALL = 8 << 20
+
 
 def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """``df`` written once under ``spark.checkpoint.dir`` and read back.

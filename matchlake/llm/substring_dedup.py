@@ -26,10 +26,11 @@ from pyspark.sql import functions as F
 
 from matchlake.llm.columns import Rolling, mix, slices, word_hashes, words
 from matchlake.llm.spans import (CELLS, NULL_ID, cell_batch, covered, doc_key, items_of, per_document, settle)
-from matchlake.llm.store import stored, text_of
+from matchlake.llm.store import SMALL, stored, text_of
+from matchlake.operators.joins import broadcast_if_small
 
 WIDTH = 20
-ROUNDS = 3
+ROUNDS = 2
 
 
 def recompress(names: np.ndarray, roll: Rolling, edges: np.ndarray, rounds: int) -> tuple[np.ndarray, ...]:
@@ -197,9 +198,10 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     gives an empty result.
     """
     rows = docs.select(doc_key(id_col), text_of(text_col).alias("text"))
-    cells = stored(rows.mapInArrow(_cells(width, rounds), CELLS), "substring-cells")
+    cells = rows.mapInArrow(_cells(width, rounds), CELLS)     # cheaper to make again than to store
     known, mixed = settle(cells, "substring", first_too=False)
-    work = rows.join(per_document(mixed, "ckey", "lo", "hi"), "doc").select("doc", "text", "items")
+    mixed = stored(per_document(mixed, "ckey", "lo", "hi"), "substring-mixed")
+    work = rows.join(broadcast_if_small(mixed, SMALL), "doc").select("doc", "text", "items")
     single = stored(work.mapInArrow(_single_windows(width), "ckey long, w long, doc long, lo int"), "substring-windows")
     first = (single.groupBy("ckey", "w").agg(F.min(F.struct("doc", "lo")).alias("first"), F.max(F.struct("doc", "lo")).alias("last"))
                    .where("first != last").select("ckey", "w", "first"))
