@@ -232,3 +232,17 @@ def _join_candidates(grams: DataFrame, percent: int) -> DataFrame:
     done = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = _linked(stored(pairs.join(done, ["a", "b"], "left_anti"), "jaccard-second"), cut, percent)
     return stored(components(links.unionByName(more), "jaccard-second"), "jaccard-components")
+
+
+def one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` whose identifier is the smallest of its component,
+    all columns kept.  Of rows that repeat an identifier and text one stays;
+    rows without an identifier, which nothing can name, stay."""
+    classes = jaccard_classes(docs, id_col, text_col, **options)
+    gone = stored(classes.where("doc_id != component_id").select("doc_id").distinct(), "jaccard-gone")
+    twice = docs.groupBy(F.col(id_col).alias("twice")).agg(F.count("*").alias("n")).where("n > 1 and twice is not null")
+    twice = stored(twice.select("twice"), "jaccard-twice")
+    kept = docs.join(gone.select(F.col("doc_id").alias(id_col)), id_col, "left_anti").select(docs.columns)
+    own = F.col(id_col) == F.col("twice")
+    single = kept.join(broadcast_if_small(twice), own, "left_anti")
+    return single.unionByName(kept.join(broadcast_if_small(twice), own, "left_semi").dropDuplicates([id_col, text_col]))

@@ -132,3 +132,14 @@ def _ranked(rows: DataFrame, plan: DataFrame, seed: str) -> DataFrame:
     rows = rows.withColumn("q", F.when((F.col("p") > 0) & (F.col("size") > 0), q))
     # q / (1 + q) is in (0, 1) and near 1/2 where the sample ends
     return rows.withColumn("bin", F.floor(F.col("q") / (1 + F.col("q")) * BINS).cast("int"))
+
+
+def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The mix itself: the rows of ``docs``, all columns kept whatever their
+    names, each as often as it is taken."""
+    names = docs.columns
+    own = [f"c{k}" for k in range(len(names))]
+    where = {n: own[names.index(n)] for n in (id_col, text_col, source_col)}
+    out = mix_sources(docs.toDF(*own), where[id_col], where[text_col], where[source_col], keep=tuple(own), **options)
+    out = out.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return out.select(*own).toDF(*names)

@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from matchlake.llm.decontaminate import contaminated
 from matchlake.llm.exact_dedup import exact_dedup
 from matchlake.llm.jaccard_join import jaccard_classes
 from matchlake.llm.line_dedup import line_dedup
@@ -17,6 +18,7 @@ from matchlake.llm.pii import digest, find_pii
 from matchlake.llm.store import documents
 from matchlake.llm.substring_dedup import substring_dedup
 from matchlake.llm.suffix_dedup import suffix_dedup
+from matchlake.llm.token_output import write_tokens
 from matchlake.llm.toxicity import fit, fold, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +130,13 @@ FROM c
 """)
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@_query("op9_token_output")
+def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return write_tokens(documents(spark, sf_dir))
+
+
+@_query("op10_decontaminate")
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet"))

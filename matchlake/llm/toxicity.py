@@ -289,8 +289,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return model
 
 
-_OUT = pa.schema([("score", pa.float64()),
-                  ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
+_SCORED = "score double, spans array<struct<start:long,end:long>>"
 
 
 def _score(model: Model, at_text: int, least: float):
@@ -323,5 +322,16 @@ def toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    out = rows.mapInArrow(_score(model, 1, least), f"doc_id {id_type}, score double, spans array<struct<start:long,end:long>>")
+    out = rows.mapInArrow(_score(model, 1, least), f"doc_id {id_type}, {_SCORED}")
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def reject_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score below 0.5, all columns kept whatever
+    their names; null texts count as empty."""
+    names = docs.columns
+    rows = docs.toDF(*[f"c{k}" for k in range(len(names))])
+    rows = rows.withColumn("read", text_of(f"c{names.index(text_col)}"))
+    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in rows.drop("read").schema] + [_SCORED])
+    kept = rows.mapInArrow(_score(model, len(names), 0.5), schema).where("score < 0.5")
+    return kept.drop("score", "spans").toDF(*names)
