@@ -13,13 +13,17 @@ from pyspark.sql import types as T
 from matchlake.schemas import MATCH_DOCUMENT
 
 
+#: Parser limits beyond any document, so that none is lost for its size or shape.
+_NO_LIMITS = {"maxStringLen": str(2**31 - 1), "maxNestingDepth": str(2**31 - 1), "maxNumLen": str(2**31 - 1)}
+
+
 def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
 def parse_document(text: Column | str, schema: T.DataType = MATCH_DOCUMENT) -> Column:
     """Parse JSON text once into a typed struct; malformed text gives NULL."""
-    return F.from_json(_c(text), schema)
+    return F.from_json(_c(text), schema, _NO_LIMITS)
 
 
 def json_value_scalar(text: Column | str, path: str) -> Column:
@@ -47,15 +51,15 @@ def first_key(obj: Column | str) -> Column:
 
 def is_valid_json(text: Column | str) -> Column:
     """True when the whole text is one JSON value, as Python's ``json.loads``
-    would accept it; never NULL.
+    would accept it (``NaN`` and the like aside); never NULL.
 
-    ``try_parse_json`` alone accepts trailing garbage (``{"a":1} x``).  The text
-    is therefore embedded before a sentinel member, which only survives when
-    the value ends exactly where the text ends, and additionally inside an
-    array, which rejects bare member lists such as ``1,"b":2``.
+    The text is embedded before a sentinel member, which is only read when the
+    value ends exactly where the text ends, and again inside an array, which
+    rejects bare member lists such as ``1,"b":2``.  Only the sentinel is kept,
+    so no parse tree is built and no size or depth is too large.
     """
     t = _c(text)
-    wrapped = F.try_parse_json(F.concat(F.lit('{"d":'), t, F.lit(',"__end":1}')))
-    sentinel = F.try_variant_get(wrapped, "$.__end", "int")
-    as_array = F.try_parse_json(F.concat(F.lit("["), t, F.lit("]")))
-    return F.coalesce((sentinel == 1) & as_array.isNotNull(), F.lit(False))
+    options = _NO_LIMITS | {"allowSingleQuotes": "false"}
+    whole = [F.from_json(F.concat(F.lit(a), t, F.lit(b)), "__end int", options)["__end"] == 1
+             for a, b in (('{"d":', ',"__end":1}'), ('{"d":[', '],"__end":1}'))]
+    return F.coalesce(whole[0] & whole[1], F.lit(False))

@@ -14,24 +14,21 @@ from matchlake.sources import materialize_table
 
 # --------------------------------------------------------------------------- M17
 @query("customer_order_summary", """
-WITH so AS (
-  SELECT o_orderkey AS order_id, o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS order_date
-  FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'),
-co AS (
-  SELECT customer_id, MIN(order_date) AS first_order_date, MAX(order_date) AS most_recent_order_date,
-         COUNT(order_id) AS number_of_orders
-  FROM so GROUP BY 1)
-SELECT c.c_custkey AS customer_id, c.c_name AS first_name, c.c_mktsegment AS last_name,
-       co.first_order_date, co.most_recent_order_date,
-       COALESCE(co.number_of_orders, 0) AS number_of_orders
-FROM customer c LEFT JOIN co ON c.c_custkey = co.customer_id
+SELECT p.customer_id, p.first_name, p.last_name, min(o.o_orderdate)::DATE AS first_order_date,
+       max(o.o_orderdate)::DATE AS most_recent_order_date, count(o.o_orderkey) AS number_of_orders
+FROM (SELECT c_custkey AS customer_id, c_name AS first_name, c_mktsegment AS last_name FROM customer
+      UNION ALL SELECT 1000000000 + s_suppkey, s_name, 'supplier' FROM supplier) p
+LEFT JOIN orders o ON o.o_custkey = p.customer_id
+GROUP BY ALL
 """)
 def customer_order_summary(spark: SparkSession, d: str) -> DataFrame:
+    # suppliers stand in for customers without orders
     cust = table(spark, d, "customer").select(
         F.col("c_custkey").alias("id"), F.col("c_name").alias("first_name"),
-        F.col("c_mktsegment").alias("last_name"))
+        F.col("c_mktsegment").alias("last_name")).unionByName(
+        table(spark, d, "supplier").select((F.col("s_suppkey") + 1000000000).alias("id"), F.col("s_name").alias("first_name"),
+                                           F.lit("supplier").alias("last_name")))
     orders = (table(spark, d, "orders")
-              .where((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT"))
               .select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("user_id"),
                       F.col("o_orderdate").cast("date").alias("order_date"),
                       F.col("o_orderstatus").alias("status")))
@@ -70,42 +67,21 @@ def team_names(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("order_points_table", """
-WITH m AS (
-  SELECT CAST(year(o.o_orderdate) AS VARCHAR) AS season, o.o_orderkey AS match_id,
-         c.c_mktsegment AS team1, o.o_orderpriority AS team2,
-         CASE o.o_orderstatus WHEN 'F' THEN c.c_mktsegment WHEN 'O' THEN o.o_orderpriority END AS match_winner,
-         CASE WHEN o.o_orderstatus = 'P' THEN 'No Result' ELSE '10 runs' END AS margin,
-         CASE WHEN o.o_totalprice >= 490000 THEN 'Final' END AS playoff_stage
-  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
-mm AS (
-  SELECT season, match_id, team1, team2, match_winner,
-         COALESCE(lower(margin) = 'no result', false) AS no_result
-  FROM m WHERE playoff_stage IS NULL),
-tm AS (
-  SELECT season, team1 AS team,
-         CASE WHEN no_result THEN 'no_result' WHEN match_winner = team1 THEN 'win' ELSE 'loss' END AS result
-  FROM mm
-  UNION ALL
-  SELECT season, team2 AS team,
-         CASE WHEN no_result THEN 'no_result' WHEN match_winner = team2 THEN 'win' ELSE 'loss' END AS result
-  FROM mm),
-s AS (
-  SELECT season, team, COUNT(*) AS matches_played,
-         CAST(SUM(CASE WHEN result = 'win' THEN 1 ELSE 0 END) AS BIGINT) AS wins,
-         CAST(SUM(CASE WHEN result = 'loss' THEN 1 ELSE 0 END) AS BIGINT) AS losses,
-         CAST(SUM(CASE WHEN result = 'no_result' THEN 1 ELSE 0 END) AS BIGINT) AS no_results,
-         CAST(SUM(CASE WHEN result = 'win' THEN 2 WHEN result = 'no_result' THEN 1 ELSE 0 END) AS BIGINT) AS points
-  FROM tm GROUP BY season, team),
-names AS (
-  SELECT DISTINCT c_mktsegment AS team_name, 'segment' AS team_type FROM customer
-  UNION ALL
-  SELECT DISTINCT o_orderpriority AS team_name, 'priority' AS team_type FROM orders),
-teams AS (
-  SELECT team_name, team_type, CAST(dense_rank() OVER (ORDER BY team_name) AS BIGINT) AS team_id,
-         'img/' || lower(team_name) AS image_url
-  FROM names)
-SELECT s.season, s.team, s.matches_played, s.wins, s.losses, s.no_results, s.points, t.team_id, t.image_url
-FROM s JOIN teams t ON s.team = t.team_name
+WITH side AS (
+  SELECT year(o_orderdate)::VARCHAR AS season, o_orderstatus AS st,
+         unnest([{'team': c_mktsegment, 'kind': 'segment', 'wins_at': 'F'},
+                 {'team': o_orderpriority, 'kind': 'priority', 'wins_at': 'O'}], recursive := true)
+  FROM orders JOIN customer ON c_custkey = o_custkey
+  WHERE o_totalprice < 490000),
+known AS (
+  SELECT list_sort(list_distinct(flatten([(SELECT list(DISTINCT c_mktsegment) FROM customer),
+                                          (SELECT list(DISTINCT o_orderpriority) FROM orders)]))) AS names)
+SELECT season, team, count(*) AS matches_played, count(*) FILTER (st = wins_at) AS wins,
+       count(*) FILTER (st NOT IN ('P', wins_at)) AS losses, count(*) FILTER (st = 'P') AS no_results,
+       sum(2 * (st = wins_at)::INT + (st = 'P')::INT)::BIGINT AS points,
+       list_position(any_value(names), team)::BIGINT AS team_id, 'img/' || lower(team) AS image_url
+FROM side, known
+GROUP BY season, team, kind
 """)
 def order_points_table(spark: SparkSession, d: str) -> DataFrame:
     return marts.points_table(order_matches(spark, d), team_names(spark, d))
@@ -164,60 +140,30 @@ def lineitem_deliveries(spark: SparkSession, d: str) -> DataFrame:
 
 
 INNINGS_SQL = """
-WITH base AS (
-  SELECT CAST(l.l_suppkey AS VARCHAR) AS match_id, CAST(l.l_linenumber AS BIGINT) AS inning_id,
-         p.p_brand AS batter, o.o_orderpriority AS bowler,
-         CAST(l.l_quantity AS BIGINT) AS runs_batter,
-         CAST(l.l_quantity AS BIGINT) + CASE WHEN l.l_linestatus = 'O' THEN 1 ELSE 0 END AS runs_total,
-         CASE WHEN l.l_returnflag = 'R' THEN 1 ELSE 0 END AS is_wicket,
-         CASE WHEN l.l_linestatus = 'O' AND l.l_returnflag IN ('A', 'N') THEN 0 ELSE 1 END AS legal_ball
-  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN orders o ON l.l_orderkey = o.o_orderkey),
-totals AS (
-  SELECT match_id, inning_id, CAST(SUM(runs_total) AS BIGINT) AS inning_total,
-         CAST(SUM(is_wicket) AS BIGINT) AS total_wickets
-  FROM base GROUP BY 1, 2),
-bat AS (
-  SELECT match_id, inning_id, batter, CAST(SUM(runs_batter) AS BIGINT) AS total_runs, COUNT(*) AS total_balls
-  FROM base GROUP BY 1, 2, 3),
-batr AS (
-  SELECT *, row_number() OVER (PARTITION BY match_id, inning_id
-            ORDER BY total_runs DESC NULLS LAST, total_balls ASC NULLS FIRST, batter ASC NULLS FIRST) AS rn
-  FROM bat),
-bowl AS (
-  SELECT match_id, inning_id, bowler, CAST(SUM(runs_total) AS BIGINT) AS runs_conceded,
-         CAST(SUM(legal_ball) AS BIGINT) AS balls_bowled, CAST(SUM(is_wicket) AS BIGINT) AS total_wickets
-  FROM base GROUP BY 1, 2, 3),
-bowlr AS (
-  SELECT *, row_number() OVER (PARTITION BY match_id, inning_id
-            ORDER BY total_wickets DESC NULLS LAST, runs_conceded ASC NULLS FIRST,
-                     balls_bowled ASC NULLS FIRST, bowler ASC NULLS FIRST) AS rn
-  FROM bowl),
-meta AS (
-  SELECT DISTINCT CAST(n.n_regionkey + 2020 AS VARCHAR) AS season, CAST(s.s_suppkey AS VARCHAR) AS match_id,
-         CAST(s.s_suppkey AS VARCHAR) AS match_number,
-         CASE WHEN s.s_acctbal < 0 THEN 'Final' END AS playoff_stage,
-         DATE '2024-03-01' + s.s_nationkey AS match_date,
-         n.n_name AS team1, r.r_name AS team2, n.n_name AS toss_winner,
-         CASE WHEN s.s_acctbal >= 5000 THEN 'bat' ELSE 'field' END AS toss_decision,
-         CASE WHEN s.s_acctbal >= 0 THEN n.n_name ELSE r.r_name END AS match_winner,
-         CASE WHEN s.s_acctbal >= 0 THEN '5 wickets' ELSE 'no result' END AS margin,
-         s.s_name AS pom
-  FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey)
-SELECT m.season, m.match_id, m.match_number, m.playoff_stage, m.match_date, m.team1, m.team2,
-       it.inning_id, it.inning_total, it.total_wickets,
-       tb.batter AS top_batter, tb.total_runs AS top_batter_runs, tb.total_balls AS top_batter_balls,
-       sb.batter AS second_batter, sb.total_runs AS second_batter_runs, sb.total_balls AS second_batter_balls,
-       tbo.bowler AS top_bowler, tbo.total_wickets AS top_bowler_wickets,
-       tbo.runs_conceded AS top_bowler_runs_conceded, tbo.balls_bowled AS top_bowler_balls,
-       sbo.bowler AS second_bowler, sbo.total_wickets AS second_bowler_wickets,
-       sbo.runs_conceded AS second_bowler_runs_conceded, sbo.balls_bowled AS second_bowler_balls,
-       m.toss_winner, m.toss_decision, m.match_winner, m.margin, m.pom
-FROM totals it
-JOIN meta m ON m.match_id = it.match_id
-LEFT JOIN batr tb ON tb.match_id = it.match_id AND tb.inning_id = it.inning_id AND tb.rn = 1
-LEFT JOIN batr sb ON sb.match_id = it.match_id AND sb.inning_id = it.inning_id AND sb.rn = 2
-LEFT JOIN bowlr tbo ON tbo.match_id = it.match_id AND tbo.inning_id = it.inning_id AND tbo.rn = 1
-LEFT JOIN bowlr sbo ON sbo.match_id = it.match_id AND sbo.inning_id = it.inning_id AND sbo.rn = 2
+WITH ball AS (
+  SELECT l_suppkey AS k, l_linenumber::BIGINT AS i, p_brand AS bat, o_orderpriority AS bowl, l_quantity::BIGINT AS hit,
+         l_quantity::BIGINT + (l_linestatus = 'O')::INT AS cost, (l_returnflag = 'R')::INT AS out_,
+         NOT (l_linestatus = 'O' AND l_returnflag <> 'R') AS legal
+  FROM lineitem JOIN part ON p_partkey = l_partkey JOIN orders ON o_orderkey = l_orderkey),
+best AS (
+  SELECT k, i, list({'n': bat, 'r': r, 'b': b} ORDER BY r DESC, b, bat) AS x
+  FROM (SELECT k, i, bat, sum(hit)::BIGINT AS r, count(*) AS b FROM ball GROUP BY ALL) GROUP BY ALL),
+attack AS (
+  SELECT k, i, list({'n': bowl, 'w': w, 'r': r, 'b': b} ORDER BY w DESC, r, b, bowl) AS y,
+         sum(r)::BIGINT AS runs, sum(w)::BIGINT AS wickets
+  FROM (SELECT k, i, bowl, sum(out_)::BIGINT AS w, sum(cost)::BIGINT AS r, count(*) FILTER (legal) AS b FROM ball GROUP BY ALL)
+  GROUP BY ALL)
+SELECT (n_regionkey + 2020)::VARCHAR AS season, s_suppkey::VARCHAR AS match_id, s_suppkey::VARCHAR AS match_number,
+       if(s_acctbal < 0, 'Final', NULL) AS playoff_stage, DATE '2024-03-01' + s_nationkey AS match_date,
+       n_name AS team1, r_name AS team2, i AS inning_id, runs AS inning_total, wickets AS total_wickets,
+       x[1].n AS top_batter, x[1].r AS top_batter_runs, x[1].b AS top_batter_balls,
+       x[2].n AS second_batter, x[2].r AS second_batter_runs, x[2].b AS second_batter_balls,
+       y[1].n AS top_bowler, y[1].w AS top_bowler_wickets, y[1].r AS top_bowler_runs_conceded, y[1].b AS top_bowler_balls,
+       y[2].n AS second_bowler, y[2].w AS second_bowler_wickets, y[2].r AS second_bowler_runs_conceded,
+       y[2].b AS second_bowler_balls, n_name AS toss_winner, if(s_acctbal >= 5000, 'bat', 'field') AS toss_decision,
+       if(s_acctbal >= 0, n_name, r_name) AS match_winner, if(s_acctbal >= 0, '5 wickets', 'no result') AS margin, s_name AS pom
+FROM best JOIN attack USING (k, i) JOIN supplier ON s_suppkey = k
+JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey
 """
 
 

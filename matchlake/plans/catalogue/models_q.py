@@ -14,10 +14,9 @@ from matchlake.plans.catalogue.registry import query, table
 
 # --------------------------------------------------------------------------- M8 W1 W2
 def order_match_info(spark: SparkSession, d: str) -> DataFrame:
-    """Urgent fulfilled orders as the 18-column match header; the order key
+    """Orders as the 18-column match header; the order key
     modulo 20 plays the match number (0 = a playoff without number)."""
-    o = table(spark, d, "orders").where(
-        (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "F"))
+    o = table(spark, d, "orders")
     c = table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
     n = table(spark, d, "nation").select("n_nationkey", "n_name")
     j = (o.join(broadcast_if_small(c), o["o_custkey"] == c["c_custkey"], "inner")
@@ -46,40 +45,22 @@ def order_match_info(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("day_slot_assignment", """
-WITH s AS (
-  SELECT 'T20' AS match_type, 'male' AS gender, CAST(year(o.o_orderdate) AS VARCHAR) AS season,
-         CASE WHEN c.c_nationkey % 5 <> 0 THEN n.n_name END AS city,
-         c.c_mktsegment || ' Park, ' || n.n_name AS venue,
-         CASE WHEN o.o_orderkey % 20 <> 0 THEN CAST(o.o_orderkey % 20 AS VARCHAR) END AS match_number,
-         CASE WHEN o.o_orderkey % 20 = 0 THEN 'Final' END AS playoff_stage,
-         CAST(o.o_orderdate AS DATE) AS match_date, c.c_mktsegment AS team1, o.o_orderpriority AS team2,
-         c.c_mktsegment AS toss_winner, 'bat' AS toss_decision, c.c_mktsegment AS match_winner,
-         '10 runs' AS margin, 'League' AS event_name, 'club' AS event_type, c.c_name AS pom,
-         CAST(o.o_orderkey AS VARCHAR) || '.json' AS filename
-  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
-  WHERE o.o_orderpriority = '1-URGENT' AND o.o_orderstatus = 'F'),
-ms AS (
-  SELECT *, split_part(filename, '.', 1) AS match_id,
-         COUNT(*) OVER (PARTITION BY match_date) AS matches_per_day,
-         CASE WHEN match_number IS NULL THEN 'playoffs' ELSE 'league match' END AS flag_playoffs,
-         row_number() OVER (PARTITION BY match_date ORDER BY match_number ASC NULLS FIRST, filename) AS match_order
-  FROM s),
-nb AS (
-  SELECT *, COALESCE(city, split_part(venue, ' ', 1)) AS city_cleaned,
-         COALESCE(split_part(venue, ',', 1), venue) AS venue_cleaned,
-         CASE WHEN matches_per_day = 1 THEN '19:30'
-              WHEN matches_per_day = 2 AND match_order = 1 THEN '15:30'
-              WHEN matches_per_day = 2 AND match_order = 2 THEN '19:30'
-              ELSE '19:30' END AS match_time
-  FROM ms),
-vm AS (
-  SELECT venue_cleaned, CAST(dense_rank() OVER (ORDER BY venue_cleaned ASC NULLS FIRST) AS BIGINT) AS venue_id
-  FROM (SELECT DISTINCT venue_cleaned FROM nb) x)
-SELECT nb.match_type, nb.gender, nb.season, nb.city, nb.venue, nb.match_number, nb.playoff_stage,
-       nb.match_date, nb.team1, nb.team2, nb.toss_winner, nb.toss_decision, nb.match_winner, nb.margin,
-       nb.event_name, nb.event_type, nb.pom, nb.filename, nb.match_id, nb.matches_per_day,
-       nb.flag_playoffs, nb.match_order, nb.city_cleaned, nb.venue_cleaned, nb.match_time, vm.venue_id
-FROM nb LEFT JOIN vm ON nb.venue_cleaned = vm.venue_cleaned
+WITH game AS (
+  SELECT *, o_orderdate::DATE AS day, o_orderkey || '.json' AS file,
+         nullif(o_orderkey % 20, 0)::VARCHAR AS num, c_mktsegment || ' Park' AS ground
+  FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey),
+card AS (SELECT day, list(file ORDER BY num NULLS FIRST, file) AS files FROM game GROUP BY day),
+place AS (SELECT list_sort(list(DISTINCT ground)) AS grounds FROM game)
+SELECT 'T20' AS match_type, 'male' AS gender, year(day)::VARCHAR AS season, if(c_nationkey % 5 = 0, NULL, n_name) AS city,
+       ground || ', ' || n_name AS venue, num AS match_number, if(num IS NULL, 'Final', NULL) AS playoff_stage,
+       day AS match_date, c_mktsegment AS team1, o_orderpriority AS team2, c_mktsegment AS toss_winner, 'bat' AS toss_decision,
+       c_mktsegment AS match_winner, '10 runs' AS margin, 'League' AS event_name, 'club' AS event_type, c_name AS pom,
+       file AS filename, o_orderkey::VARCHAR AS match_id, len(files) AS matches_per_day,
+       if(num IS NULL, 'playoffs', 'league match') AS flag_playoffs, list_position(files, file)::INT AS match_order,
+       if(c_nationkey % 5 = 0, c_mktsegment, n_name) AS city_cleaned, ground AS venue_cleaned,
+       if(len(files) = 2 AND file = files[1], '15:30', '19:30') AS match_time,
+       list_position(grounds, ground)::BIGINT AS venue_id
+FROM game JOIN card USING (day), place
 """)
 def day_slot_assignment(spark: SparkSession, d: str) -> DataFrame:
     return intermediate.int_match_info(order_match_info(spark, d))
@@ -117,24 +98,15 @@ def nation_coordinates(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("venue_lookup", """
-WITH b AS (
-  SELECT CASE WHEN p_size <= 45 THEN p_brand END AS city,
-         CASE WHEN p_size <> 1 THEN p_name || ', ' || p_type END AS venue
+WITH named AS (
+  SELECT if(p_size = 1, NULL, split_part(p_name, ',', 1)) AS name,
+         coalesce(if(p_size <= 45, p_brand, NULL), if(p_size = 1, NULL, split_part(p_name || ',', ' ', 1))) AS town
   FROM part),
-c AS (
-  SELECT COALESCE(city, split_part(venue, ' ', 1)) AS city_cleaned,
-         COALESCE(split_part(venue, ',', 1), venue) AS venue_cleaned, venue
-  FROM b),
-i AS (
-  SELECT *, CAST(dense_rank() OVER (ORDER BY COALESCE(venue_cleaned, venue) ASC NULLS FIRST) AS BIGINT) AS venue_id
-  FROM c),
-u AS (SELECT DISTINCT venue_id, city_cleaned, venue_cleaned FROM i),
-k AS (
-  SELECT CAST(n_nationkey + 1 AS BIGINT) AS venue_id, CAST(n_regionkey * 10 + 0.5 AS DOUBLE) AS latitude,
-         CAST(n_nationkey * 1.5 AS DOUBLE) AS longitude
-  FROM nation)
-SELECT u.venue_id, u.city_cleaned, u.venue_cleaned, k.latitude, k.longitude
-FROM u JOIN k ON u.venue_id = k.venue_id
+numbered AS (
+  SELECT name, row_number() OVER (ORDER BY name NULLS FIRST) AS id FROM (SELECT DISTINCT name FROM named))
+SELECT DISTINCT id::BIGINT AS venue_id, town AS city_cleaned, named.name AS venue_cleaned,
+       (n_regionkey * 10 + 0.5)::DOUBLE AS latitude, (n_nationkey * 1.5)::DOUBLE AS longitude
+FROM nation JOIN numbered ON id = n_nationkey + 1 JOIN named ON named.name IS NOT DISTINCT FROM numbered.name
 """)
 def venue_lookup(spark: SparkSession, d: str) -> DataFrame:
     return intermediate.int_stadiums_info(part_places(spark, d), nation_coordinates(spark, d))
@@ -142,26 +114,17 @@ def venue_lookup(spark: SparkSession, d: str) -> DataFrame:
 
 # --------------------------------------------------------------------------- M15 A5 J7
 @query("schedule_enriched", """
-WITH f AS (
-  SELECT CAST(year(o.o_orderdate) AS VARCHAR) AS season, o.o_orderkey AS match_id, c.c_mktsegment AS city,
-         COALESCE(CASE WHEN o.o_totalprice < 490000 THEN CAST(o.o_orderkey AS VARCHAR) END,
-                  CASE WHEN o.o_totalprice >= 490000 THEN 'Final' END) AS match_num,
-         c.c_mktsegment AS venue, CAST(o.o_orderdate AS DATE) AS match_date, '19:30' AS match_time,
-         c.c_mktsegment AS team1, o.o_orderpriority AS team2, CAST(c.c_nationkey AS BIGINT) AS venue_id
-  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
-sl AS (
-  SELECT CAST(c_nationkey AS BIGINT) AS venue_id, MIN(c_acctbal) AS latitude, MIN(-c_acctbal) AS longitude
-  FROM customer GROUP BY 1),
-w AS (
-  SELECT CAST(user_id AS VARCHAR) AS match_id, MAX(value) AS temp_c, MIN(value) AS humidity_percent,
-         CAST(COUNT(*) AS DOUBLE) AS pressure_hpa, MAX(CAST(json_extract_string(props, '$.k') AS DOUBLE)) AS cloudcover_percent,
-         CAST(NULL AS DOUBLE) AS rain_mm, MIN(CAST(json_extract_string(props, '$.k') AS DOUBLE)) AS wind_m_s
-  FROM events GROUP BY user_id)
-SELECT f.season, f.match_id, f.city, f.match_num, f.venue, f.match_date, f.match_time, f.team1, f.team2,
-       f.venue_id, sl.latitude, sl.longitude, w.temp_c, w.humidity_percent, w.pressure_hpa,
-       w.cloudcover_percent, w.rain_mm, w.wind_m_s
-FROM f LEFT JOIN sl ON f.venue_id = sl.venue_id
-JOIN w ON CAST(w.match_id AS VARCHAR) = CAST(f.match_id AS VARCHAR)
+SELECT year(o_orderdate)::VARCHAR AS season, o_orderkey AS match_id, c_mktsegment AS city,
+       if(o_totalprice >= 490000, 'Final', o_orderkey::VARCHAR) AS match_num, c_mktsegment AS venue,
+       o_orderdate::DATE AS match_date, '19:30' AS match_time, c_mktsegment AS team1, o_orderpriority AS team2,
+       c_nationkey::BIGINT AS venue_id, lat AS latitude, -far AS longitude, e.*
+FROM orders
+JOIN (SELECT *, min(c_acctbal) OVER here AS lat, max(c_acctbal) OVER here AS far FROM customer
+      WINDOW here AS (PARTITION BY c_nationkey)) ON c_custkey = o_custkey,
+LATERAL (SELECT max(value) AS temp_c, min(value) AS humidity_percent, count(*)::DOUBLE AS pressure_hpa,
+                max((props ->> '$.k')::DOUBLE) AS cloudcover_percent, NULL::DOUBLE AS rain_mm,
+                min((props ->> '$.k')::DOUBLE) AS wind_m_s
+         FROM events WHERE user_id = o_orderkey HAVING count(*) > 0) e
 """)
 def schedule_enriched(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders")
@@ -216,7 +179,7 @@ WITH names AS (
 t AS (
   SELECT DISTINCT c_mktsegment AS team, CAST(c_nationkey AS BIGINT) AS team_id,
          'img/' || lower(c_mktsegment) AS image_url
-  FROM customer WHERE c_nationkey < 3)
+  FROM customer)
 SELECT n.team_name, n.team_type, t.team_id, t.image_url
 FROM names n LEFT JOIN t ON t.team = n.team_name
 """)
@@ -228,8 +191,7 @@ def team_dimension(spark: SparkSession, d: str) -> DataFrame:
               .select(F.col("c_mktsegment").alias("team_name"), F.col("o_orderstatus").alias("team_type"))
               .distinct())
     teams = staging.stg_ipl_teams(
-        c.where(F.col("c_nationkey") < 3)
-         .select(F.col("c_nationkey").cast("bigint").alias("team_id"), F.col("c_mktsegment").alias("team"),
+        c.select(F.col("c_nationkey").cast("bigint").alias("team_id"), F.col("c_mktsegment").alias("team"),
                  F.concat(F.lit("img/"), F.lower("c_mktsegment")).alias("image_url"))
          .distinct())
     return intermediate.attach_team_ids(names, teams)
@@ -237,19 +199,18 @@ def team_dimension(spark: SparkSession, d: str) -> DataFrame:
 
 # --------------------------------------------------------------------------- F1 J3 M9
 @query("split_file_id", """
-SELECT CAST(l.l_orderkey AS VARCHAR) || '.json' AS file_name, CAST(l.l_linenumber AS BIGINT) AS inning_id,
-       CAST(l.l_quantity AS BIGINT) AS runs_batter, m.season, m.match_id
-FROM lineitem l
-LEFT JOIN (SELECT CAST(year(o_orderdate) AS VARCHAR) AS season, CAST(o_orderkey AS VARCHAR) AS match_id
-           FROM orders WHERE o_orderstatus = 'F') m
-  ON split_part(CAST(l.l_orderkey AS VARCHAR) || '.json', '.', 1) = m.match_id
+SELECT if(l_linenumber = 7, -l_orderkey, l_orderkey) || '.json' AS file_name, l_linenumber::BIGINT AS inning_id,
+       l_quantity::BIGINT AS runs_batter, year(o_orderdate)::VARCHAR AS season, o_orderkey::VARCHAR AS match_id
+FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey AND l_linenumber <> 7
 """)
 def split_file_id(spark: SparkSession, d: str) -> DataFrame:
     deliveries = table(spark, d, "lineitem").select(
-        F.concat(F.col("l_orderkey").cast("string"), F.lit(".json")).alias("file_name"),
+        # every seventh line is of a file without a header
+        F.concat(F.when(F.col("l_linenumber") == 7, -F.col("l_orderkey")).otherwise(F.col("l_orderkey")).cast("string"),
+                 F.lit(".json")).alias("file_name"),
         F.col("l_linenumber").cast("bigint").alias("inning_id"),
         F.col("l_quantity").cast("bigint").alias("runs_batter"))
-    info = (table(spark, d, "orders").where(F.col("o_orderstatus") == "F")
+    info = (table(spark, d, "orders")
             .select(F.year("o_orderdate").cast("string").alias("season"),
                     F.col("o_orderkey").cast("string").alias("match_id")))
     return intermediate.int_match_innings(deliveries, info)
@@ -437,13 +398,13 @@ SELECT o_orderkey AS match_id, o_custkey, CAST(NULL AS VARCHAR) AS o_orderpriori
 FROM orders WHERE o_orderstatus = 'F'
 UNION ALL
 SELECT o_orderkey AS match_id, CAST(NULL AS BIGINT) AS o_custkey, o_orderpriority, o_totalprice
-FROM orders WHERE o_orderstatus = 'O'
+FROM orders WHERE o_orderstatus <> 'F'
 """)
 def union_old_new(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders")
     old = o.where(F.col("o_orderstatus") == "F").select(
         F.col("o_orderkey").alias("match_id"), "o_custkey", "o_totalprice")
-    new = o.where(F.col("o_orderstatus") == "O").select(
+    new = o.where(F.col("o_orderstatus") != "F").select(
         "o_totalprice", "o_orderpriority", F.col("o_orderkey").alias("match_id"))
     return old.unionByName(new, allowMissingColumns=True).select(*UNION_COLUMNS)
 

@@ -70,7 +70,8 @@ def run_checks(models: Mapping[str, DataFrame], checks=DECLARED_CHECKS) -> dict[
 
 
 def check_summary(spark: SparkSession, models: Mapping[str, DataFrame], checks=DECLARED_CHECKS) -> DataFrame:
-    """One row per check: name and number of failing rows.
+    """One row per check: name and number of failing rows; NULL when the
+    check's model is missing, so that it did not run.
 
     Row-level checks (not_null, accepted_values) on the same model are
     counted in one aggregation pass; unique and relationships checks need
@@ -78,7 +79,7 @@ def check_summary(spark: SparkSession, models: Mapping[str, DataFrame], checks=D
     """
     applicable = [c for c in checks if c.model in models and (c.to is None or c.to in models)]
     row_level: dict[str, list[Check]] = {}
-    rows = []
+    rows = [(c.name, None) for c in checks if c not in applicable]
     for c in applicable:
         if c.test in ("not_null", "accepted_values"):
             row_level.setdefault(c.model, []).append(c)

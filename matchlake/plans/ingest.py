@@ -16,7 +16,7 @@ from matchlake import schemas
 from matchlake.functions import is_valid_json
 from matchlake.operators import anti_new, observed_count
 from matchlake.sources import (
-    append_parquet, checkpoint_reliably, ensure_table, loaded_keys, scan_json_files,
+    append_parquet, checkpoint_reliably, ensure_table, list_json_files, loaded_keys, read_json_files,
 )
 from matchlake.sources.files import JSON_NAME_GLOB
 
@@ -25,12 +25,7 @@ RAW_COLUMNS = [f.name for f in schemas.RAW_DOCUMENTS.fields]
 
 def new_documents(candidates: DataFrame, loaded: DataFrame, key: str = "file_name") -> DataFrame:
     """Candidates ``(file_name, content)`` whose name is not loaded yet, stamped
-    with one load timestamp per batch and flagged ``is_valid``.
-
-    Duplicate object keys are valid JSON for Python's parser, so the session
-    is told to accept them in the validity check.
-    """
-    candidates.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    with one load timestamp per batch and flagged ``is_valid``."""
     return (anti_new(candidates, loaded, key)
             .withColumn("file_upload_timestamp", F.current_timestamp())
             .withColumn("is_valid", is_valid_json("content")))
@@ -76,6 +71,7 @@ def ingest_files(spark: SparkSession, source_root: str, target: str, quarantine:
     """Land every new ``*.json`` file under ``source_root`` (recursively)."""
     ensure_table(spark, target, schemas.RAW_DOCUMENTS)
     ensure_table(spark, quarantine, schemas.RAW_DOCUMENTS)
-    files = scan_json_files(spark, source_root, name_glob)
-    flagged = new_documents(files, loaded_keys(spark, target))
-    return write_batch(flagged, target, quarantine)
+    # names first: the contents of files that are loaded already are not read
+    names = anti_new(list_json_files(spark, source_root, name_glob), loaded_keys(spark, target), "file_name")
+    files = read_json_files(spark, source_root, names)
+    return write_batch(new_documents(files, loaded_keys(spark, target)), target, quarantine)

@@ -55,12 +55,14 @@ def enrich_schedule(schedule: DataFrame, archive: DataFrame, previous: DataFrame
     new = (keyed.join(hourly_points(archive), [*PLACE_DAY, "datetime"], "inner")
                 .drop("dt_obj", "__mid", "date"))
     new_rows = new.select(*OUTPUT_COLUMNS)
-    all_rows = (previous.select(*[c for c in OUTPUT_COLUMNS if c in previous.columns])
-                .unionByName(new_rows, allowMissingColumns=True)
-                .select(*OUTPUT_COLUMNS))
-    return all_rows, new_rows
+    return with_previous(previous, new_rows), new_rows
 
 
+def with_previous(previous: DataFrame, new_rows: DataFrame) -> DataFrame:
+    """Previous rows, then the new ones, in the fixed output column order."""
+    return (previous.select(*[c for c in OUTPUT_COLUMNS if c in previous.columns])
+            .unionByName(new_rows, allowMissingColumns=True)
+            .select(*OUTPUT_COLUMNS))
 
 
 def run_weather_job(spark: SparkSession, schedule_csv: str, archive: DataFrame, output_base: str,
@@ -72,12 +74,12 @@ def run_weather_job(spark: SparkSession, schedule_csv: str, archive: DataFrame,
         previous = read_latest(spark, output_base, fmt="csv", schema=OUTPUT_SCHEMA, header="true")
     else:                                   # first run: no previous output yet
         previous = spark.createDataFrame([], OUTPUT_SCHEMA)
-    all_rows, new_rows = enrich_schedule(schedule, archive, previous, as_of)
-    new_rows = checkpoint_reliably(new_rows)
+    # pinned before anything is counted or written: one evaluation, one clock
+    new_rows = checkpoint_reliably(enrich_schedule(schedule, archive, previous, as_of)[1])
     per_season = {r["season"]: r["count"] for r in new_rows.groupBy("season").count().collect()}
     if not per_season:
         return {"new": 0, "per_season": {}}
-    version = write_version(all_rows, output_base, fmt="csv", header="true")
+    version = write_version(with_previous(previous, new_rows), output_base, fmt="csv", header="true")
     return {"new": sum(per_season.values()), "per_season": per_season, "version": version}
 
 

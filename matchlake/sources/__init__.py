@@ -1,6 +1,6 @@
 """Sources and sinks."""
 
-from matchlake.sources.files import scan_json_files
+from matchlake.sources.files import list_json_files, read_json_files, scan_json_files
 from matchlake.sources.sinks import (
     append_parquet, checkpoint_reliably, materialize_table, materialize_view, read_latest, write_version,
 )
@@ -10,7 +10,7 @@ from matchlake.sources.tables import (
 )
 
 __all__ = [
-    "Source", "SourceRegistry", "append_parquet", "checkpoint_reliably", "ensure_table", "loaded_keys",
-    "materialize_table", "materialize_view", "path_exists", "read_csv", "read_latest",
+    "Source", "SourceRegistry", "append_parquet", "checkpoint_reliably", "ensure_table", "list_json_files", "loaded_keys",
+    "materialize_table", "materialize_view", "path_exists", "read_csv", "read_json_files", "read_latest",
     "read_seed", "read_table_or_empty", "scan_json_files", "spread", "write_version",
 ]

@@ -73,12 +73,21 @@ def write_version(df: DataFrame, base: str, fmt: str = "parquet", version: str |
 
 def read_latest(spark: SparkSession, base: str, fmt: str = "parquet", schema=None,
                 **options: str) -> DataFrame:
-    """Rows of the newest version under ``base`` (see ``write_version``)."""
-    reader = spark.read.format(fmt).options(basePath=base, **options)
+    """Rows of the newest committed version under ``base`` (see
+    ``write_version``), also when that version is empty.  A version counts once
+    its writer has left ``_SUCCESS``; only that one folder is read.  Without a
+    committed version the result is empty (``schema``) or an error."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(base)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(root)]
+    done = [n for n in names if n.startswith(f"{VERSION_COL}=")
+            and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{base}/{n}/_SUCCESS"))]
+    if not done:
+        if schema is None:
+            raise FileNotFoundError(f"no committed version under {base}")
+        return spark.createDataFrame([], schema)
+    reader = spark.read.format(fmt).options(**options)
     if schema is not None:
-        from pyspark.sql import types as T
-        schema = T.StructType(list(schema.fields) + [T.StructField(VERSION_COL, T.StringType())])
         reader = reader.schema(schema)
-    all_versions = reader.load(base)
-    newest = all_versions.select(F.max(VERSION_COL)).scalar()
-    return all_versions.where(F.col(VERSION_COL) == newest).drop(VERSION_COL)
+    return reader.load(f"{base}/{max(done)}")

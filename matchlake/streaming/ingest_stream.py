@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.plans.ingest import new_documents, write_batch
+from matchlake.plans.ingest import IngestReport, new_documents, write_batch
 from matchlake.sources import ensure_table, loaded_keys
 from matchlake.sources.files import JSON_NAME_GLOB, relative_name
 from matchlake import schemas
@@ -20,7 +20,8 @@ from matchlake import schemas
 def json_file_stream(spark: SparkSession, root: str, name_glob: str = JSON_NAME_GLOB,
                      max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming ``(file_name, content)``: one row per new file under ``root``."""
-    reader = spark.readStream
+    # a back-filled file keeps its old time: no age is too old (the anti-join guards against repeats)
+    reader = spark.readStream.option("maxFileAge", "36500d")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.text(root, wholetext=True, pathGlobFilter=name_glob, recursiveFileLookup=True)
@@ -29,17 +30,25 @@ def json_file_stream(spark: SparkSession, root: str, name_glob: str = JSON_NAME_
 
 
 def ingest_stream(spark: SparkSession, candidates: DataFrame, target: str, quarantine: str,
-                  checkpoint: str) -> None:
-    """Run the stream of candidate documents until the available input is done."""
+                  checkpoint: str) -> IngestReport:
+    """Run the stream of candidate documents until the available input is done;
+    returns the counts of all its batches.
+
+    A file fixed under the same name is not read again by the stream, whose
+    checkpoint knows the name; the batch ingest reads it again.
+    """
+    total = IngestReport(0, 0)
     ensure_table(spark, target, schemas.RAW_DOCUMENTS)
     ensure_table(spark, quarantine, schemas.RAW_DOCUMENTS)
 
     def land(batch: DataFrame, epoch_id: int) -> None:
-        flagged = new_documents(batch.dropDuplicates(["file_name"]), loaded_keys(spark, target))
-        write_batch(flagged, target, quarantine)
+        report = write_batch(new_documents(batch, loaded_keys(spark, target)), target, quarantine)
+        total.loaded += report.loaded
+        total.quarantined += report.quarantined
 
     q = (candidates.writeStream.foreachBatch(land)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())
     q.awaitTermination()
+    return total
