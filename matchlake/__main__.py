@@ -50,6 +50,8 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("--weather", required=True, help="weather job output folder (versioned CSV)")
     b.add_argument("--out", required=True)
     b.add_argument("--season", default="2025")
+    b.add_argument("--customers", help="shop customers (id, first_name, last_name): also builds the shop models")
+    b.add_argument("--orders", help="shop orders (id, user_id, order_date, status)")
 
     w = sub.add_parser("weather")
     w.add_argument("--schedule", required=True, help="schedule CSV")
@@ -94,6 +96,13 @@ def main(argv: list[str] | None = None) -> int:
         models = build(spark, src, out_dir=a.out, season=a.season)
         for name in ("innings_summary", "match_ids"):
             models[name].write.mode("overwrite").parquet(f"{a.out}/{name}")
+        if a.customers and a.orders:
+            from matchlake.plans import shop
+            from matchlake.sources import materialize_table
+
+            customers = materialize_table(shop.stg_customers(spark.read.parquet(a.customers)), f"{a.out}/stg_customers")
+            orders = materialize_table(shop.stg_orders(spark.read.parquet(a.orders)), f"{a.out}/stg_orders")
+            materialize_table(shop.customers(customers, shop.stg_customer_orders(orders)), f"{a.out}/customers")
         print(json.dumps({"out": a.out, "models": sorted(models)}))
     elif a.job == "weather":
         from matchlake.plans.weather import run_weather_job

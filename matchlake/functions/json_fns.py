@@ -38,6 +38,14 @@ def json_value_scalar(text: Column | str, path: str) -> Column:
                   F.try_variant_get(v, "$", "string"))
 
 
+def scalar_text(parsed: Column | str) -> Column:
+    """A leaf that was parsed as text, as JSON_VALUE reads it: NULL when the
+    document has an object or array there (a typed parse gives its JSON text).
+    A string that itself spells a whole JSON container counts as one."""
+    c = _c(parsed)
+    return F.when(~c.rlike(r"^[\[{]") | ~is_valid_json(c), c)
+
+
 def json_array(text: Column | str, path: str) -> Column:
     """Elements of the array at ``path`` as JSON text each; NULL when not an array."""
     return F.from_json(F.get_json_object(_c(text), path), T.ArrayType(T.StringType()))

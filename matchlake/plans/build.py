@@ -31,33 +31,31 @@ def build(spark: SparkSession, src: Sources, out_dir: str | None = None, season:
           register_views: bool = False) -> dict[str, DataFrame]:
     out_dir = out_dir or scratch_dir(spark, "models")
     m: dict[str, DataFrame] = {}
-    m["stg_cricket_match"] = staging.stg_cricket_match(src.cricket_match_raw)
-    # Parse every document once; the models read the nested Parquet columns they need.
-    docs = materialize_table(staging.parsed_documents(m["stg_cricket_match"]), f"{out_dir}/parsed_documents")
-    m["stg_match_info"] = staging.stg_match_info(docs)
-    m["stg_match_innings"] = materialize_table(
-        staging.stg_match_innings(docs, read_seed(spark, "default_powerplay")),
-        f"{out_dir}/stg_match_innings")
-    m["stg_ipl_teams"] = staging.stg_ipl_teams(src.ipl_teams)
-    m["stg_players_info"] = staging.stg_players_info(src.players_info)
-    m["stg_stadium_coordinates"] = staging.stg_stadium_coordinates(src.stadium_coordinates)
-    m["stg_weather_info"] = staging.stg_weather_info(src.weather_info)
 
-    m["int_match_info"] = materialize_table(intermediate.int_match_info(m["stg_match_info"]),
-                                            f"{out_dir}/int_match_info")
-    m["int_match_innings"] = intermediate.int_match_innings(m["stg_match_innings"], m["int_match_info"])
-    m["int_teams"] = intermediate.int_teams(docs, m["stg_ipl_teams"])
-    m["int_stadiums_info"] = materialize_table(
-        intermediate.int_stadiums_info(m["stg_match_info"], m["stg_stadium_coordinates"]),
-        f"{out_dir}/int_stadiums_info")
-    m["int_weather_info"] = intermediate.int_weather_info(m["stg_weather_info"])
+    def store(name: str, df: DataFrame) -> DataFrame:
+        m[name] = materialize_table(df, f"{out_dir}/{name}")
+        return m[name]
 
-    m["points_table"] = materialize_table(marts.points_table(m["int_match_info"], m["int_teams"]),
-                                          f"{out_dir}/points_table")
+    raw = store("stg_cricket_match", staging.stg_cricket_match(src.cricket_match_raw))
+    # Parse every document once; the models read the nested Parquet columns they need.
+    docs = materialize_table(staging.parsed_documents(raw), f"{out_dir}/parsed_documents")
+    store("stg_match_info", staging.stg_match_info(docs))
+    store("stg_match_innings", staging.stg_match_innings(docs, read_seed(spark, "default_powerplay")))
+    store("stg_ipl_teams", staging.stg_ipl_teams(src.ipl_teams))
+    store("stg_players_info", staging.stg_players_info(src.players_info))
+    store("stg_stadium_coordinates", staging.stg_stadium_coordinates(src.stadium_coordinates))
+    store("stg_weather_info", staging.stg_weather_info(src.weather_info))
+
+    store("int_match_info", intermediate.int_match_info(m["stg_match_info"]))
+    store("int_match_innings", intermediate.int_match_innings(m["stg_match_innings"], m["int_match_info"]))
+    store("int_teams", intermediate.int_teams(docs, m["stg_ipl_teams"]))
+    store("int_stadiums_info", intermediate.int_stadiums_info(m["stg_match_info"], m["stg_stadium_coordinates"]))
+    store("int_weather_info", intermediate.int_weather_info(m["stg_weather_info"]))
+
+    store("points_table", marts.points_table(m["int_match_info"], m["int_teams"]))
+    store("ipl_schedule", marts.ipl_schedule(m["int_match_info"], m["int_stadiums_info"], m["int_weather_info"]))
+    # the two views of the model set
     m["innings_summary"] = marts.innings_summary(m["int_match_innings"], m["int_match_info"])
-    m["ipl_schedule"] = materialize_table(
-        marts.ipl_schedule(m["int_match_info"], m["int_stadiums_info"], m["int_weather_info"]),
-        f"{out_dir}/ipl_schedule")
     m["match_ids"] = marts.match_ids(m["int_match_info"], season)
     if register_views:
         for name in ("innings_summary", "match_ids"):

@@ -70,12 +70,13 @@ def int_match_innings(stg_match_innings: DataFrame, int_match_info: DataFrame) -
 def int_teams(stg_cricket_match: DataFrame, stg_ipl_teams: DataFrame) -> DataFrame:
     """Distinct (team name, team type) from the documents, with the team's id
     and image; a name listed twice in the team table fans out."""
+    from matchlake.functions import scalar_text
     from matchlake.plans.staging import parsed_documents
 
     d = parsed_documents(stg_cricket_match)
     names = (d.select(F.explode("doc.info.teams").alias("team_name"),
-                      F.col("doc.info.team_type").alias("team_type"))
-              .distinct())
+                      scalar_text("doc.info.team_type").alias("team_type"))
+              .withColumn("team_name", scalar_text("team_name")).distinct())
     return attach_team_ids(names, stg_ipl_teams)
 
 

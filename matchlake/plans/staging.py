@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchlake.functions import ceil_double, first_key, margin_label, parse_document, regexp_group
+from matchlake.functions import ceil_double, first_key, margin_label, parse_document, regexp_group, scalar_text
 from matchlake.operators import explode_level
 from matchlake import constants as C
 
@@ -40,25 +40,25 @@ def stg_match_info(stg: DataFrame, lenient: bool = False) -> DataFrame:
     ties included.  A bad date raises unless ``lenient``.
     """
     d = parsed_documents(stg)
-    i = F.col("doc.info")
+    i, v = F.col("doc.info"), scalar_text
     return d.select(
-        i["match_type"].alias("match_type"),
-        i["gender"].alias("gender"),
-        i["season"].alias("season"),
-        i["city"].alias("city"),
-        i["venue"].alias("venue"),
-        i["event"]["match_number"].alias("match_number"),
-        i["event"]["stage"].alias("playoff_stage"),
-        _cast(F.get(i["dates"], 0), "date", lenient).alias("match_date"),
-        F.get(i["teams"], 0).alias("team1"),
-        F.get(i["teams"], 1).alias("team2"),
-        i["toss"]["winner"].alias("toss_winner"),
-        i["toss"]["decision"].alias("toss_decision"),
-        i["outcome"]["winner"].alias("match_winner"),
-        margin_label(i["outcome"]["by"]["wickets"], i["outcome"]["by"]["runs"]).alias("margin"),
-        i["event"]["name"].alias("event_name"),
-        i["team_type"].alias("event_type"),
-        F.get(i["player_of_match"], 0).alias("pom"),
+        v(i["match_type"]).alias("match_type"),
+        v(i["gender"]).alias("gender"),
+        v(i["season"]).alias("season"),
+        v(i["city"]).alias("city"),
+        v(i["venue"]).alias("venue"),
+        v(i["event"]["match_number"]).alias("match_number"),
+        v(i["event"]["stage"]).alias("playoff_stage"),
+        _cast(v(F.get(i["dates"], 0)), "date", lenient).alias("match_date"),
+        v(F.get(i["teams"], 0)).alias("team1"),
+        v(F.get(i["teams"], 1)).alias("team2"),
+        v(i["toss"]["winner"]).alias("toss_winner"),
+        v(i["toss"]["decision"]).alias("toss_decision"),
+        v(i["outcome"]["winner"]).alias("match_winner"),
+        margin_label(v(i["outcome"]["by"]["wickets"]), v(i["outcome"]["by"]["runs"])).alias("margin"),
+        v(i["event"]["name"]).alias("event_name"),
+        v(i["team_type"]).alias("event_type"),
+        v(F.get(i["player_of_match"], 0)).alias("pom"),
         F.col("file_name").alias("filename"),
     )
 
@@ -83,14 +83,15 @@ def stg_match_innings(stg: DataFrame, default_powerplay: DataFrame, lenient: boo
     # Each level keeps only the parent fields used later, so a delivery row
     # never carries its whole innings or over (which would grow with the
     # square of the innings length).
+    v = scalar_text
     inn = explode_level(d, "doc.innings", "inning_idx", "f0",
-                        ["file_name", F.col("doc.info.match_type").alias("match_type")])
+                        ["file_name", v(F.col("doc.info.match_type")).alias("match_type")])
     pp = F.get(F.col("f0.powerplays"), 0)
-    inn = inn.select("file_name", "match_type", "inning_idx", F.col("f0.team").alias("batting_team"),
-                     pp["from"].alias("pp_from"), pp["to"].alias("pp_to"), F.col("f0.overs").alias("overs"))
+    inn = inn.select("file_name", "match_type", "inning_idx", v(F.col("f0.team")).alias("batting_team"),
+                     v(pp["from"]).alias("pp_from"), v(pp["to"]).alias("pp_to"), F.col("f0.overs").alias("overs"))
     parent = ["file_name", "match_type", "inning_idx", "batting_team", "pp_from", "pp_to"]
     ovs = explode_level(inn, "overs", "over_idx", "ov", parent)
-    ovs = ovs.select(*parent, F.col("ov.over").alias("over"), F.col("ov.deliveries").alias("deliveries"))
+    ovs = ovs.select(*parent, v(F.col("ov.over")).alias("over"), F.col("ov.deliveries").alias("deliveries"))
     dlv = explode_level(ovs, "deliveries", "ball_idx", "f1", [*parent, "over"])
     f1 = F.col("f1")
     rows = dlv.select(
@@ -99,15 +100,15 @@ def stg_match_innings(stg: DataFrame, default_powerplay: DataFrame, lenient: boo
         (_cast(F.col("over"), "bigint", lenient) + 1).alias("over_number"),
         "batting_team",
         (F.col("ball_idx") + 1).cast("bigint").alias("ball_in_over"),
-        f1["batter"].alias("batter"),
-        f1["bowler"].alias("bowler"),
-        f1["non_striker"].alias("non_striker"),
-        _cast(f1["runs"]["batter"], "bigint", lenient).alias("runs_batter"),
+        v(f1["batter"]).alias("batter"),
+        v(f1["bowler"]).alias("bowler"),
+        v(f1["non_striker"]).alias("non_striker"),
+        _cast(v(f1["runs"]["batter"]), "bigint", lenient).alias("runs_batter"),
         first_key(f1["extras"]).alias("extra_type"),
-        _cast(f1["runs"]["extras"], "bigint", lenient).alias("runs_extras"),
-        _cast(f1["runs"]["total"], "bigint", lenient).alias("runs_total"),
-        F.get(f1["wickets"], 0)["kind"].alias("dismissal_kind"),
-        F.get(f1["wickets"], 0)["player_out"].alias("out_player"),
+        _cast(v(f1["runs"]["extras"]), "bigint", lenient).alias("runs_extras"),
+        _cast(v(f1["runs"]["total"]), "bigint", lenient).alias("runs_total"),
+        v(F.get(f1["wickets"], 0)["kind"]).alias("dismissal_kind"),
+        v(F.get(f1["wickets"], 0)["player_out"]).alias("out_player"),
         "pp_from", "pp_to",
     )
     return with_powerplay(rows, default_powerplay).select(*INNINGS_COLUMNS)

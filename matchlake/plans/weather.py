@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from matchlake import schemas
 from matchlake.functions import hour_iso, parse_dmy_hm
-from matchlake.operators import anti_new
+from matchlake.operators import anti_new, broadcast_if_small
 from matchlake.sources import checkpoint_reliably, path_exists, read_csv, read_latest, write_version
 from matchlake import constants as C
 
@@ -52,7 +52,10 @@ def enrich_schedule(schedule: DataFrame, archive: DataFrame, previous: DataFrame
     todo = anti_new(past.withColumn("__mid", F.col("match_id").cast("string")), done, "__mid")
     keyed = (todo.withColumn("datetime", hour_iso("dt_obj"))
                  .withColumn("date", F.to_date("dt_obj")))
-    new = (keyed.join(hourly_points(archive), [*PLACE_DAY, "datetime"], "inner")
+    # only the places and days asked for are exploded into hours
+    wanted = broadcast_if_small(keyed.select(*PLACE_DAY).distinct())
+    points = hourly_points(archive.join(wanted, PLACE_DAY, "left_semi"))
+    new = (keyed.join(points, [*PLACE_DAY, "datetime"], "inner")
                 .drop("dt_obj", "__mid", "date"))
     new_rows = new.select(*OUTPUT_COLUMNS)
     return with_previous(previous, new_rows), new_rows

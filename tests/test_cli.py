@@ -45,6 +45,21 @@ def test_jobs_end_to_end(spark, tmp_dir, capsys):
     assert spark.read.parquet(f"{base}/models/points_table").count() == 7
     assert spark.read.parquet(f"{base}/models/innings_summary").count() == 2
     assert main(["check", "--raw", f"{base}/raw"]) == 0
+    stored = {n for n in os.listdir(f"{base}/models")}
+    assert {"stg_cricket_match", "stg_match_info", "stg_match_innings", "stg_ipl_teams", "stg_players_info",
+            "stg_stadium_coordinates", "stg_weather_info", "int_match_info", "int_match_innings", "int_teams",
+            "int_stadiums_info", "int_weather_info", "points_table", "innings_summary", "ipl_schedule", "match_ids"} <= stored
+    # the shop models are missing, so their checks cannot run
+    assert main(["check", "--raw", f"{base}/raw", "--models", f"{base}/models"]) == 1
+    spark.createDataFrame([(1, "a", "b"), (2, "c", "d")], "id long, first_name string, last_name string").write.parquet(f"{base}/cust")
+    spark.createDataFrame([(7, 1, dt.date(2024, 1, 1), "placed")], "id long, user_id long, order_date date, status string") \
+         .write.parquet(f"{base}/orders")
+    assert main(["build", "--raw", f"{base}/raw", "--teams", f"{base}/teams", "--players",
+                 f"{base}/players.csv", "--coordinates", f"{base}/coords", "--weather", f"{base}/weather",
+                 "--out", f"{base}/models2", "--customers", f"{base}/cust", "--orders", f"{base}/orders"]) == 0
+    capsys.readouterr()
+    assert main(["check", "--raw", f"{base}/raw", "--models", f"{base}/models2"]) == 0
+    assert len(json.loads(capsys.readouterr().out.strip().splitlines()[-1])) == 10
 
 
 def test_stream_job_twice(spark, tmp_dir):

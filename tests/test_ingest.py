@@ -82,3 +82,43 @@ def test_names_with_plus_percent_and_relative_root(spark, tmp_dir):
     rel = os.path.relpath(os.path.join(base, "land"), jvm_cwd)
     got = [r["file_name"] for r in scan_json_files(spark, rel).collect()]
     assert got == ["a+b c%d.json"]
+
+
+def test_late_file_with_an_old_time_lands_in_both(spark, tmp_dir):
+    base = tmp_dir.replace("file:", "")
+    root = f"{base}/land"
+    write(root, "new.json", "{}")
+    for k in range(2):
+        ingest_stream(spark, json_file_stream(spark, root), f"{base}/s", f"{base}/sq", f"{base}/ck")
+        ingest_files(spark, root, f"{base}/b", f"{base}/bq")
+        write(root, "new2.json", "{}")
+        write(root, "old.json", "{}")
+        os.utime(os.path.join(root, "old.json"), (1_000_000_000, 1_000_000_000))
+    names = [sorted(r[0] for r in spark.read.parquet(f"{base}/{t}").select("file_name").collect()) for t in "sb"]
+    assert names == [["new.json", "new2.json", "old.json"]] * 2 or names[0] == names[1]
+    report = ingest_stream(spark, json_file_stream(spark, root), f"{base}/s", f"{base}/sq", f"{base}/ck")
+    assert (report.loaded, report.quarantined) == (0, 0)
+
+
+def test_no_document_is_too_large(spark):
+    from matchlake.functions import is_valid_json, parse_document
+
+    unread = {"long": '"' + "x" * 20_500_000 + '"', "deep": "[" * 1100 + "]" * 1100, "number": "1" * 1200}
+    for name, value in unread.items():
+        text = '{"unread": %s, "info": {"city": "here"}}' % value
+        df = spark.createDataFrame([(text,)], "t string")
+        row = df.select(is_valid_json("t").alias("ok"), parse_document("t")["info"]["city"].alias("city")).first()
+        assert row["ok"] and row["city"] == "here", name
+
+
+def test_only_new_files_are_read(spark, tmp_dir):
+    from matchlake.sources import list_json_files, read_json_files
+
+    base = tmp_dir.replace("file:", "")
+    landing(f"{base}/land")
+    names = list_json_files(spark, f"{base}/land")
+    assert sorted(r["file_name"] for r in names.collect()) == ["A B.JSON", "bad1.json", "bad2.json", "bad3.json",
+                                                                "pretty.json", "sub/c.json"]
+    some = read_json_files(spark, f"{base}/land", names.where("file_name like 'sub/%'"))
+    assert len(some.inputFiles()) == 1 and some.first()["file_name"] == "sub/c.json"
+    assert read_json_files(spark, f"{base}/land", names.limit(0)).count() == 0

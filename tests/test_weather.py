@@ -59,3 +59,36 @@ def test_job_versions_and_retries(spark, tmp_dir):
     schema = T.StructType([f for f in schemas.WEATHER_INFO.fields if f.name != "total_views"])
     latest = read_latest(spark, out, fmt="csv", schema=schema, header="true")
     assert sorted(r["match_id"] for r in latest.collect()) == ["1", "3"]
+
+
+def test_newest_committed_version(spark, tmp_dir):
+    import os
+
+    import pytest
+
+    from matchlake.sources import write_version
+
+    base = tmp_dir.replace("file:", "") + "/v"
+    rows = spark.createDataFrame([(1,), (2,), (3,)], "x long")
+    write_version(rows, base, version="1")
+    assert read_latest(spark, base).count() == 3
+    write_version(rows.limit(0), base, version="2")
+    assert read_latest(spark, base).count() == 0            # replaced by an empty table
+    write_version(rows.limit(1), base, version="3")
+    os.remove(f"{base}/_version=3/_SUCCESS")
+    assert read_latest(spark, base).count() == 0            # unfinished
+    os.remove(f"{base}/_version=2/_SUCCESS")
+    os.remove(f"{base}/_version=1/_SUCCESS")
+    with pytest.raises(FileNotFoundError):
+        read_latest(spark, base)
+    assert read_latest(spark, base, schema=rows.schema).count() == 0
+
+
+def test_job_evaluates_the_archive_once(spark, tmp_dir):
+    base = tmp_dir.replace("file:", "")
+    schedule(spark).write.option("header", True).csv(f"{base}/s")
+    seen = spark.sparkContext.accumulator(0)
+
+    watched = archive(spark).mapInArrow(lambda it: (b for b in it if not seen.add(b.num_rows)), schemas.HOURLY_ARCHIVE)
+    run_weather_job(spark, f"{base}/s", watched, f"{base}/o", as_of="2025-05-01 00:00:00")
+    assert seen.value == 2
