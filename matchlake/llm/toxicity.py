@@ -31,6 +31,7 @@ SAMPLE = 20_000         # labelled documents the model is fitted on, at most
 TERMS = 8192            # words and word beginnings it knows, at most
 BEGINNING = 5           # bytes of a word beginning
 WINDOW = 48             # tokens of a training window
+WINDOWS = 4096          # training windows, at most
 LEVELS = np.array([0.5, 1.5, 2.5, 3.5, 4.5])   # log-odds that separate the levels 0..5
 TOXIC_LEVEL = 3         # tokens of this level in a toxic document are labelled toxic
 FOLDS = 5
@@ -165,7 +166,7 @@ def features(log_z: np.ndarray, row: np.ndarray, marginal: np.ndarray, n: np.nda
     return np.stack([np.clip(some, -15, 15), np.log1p(expected), np.log1p(n), np.ones(len(n))], axis=1)
 
 
-def fit_field(levels: np.ndarray, tags: np.ndarray, n_levels: int, rounds: int = 300) -> np.ndarray:
+def fit_field(levels: np.ndarray, tags: np.ndarray, n_levels: int, rounds: int = 150) -> np.ndarray:
     """Weights by gradient ascent on the conditional likelihood of windows of tokens."""
     theta = np.zeros(4 + n_levels)
     theta[:4] = [-3, -3, -1, 0]
@@ -228,10 +229,12 @@ def _signals(model: Model):
 
 def _windows(n: np.ndarray, row: np.ndarray, index: np.ndarray, level: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Dense windows of levels and tags: one around every eighth token above
-    level 0, and one where each document begins."""
+    level 0, and one where each document begins; evenly thinned to WINDOWS."""
     pick = np.arange(0, len(row), 8)
     w_row = np.concatenate([np.flatnonzero(n > 0), row[pick]])
     w_at = np.concatenate([np.zeros((n > 0).sum(), np.int64), np.maximum(index[pick] - WINDOW // 2, 0)])
+    thin = np.unique(np.linspace(0, len(w_row) - 1, min(WINDOWS, len(w_row))).astype(np.int64))
+    w_row, w_at = w_row[thin], w_at[thin]
     levels = np.zeros((len(w_row), WINDOW), np.int64)
     key = row * (1 << 32) + index
     lo = np.searchsorted(key, w_row * (1 << 32) + w_at)
