@@ -11,16 +11,39 @@ from matchlake.session import scratch_dir
 SMALL = 8 << 20
 
 
+#: Drops the shuffle files of a query once it has ended.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """``df`` written once under ``spark.checkpoint.dir`` and read back.
 
     The files survive a lost executor, so later steps never recompute what
-    stands before; unlike a checkpoint the copy can be pruned by column.
+    stands before; unlike a checkpoint the copy can be pruned by column.  The
+    shuffle files behind it are dropped when it is written.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, name)
-    df.write.option("compression", codec).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(_CLEAN, None)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.option("compression", codec).parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEAN)
+        else:
+            spark.conf.set(_CLEAN, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes stored tables that nothing unevaluated reads any more."""
+    for t in tables:
+        jvm = t.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(t.stored_at)
+        path.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
