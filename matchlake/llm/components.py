@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchlake.llm.store import stored
+from matchlake.llm.store import SMALL, stored
+from matchlake.operators.joins import broadcast_if_small
 
 
 def components(links: DataFrame, name: str, max_rounds: int = 100) -> DataFrame:
@@ -20,23 +21,26 @@ def components(links: DataFrame, name: str, max_rounds: int = 100) -> DataFrame:
     """
     edges = stored(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct(),
                    f"{name}-links")
-    state = None
     for _ in range(max_rounds):
+        if _settled(edges):
+            break
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-        large = (both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                     .where("a != b").distinct())
+        large = (both.where("b > a").join(broadcast_if_small(low, SMALL), "a")
+                     .select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b"))
         large = stored(large, f"{name}-large")
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a")
-        small = (small.select(F.col("b").alias("a"), F.col("m").alias("b"))
-                      .unionByName(low.select("a", F.col("m").alias("b"))).where("a != b").distinct())
-        edges = stored(small, f"{name}-small")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == state:
-            break
-        state = now
+        small = large.join(broadcast_if_small(low, SMALL), "a").select(F.explode(F.array(
+            F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e"))
+        edges = stored(small.select("e.a", "e.b").where("a != b").distinct(), f"{name}-small")
     else:
         raise RuntimeError("components did not settle")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("label")) \
                 .unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())
+
+
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node hangs on one root and no root hangs on another."""
+    below = edges.groupBy("a").agg(F.count("*").alias("n"))
+    roots = edges.select(F.col("b").alias("a")).distinct()
+    return below.where("n > 1").select("a").unionByName(below.join(broadcast_if_small(roots, SMALL), "a", "left_semi").select("a")).isEmpty()

@@ -1,23 +1,23 @@
 """N-gram Jaccard join by vertical partitioning.
 
-A document is the set of its word n-grams.  The global order of the n-grams
-(their hashes) is cut into fragments, and each set with it.
-
-1. *Fragments find candidates.*  Two sets that reach the threshold differ in at
-   most d = floor(size * (1 - t) / t) n-grams, size being the smaller one, so of
-   m > d fragments some are equal.  Each set names its fragments for the m of
-   its size (and for the m of its smallest partner, where that is another one);
-   only sets that share a name stay.  m leaves one equal fragment to spare, so
-   an empty fragment need not be named unless a set has several.
-2. *Equal sets* are one node throughout.
-3. *Candidates are joined exactly.*  n-grams are counted among the candidates; a
-   link needs a common n-gram among the rarest ``size - ceil(t * size) + 1`` of
-   each side.  First every node is held against the most central node it meets
-   (that of the largest mean count), and linked nodes become one component;
-   then only pairs of different components meet, and only when the n-grams that
-   no other set has leave room for the threshold.  So a group of near copies
-   costs one pair per member and not all pairs.
-4. *Overlaps are counted per fragment* and summed per pair.
+A document is the set of its word n-grams; equal sets are one node throughout.
+The global order of the n-grams is cut into fragments, and the sets with it.
+
+1. *Candidates.*  In the order of the hashes, linked sets share n-grams among
+   the first few of each: of the first ``size - ceil(t * size) + 1 + s`` at
+   least ``1 + s`` (s a small share of the size, so that one common passage is
+   not enough).  These prefixes are counted over the corpus, and only nodes with
+   enough n-grams that other nodes have, too, go on; the count is repeated among
+   those.  A bit array of fixed size spares n-grams that stand once the second
+   exchange.
+2. *The join.*  n-grams are counted among the candidates; a link needs a common
+   n-gram among the rarest ``size - ceil(t * size) + 1`` of each side.  First
+   every node is held against the most central node it meets (that of the
+   largest mean count), and linked nodes become one component; then only pairs
+   of different components meet, and only when at a common n-gram each side has
+   enough n-grams left to reach the threshold.  So a group of near copies costs one pair
+   per member and not all pairs.
+3. *Overlaps* are counted fragment by fragment and summed per pair.
 """
 
 from __future__ import annotations
@@ -32,22 +32,15 @@ from pyspark.sql import functions as F
 from matchlake.llm.columns import Rolling, lower_ascii, mix, slices, word_hashes, words
 from matchlake.llm.components import components
 from matchlake.llm.spans import doc_key
-from matchlake.llm.store import stored, text_of
+from matchlake.llm.store import SMALL, discard, stored, text_of
 from matchlake.operators.joins import broadcast_if_small
 
 N = 3
 THRESHOLD = 90          # percent
 PARTS = 4               # fragments in which overlaps are counted
-_STEP = 1.5             # ratio of neighbouring fragment counts
-
-
-def fragment_counts(up_to: int, percent: int) -> np.ndarray:
-    """Smallest fragment count for each set size 0..up_to, from a ladder."""
-    need = np.arange(up_to + 1) * (100 - percent) // percent + 2
-    ladder = [2]
-    while ladder[-1] < need[-1]:
-        ladder.append(int(ladder[-1] * _STEP + 0.5))
-    return np.array(ladder)[np.searchsorted(ladder, need)]
+SPARE = 5               # percent of a set's size by which candidate prefixes are longer
+ROUNDS = 2              # times the candidates are counted again among themselves
+BITS = 27               # the bit array has 2**BITS bits, whatever the corpus
 
 
 def shingles(raw: np.ndarray, offs: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -68,42 +61,6 @@ def shingles(raw: np.ndarray, offs: np.ndarray, n: int) -> tuple[np.ndarray, np.
     return grams[new], upto[off]
 
 
-def fragment_names(grams: np.ndarray, off: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, name) of the fragments each set shows."""
-    size = np.diff(off)
-    top = int(size.max(initial=0))
-    m_of = fragment_counts(top, percent)
-    own, low = m_of[size], m_of[-(-size * percent // 100)]
-    values = np.zeros(len(grams) + 1, np.uint64)
-    np.cumsum(mix(grams + np.uint64(0x51)), out=values[1:])
-    rows, names = [], []
-    some = size * (100 - percent) >= percent      # smaller sets link with equal ones only
-    for m_row, use in ((own, some), (low, some & (low != own))):
-        r = np.flatnonzero(use)
-        if not len(r):
-            continue
-        m = m_row[r]
-        base = np.cumsum(m) - m
-        owner = np.repeat(np.arange(len(r)), size[r])
-        at = np.arange(len(owner)) - np.repeat(np.cumsum(size[r]) - size[r], size[r]) + off[r][owner]
-        frag = ((grams[at] >> np.uint64(32)) * m[owner].astype(np.uint64)) >> np.uint64(32)
-        where = np.searchsorted(base[owner] + frag.astype(np.int64), np.arange(int(m.sum()) + 1))
-        owner_f = np.repeat(np.arange(len(r)), m)
-        f = np.arange(len(owner_f)) - base[owner_f]
-        start = off[r][owner_f] + where[:-1] - (np.cumsum(size[r]) - size[r])[owner_f]
-        count = np.diff(where)
-        total = values[start + count] - values[start]
-        empty = count == 0
-        n_empty = np.bincount(owner_f, weights=empty, minlength=len(r))
-        show = ~empty | (n_empty[owner_f] > 1)
-        name = mix(mix(total + count.astype(np.uint64)) + (m[owner_f] * 0x10001 + f).astype(np.uint64))
-        rows.append(r[owner_f[show]])
-        names.append(name[show])
-    if not rows:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    return np.concatenate(rows), np.concatenate(names)
-
-
 def set_names(grams: np.ndarray, off: np.ndarray) -> np.ndarray:
     """A 64-bit name for each set."""
     sums = np.zeros(len(grams) + 1, np.uint64)
@@ -111,25 +68,61 @@ def set_names(grams: np.ndarray, off: np.ndarray) -> np.ndarray:
     return mix(sums[off[1:]] - sums[off[:-1]] + np.diff(off).astype(np.uint64)).view(np.int64)
 
 
-def _list(values: np.ndarray, row: np.ndarray, n: int) -> pa.Array:
-    order = np.argsort(row, kind="stable")
-    off = np.searchsorted(row[order], np.arange(n + 1)).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(off), pa.array(values[order].view(np.int64)))
+def _sets(n: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, raw, offs in slices(batch, 1):
+                grams, off = shingles(lower_ascii(raw), offs, n)
+                size = np.diff(off)
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).slice(i, j - i), pa.array(size), pa.array(set_names(grams, off), mask=size == 0)],
+                    ["doc_id", "n", "node"])
+    return run
 
 
-def _sets(n: int, percent: int):
+def _prefixes(n: int, percent: int, bits=None):
+    """(key, node, n): the first n-grams of each set; those alone whose bit is set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, raw, offs in slices(batch, 1):
+            for _, _, raw, offs in slices(batch, 0):
                 grams, off = shingles(lower_ascii(raw), offs, n)
-                size, node = np.diff(off), set_names(grams, off)
-                row, name = fragment_names(grams, off, percent)
+                size = np.diff(off)
+                # smaller sets link with equal ones only
+                take = np.where(size * (100 - percent) >= percent, size * (100 - percent) // 100 + 1 + size * SPARE // 100, 0)
+                row = np.repeat(np.arange(len(size)), take)
+                key = grams[np.arange(len(row)) - np.repeat(np.cumsum(take) - take, take) + off[row]]
+                if bits is not None:
+                    at = (key & np.uint64((1 << BITS) - 1)).astype(np.int64)
+                    keep = (bits.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) > 0
+                    key, row = key[keep], row[keep]
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(i, j - i), pa.array(size), pa.array(node, mask=size == 0),
-                    _list(name, row, j - i)], ["doc_id", "n", "node", "keys"])
+                    pa.array(key.view(np.int64)), pa.array(set_names(grams, off)[row]), pa.array(size[row])], ["key", "node", "n"])
     return run
 
 
+def _candidates(texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """(node) of the sets that share enough of their prefix; ``texts`` is read twice."""
+    columns = "key long, node long, n long"
+    keys = texts.mapInArrow(_prefixes(n, percent), columns)
+    multi = stored(keys.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key"), "jaccard-multi")
+    low = F.col("key").bitwiseAND(F.lit((1 << BITS) - 1))
+    words_ = (multi.groupBy(F.shiftright(low, 6).alias("at"))
+                   .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), low.bitwiseAND(F.lit(63)).cast("int"))).alias("w"))
+                   .toArrow())                                   # at most 2**BITS / 64 rows
+    bits = np.zeros(1 << (BITS - 6), np.uint64)
+    bits[words_.column("at").to_numpy()] = words_.column("w").to_numpy().view(np.uint64)
+    some = texts.mapInArrow(_prefixes(n, percent, texts.sparkSession.sparkContext.broadcast(bits)), columns)
+    pairs = stored(some.join(multi, "key").distinct(), "jaccard-prefixes")     # equal sets are one node from here on
+    least = F.floor(F.ceil(F.col("n") * percent / 100) * SPARE / 100) + 1
+    for _ in range(ROUNDS):
+        common = pairs.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key")
+        enough = (pairs.join(common, "key").groupBy("node", "n").agg(F.count("*").alias("k")).where(F.col("k") >= least))
+        fewer = stored(pairs.join(enough.select("node"), "node").select("key", "node", "n"), "jaccard-prefixes")
+        discard(pairs)
+        pairs = fewer
+    return pairs.select("node").distinct()
+
+
 def _grams(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -168,16 +161,15 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     columns are not read; an empty table gives an empty result.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), doc_key(id_col), text_of(text_col).alias("text"))
-    sets = stored(rows.select("doc_id", "text").mapInArrow(_sets(n, percent), "doc_id long, n long, node long, keys array<long>"), "jaccard-sets")
-    keys = sets.where("node is not null").select(F.explode("keys").alias("key"), "node")
-    multi = keys.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a != b").select("key")
-    some = keys.join(multi, "key").select("node").distinct()
+    sets = stored(rows.select("doc_id", "text").mapInArrow(_sets(n), "doc_id long, n long, node long"), "jaccard-sets")
+    some = _candidates(rows.select("text"), n, percent)
     # one text per candidate node; only identifiers are joined with the texts
     pick = (sets.where("node is not null").groupBy("node").agg(F.min(doc_key("doc_id")).alias("doc"))
                 .join(some, "node").select("doc").distinct())
     texts = rows.join(broadcast_if_small(stored(pick, "jaccard-candidates")), "doc", "left_semi")
     grams = stored(texts.select("doc_id", "text").mapInArrow(_grams(n), "node long, grams array<long>"), "jaccard-grams")
     labels = _join_candidates(grams, percent)
+    discard(grams)
     sets = sets.select("doc_id", "n", "node").join(labels, "node", "left")
     label = F.coalesce("label", "node")
     lowest = (sets.where("node is not null").groupBy(label.alias("label")).agg(F.min("doc_id").alias("lowest")))
@@ -189,39 +181,43 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def _join_candidates(grams: DataFrame, percent: int) -> DataFrame:
     """(node, label) of the linked nodes among the candidates (node, grams)."""
     grams = grams.where(F.size("grams") > 0).dropDuplicates(["node"])
-    each = grams.select("node", F.size("grams").alias("n"), F.explode("grams").alias("g"))
+    each = grams.select("node", F.explode("grams").alias("g"))
     common = each.groupBy("g").agg(F.count("*").alias("df")).where("df > 1")
     shared = stored(each.join(common, "g"), "jaccard-shared")
     # n-grams that no other candidate has are lost for every link
-    node = (shared.groupBy("node").agg(F.first("n").alias("n"), F.count("*").alias("c"), F.sum("df").alias("s"))
+    node = (shared.groupBy("node").agg(F.count("*").alias("c"), F.sum("df").alias("s"))
+                  .join(grams.select("node", F.size("grams").alias("n")), "node")
                   .where(F.col("c") * 100 >= F.col("n") * percent))
     node = stored(node.select("node", "n", "c", (-F.col("s") / F.col("n")).alias("rank")), "jaccard-nodes")
     # the rarest n-grams of a node: those of its own come first and meet nobody
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.col("c"))
-    per_node = (shared.drop("n").join(node, "node").groupBy("node", "n", "c", "rank")
+    per_node = (shared.join(broadcast_if_small(node, SMALL), "node").groupBy("node", "n", "c", "rank")
                       .agg(F.array_sort(F.collect_list(F.struct("df", "g"))).alias("all")))
-    index = stored(per_node.select("node", "n", "c", "rank", F.explode(F.slice("all", 1, prefix.cast("int"))).alias("x"))
-                           .select("node", "n", "c", "rank", "x.g"), "jaccard-index")
-    cut = stored(grams.join(node.select("node"), "node")
+    # left: n-grams of a node from its position in this order on
+    index = stored(per_node.select("node", "n", "c", "rank", F.posexplode(F.slice("all", 1, prefix.cast("int"))).alias("k", "x"))
+                           .select("node", "n", "rank", "x.g", (F.col("c") - F.col("k")).alias("left")), "jaccard-index")
+    cut = stored(grams.join(broadcast_if_small(node.select("node"), SMALL), "node")
                       .select("node", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part"), "grams")
                       .select("node", "part", F.filter("grams", lambda g: F.pmod(g, F.lit(PARTS)) == F.col("part")).alias("grams")),
                  "jaccard-cut")
 
     def fits(x: str, y: str):
-        """The n-grams two sides can share leave room for the threshold."""
-        most = F.least(F.col(f"c_{x}"), F.col(f"c_{y}"))
+        """At their first common n-gram, linked nodes have enough left for the threshold."""
+        most = F.least(F.col(f"left_{x}"), F.col(f"left_{y}"))
         return most * 100 >= percent * (F.col(f"n_{x}") + F.col(f"n_{y}") - most)
 
-    centre = index.groupBy("g").agg(F.min(F.struct("rank", "node", "n", "c")).alias("p"))
-    best = (index.join(centre, "g").groupBy("node", "n", "c").agg(F.min("p").alias("p"))
+    centre = index.groupBy("g").agg(F.min(F.struct("rank", "node", "n", "left")).alias("p"))
+    best = (index.join(centre, "g")
                  .select(F.col("p.node").alias("a"), F.col("node").alias("b"), F.col("p.n").alias("n_a"), F.col("n").alias("n_b"),
-                         F.col("p.c").alias("c_a"), F.col("c").alias("c_b"))
-                 .where("a != b").where(fits("a", "b")))
+                         F.col("p.left").alias("left_a"), F.col("left").alias("left_b"), "p.rank")
+                 .where("a != b").where(fits("a", "b"))
+                 .groupBy("b", "n_b").agg(F.min(F.struct("rank", "a", "n_a")).alias("p"))
+                 .select("p.a", "b", "p.n_a", "n_b"))
     tested = stored(best, "jaccard-first")
-    links = stored(_linked(tested.select("a", "b", "n_a", "n_b"), cut, percent), "jaccard-links")
+    links = stored(_linked(tested, cut, percent), "jaccard-links")
     labels = stored(components(links, "jaccard-first"), "jaccard-labels")
     placed = stored(index.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "jaccard-placed")
-    x, y = ([F.col("g"), *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "c", "label")]] for s in "xy")
+    x, y = ([F.col("g"), *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "left", "label")]] for s in "xy")
     # n-grams whose nodes are all of one component need no second look
     open_ = placed.groupBy("g").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("g")
     left = placed.join(open_, "g")
@@ -231,7 +227,9 @@ def _join_candidates(grams: DataFrame, percent: int) -> DataFrame:
                  .distinct())
     done = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = _linked(stored(pairs.join(done, ["a", "b"], "left_anti"), "jaccard-second"), cut, percent)
-    return stored(components(links.unionByName(more), "jaccard-second"), "jaccard-components")
+    out = stored(components(links.unionByName(more), "jaccard-second"), "jaccard-components")
+    discard(shared, node, index, cut, tested, links, labels, placed)
+    return out
 
 
 def one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from matchlake.llm.columns import Rolling, mix, slices, word_hashes, words
 from matchlake.llm.spans import (CELLS, NULL_ID, cell_batch, covered, doc_key, items_of, per_document, settle)
-from matchlake.llm.store import SMALL, stored, text_of
+from matchlake.llm.store import SMALL, discard, stored, text_of
 from matchlake.operators.joins import broadcast_if_small
 
 WIDTH = 20
@@ -208,6 +208,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     later = (single.join(first, ["ckey", "w"]).where(F.struct("doc", "lo") != F.col("first"))
                    .select("doc", "lo", F.col("lo").alias("hi")))
     cuts = stored(per_document(known.unionByName(later), "lo", "hi"), "substring-cuts")
+    discard(single)
     work = rows.join(cuts, "doc", "left").select("doc", "text", "items")
     last = "kept_sha256 string" if digest else "text string"
     out = work.mapInArrow(_cut(width, digest), f"doc_id long, n_words long, n_removed long, {last}")

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchlake.llm.columns import lower_ascii, slices, word_hashes, words
-from matchlake.llm.store import stored, text_of
+from matchlake.llm.store import discard, stored, text_of
 
 SAMPLE = 20_000         # labelled documents the model is fitted on, at most
 TERMS = 8192            # words and word beginnings it knows, at most
@@ -276,6 +276,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     model = Model(name[order], level[order].astype(np.int8), np.zeros(4 + len(LEVELS) + 1), np.zeros(4))
     got = train.where("fold > 2").select("text", "toxic").mapInArrow(
         _signals(model), "toxic int, n long, at array<long>, level array<long>").toPandas()
+    discard(train)
     y = got["toxic"].to_numpy(float)
     if not 0 < y.sum() < len(y) or not len(lexicon):
         share = (n_p + y.sum() + 1) / (n_p + n_q + len(y) + 3)
