@@ -13,21 +13,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchlake.llm.store import stored, text_of
+from matchlake.llm.spans import row_texts
+from matchlake.llm.store import stored
 
 WINDOW = 3
 
 
-def _windows(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """One row per window: identifier, index of its first line, two 64-bit hashes."""
+def _windows(rows: DataFrame, width: int) -> DataFrame:
+    """One row per window: row key, index of its first line, two 64-bit hashes."""
     last = F.size("lines") - width
     hashes = F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(
         F.xxhash64(F.slice("lines", i + 1, width)).alias("a"),
         F.xxhash64(F.lit("second"), F.slice("lines", i + 1, width)).alias("b"))))
-    return (docs.where(F.col(id_col).isNotNull())
-                .select(F.col(id_col).cast("long").alias("doc_id"), F.split(text_of(text_col), "\n", -1).alias("lines"))
-                .select("doc_id", F.posexplode(hashes).alias("pos", "h"))
-                .select("doc_id", "pos", "h.a", "h.b"))
+    return rows.select("doc", F.posexplode(hashes).alias("pos", "h")).select("doc", "pos", "h.a", "h.b")
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WINDOW) -> DataFrame:
@@ -35,22 +33,22 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Lines are what stands between line feeds, empty ones included, compared as
     they are.  A null or empty text is one empty line.  Documents of fewer
-    than ``width`` lines have no window and stay whole, as do rows without an
-    identifier.  Rows that repeat an identifier count as one document at the
-    same place: none of them makes the other later.  Other columns are not
-    read; an empty table gives an empty result.
+    than ``width`` lines have no window and stay whole.  Each row is a document
+    of its own: null identifiers rank after every other one, and rows that
+    share an identifier by their texts, as ``spans.row_keys`` says.  Other
+    columns are not read; an empty table gives an empty result.
     """
-    windows = _windows(docs, id_col, text_col, width)
+    rows = row_texts(docs, id_col, text_col).select("doc", "doc_id", F.split("text", "\n", -1).alias("lines"))
+    windows = _windows(rows, width)
     first = (windows.groupBy("a", "b")
-                    .agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.max(F.struct("doc_id", "pos")).alias("last"))
+                    .agg(F.min(F.struct("doc", "pos")).alias("first"), F.max(F.struct("doc", "pos")).alias("last"))
                     .where("first != last"))
     later = (windows.join(first, ["a", "b"])
-                    .where(F.struct("doc_id", "pos") != F.col("first"))
-                    .groupBy("doc_id").agg(F.collect_set("pos").alias("cut")))
+                    .where(F.struct("doc", "pos") != F.col("first"))
+                    .groupBy("doc").agg(F.collect_set("pos").alias("cut")))
     later = stored(later, "line-dedup")
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.split(text_of(text_col), "\n", -1).alias("lines"))
     covered = F.array_distinct(F.flatten(F.transform("cut", lambda p: F.sequence(p, p + width - 1))))
-    out = (rows.join(later, "doc_id", "left")
+    out = (rows.join(later, "doc", "left")
                .withColumn("covered", F.coalesce(covered, F.array().cast("array<int>")))
                .withColumn("kept", F.filter("lines", lambda _, i: ~F.array_contains("covered", i))))
     return out.select("doc_id", F.size("lines").cast("long").alias("n_lines"),

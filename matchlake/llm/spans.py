@@ -1,4 +1,4 @@
-"""Repeated windows of fixed width, found through cells.
+"""Repeated windows of fixed width, found through cells; keys of rows.
 
 A window (``width`` consecutive tokens of one document) is named by an anchor
 inside it that depends on the window's tokens only, so equal windows have equal
@@ -23,10 +23,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchlake.llm.store import stored
+from matchlake.llm.store import stored, text_of
 
 #: Stands for a null identifier: it ranks after every other one.
 NULL_ID = (1 << 63) - 1
+#: The column of row keys, and the characters of a text that order rows with one identifier.
+ROW = "__row"
+PREFIX = 256
 CELLS = "doc long, ckey long, cell long, lo int, hi int"
 CELL_SCHEMA = pa.schema([("doc", pa.int64()), ("ckey", pa.int64()), ("cell", pa.int64()),
                          ("lo", pa.int32()), ("hi", pa.int32())])
@@ -36,6 +39,29 @@ def doc_key(id_col: str) -> Column:
     return F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc")
 
 
+def row_keys(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` and ROW, a long of its own for each row, in the order of the
+    identifiers (null last); rows that share one by the first PREFIX characters
+    of the text, then by its hash; equal rows in any order.
+
+    Identifiers that do not repeat are the keys.  Otherwise the rows are sorted
+    and written with their place: equal rows spread over the ranges, too, and
+    only the beginnings of texts are sampled for the splitters.
+    """
+    keyed = docs.withColumn(ROW, doc_key(id_col))
+    if keyed.groupBy(ROW).agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        return keyed
+    placed = docs.orderBy(F.col(id_col).cast("long").asc_nulls_last(), F.substring(text_of(text_col), 1, PREFIX),
+                          F.xxhash64(text_of(text_col)), F.monotonically_increasing_id())
+    return stored(placed.withColumn(ROW, F.monotonically_increasing_id()), "row-keys")
+
+
+def row_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc, doc_id, text): the row's key, its identifier and its whole text."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
+    return row_keys(rows, "doc_id", "text").select(F.col(ROW).alias("doc"), "doc_id", "text")
+
+
 def merged(row: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Intervals of starts, sorted by (row, lo) and not overlapping, joined where they touch."""
     if not len(lo):

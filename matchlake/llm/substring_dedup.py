@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchlake.llm.columns import Rolling, mix, slices, word_hashes, words
-from matchlake.llm.spans import (CELLS, NULL_ID, cell_batch, covered, doc_key, items_of, per_document, settle)
-from matchlake.llm.store import SMALL, discard, stored, text_of
+from matchlake.llm.spans import CELLS, cell_batch, covered, items_of, per_document, row_texts, settle
+from matchlake.llm.store import SMALL, discard, stored
 from matchlake.operators.joins import broadcast_if_small
 
 WIDTH = 20
@@ -191,14 +191,13 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     A word goes when a window of ``width`` words that covers it also starts
     earlier, in a document of smaller identifier or earlier in the same one;
     windows are judged on the input.  Null or empty texts have no words;
-    documents of fewer than ``width`` words stay whole.  A null identifier
-    ranks after every other one.  Rows that repeat an identifier count as one
-    document at the same place: what is found in one applies to the others, as
-    far as their texts reach.  Other columns are not read; an empty table
-    gives an empty result.
+    documents of fewer than ``width`` words stay whole.  Each row is a document
+    of its own: null identifiers rank after every other one, and rows that
+    share an identifier by their texts, as ``spans.row_keys`` says.  Other
+    columns are not read; an empty table gives an empty result.
     """
-    rows = docs.select(doc_key(id_col), text_of(text_col).alias("text"))
-    cells = rows.mapInArrow(_cells(width, rounds), CELLS)     # cheaper to make again than to store
+    rows = row_texts(docs, id_col, text_col)
+    cells = rows.select("doc", "text").mapInArrow(_cells(width, rounds), CELLS)     # cheaper to make again than to store
     known, mixed = settle(cells, "substring", first_too=False)
     mixed = stored(per_document(mixed, "ckey", "lo", "hi"), "substring-mixed")
     work = rows.join(broadcast_if_small(mixed, SMALL), "doc").select("doc", "text", "items")
@@ -209,7 +208,6 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                    .select("doc", "lo", F.col("lo").alias("hi")))
     cuts = stored(per_document(known.unionByName(later), "lo", "hi"), "substring-cuts")
     discard(single)
-    work = rows.join(cuts, "doc", "left").select("doc", "text", "items")
+    work = rows.join(cuts, "doc", "left").select("doc_id", "text", "items")
     last = "kept_sha256 string" if digest else "text string"
-    out = work.mapInArrow(_cut(width, digest), f"doc_id long, n_words long, n_removed long, {last}")
-    return out.withColumn("doc_id", F.nullif("doc_id", F.lit(NULL_ID)))
+    return work.mapInArrow(_cut(width, digest), f"doc_id long, n_words long, n_removed long, {last}")

@@ -29,8 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchlake.llm.columns import Rolling, byte_symbols, mix, slices, window_min
-from matchlake.llm.spans import CELLS, NULL_ID, cell_batch, covered, doc_key, items_of, merged, per_document, settle
-from matchlake.llm.store import stored, text_of
+from matchlake.llm.spans import CELLS, cell_batch, covered, items_of, merged, per_document, row_texts, settle
+from matchlake.llm.store import stored
 
 WIDTH = 400
 GRAM = 48
@@ -209,14 +209,13 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Texts are UTF-8 bytes.  A byte goes when a string of ``width`` bytes that
     covers it also starts anywhere else, in the same document or another;
     overlaps count, and strings are judged on the input.  Null or empty texts
-    have no bytes; texts shorter than ``width`` stay whole.  Null identifiers
-    share one place after all others.  Rows that repeat an identifier count
-    each as a document, and what is found in one applies to the others with
-    that identifier, as far as their texts reach.  Other columns are not read;
-    an empty table gives an empty result.
+    have no bytes; texts shorter than ``width`` stay whole.  Each row is a
+    document of its own, whether its identifier is null or repeated (see
+    ``spans.row_keys``).  Other columns are not read; an empty table gives an
+    empty result.
     """
-    rows = docs.select(doc_key(id_col), text_of(text_col).alias("text"))
-    cells = stored(rows.mapInArrow(_cells(width, gram), CELLS), "suffix-cells")
+    rows = row_texts(docs, id_col, text_col)
+    cells = stored(rows.select("doc", "text").mapInArrow(_cells(width, gram), CELLS), "suffix-cells")
     known, mixed = settle(cells, "suffix", first_too=True)
     mixed = stored(mixed, "suffix-mixed")
     sizes = mixed.groupBy("ckey").agg((F.count("*") > group).alias("hot"))
@@ -229,7 +228,6 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     twice = rest.groupBy("w").agg(F.count("*").alias("n")).where("n > 1").select("w")
     spread = rest.join(twice, "w").select("doc", "lo", F.col("lo").alias("hi"))
     cuts = stored(per_document(known.unionByName(spans).unionByName(spread), "lo", "hi"), "suffix-cuts")
-    work = rows.join(cuts, "doc", "left").select("doc", "text", "items")
+    work = rows.join(cuts, "doc", "left").select("doc_id", "text", "items")
     last = "kept_sha256 string" if digest else "kept binary"
-    out = work.mapInArrow(_cut(width, digest), f"doc_id long, n_bytes long, n_removed long, n_spans long, {last}")
-    return out.withColumn("doc_id", F.nullif("doc_id", F.lit(NULL_ID)))
+    return work.mapInArrow(_cut(width, digest), f"doc_id long, n_bytes long, n_removed long, n_spans long, {last}")

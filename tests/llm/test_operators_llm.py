@@ -121,6 +121,60 @@ def test_line_dedup(docs, rows, none):
     assert line_dedup(none).count() == 0
 
 
+def shared_ids(spark, odd):
+    """(rows, table): rows of ``odd``, and different texts under one identifier or none, many of them equal."""
+    rng = random.Random(8)
+    say = lambda n: [f"v{rng.randrange(5000)}" for _ in range(n)]
+    passage = say(120)
+    rows = [(r.doc_id, r.text) for r in odd.collect()]
+    for k in range(30):
+        i = (None, 1, 5, k)[k % 4]
+        rows += [(i, "\n".join(" ".join(say(8)) for _ in range(20))), (i, " ".join(say(k) + passage + say(90)))]
+    rows += [(None, rows[-1][1])] * 9 + [(1, rows[-2][1])] * 2 + [(None, "a\nb\nc\na\nb\nc"), (7, "x\na\nb\nc")]
+    rng.shuffle(rows)
+    return rows, table(spark, rows)
+
+
+def by_row(rows):
+    """The rows in the order of their keys, numbered: a document each."""
+    return sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
+
+
+def test_dedup_by_row(spark, odd):
+    """Null and repeated identifiers: the full results of the three operators."""
+    rows, docs = shared_ids(spark, odd)
+    for rows, docs in ((rows, docs), ([(r.doc_id, r.text) for r in odd.collect()], odd)):
+        order = by_row(rows)
+        texts = [(k, t) for k, (_, t) in enumerate(order)]
+        of = lambda k: -1 if order[k][0] is None else order[k][0]
+        for width in (400, 40):
+            want = sorted((of(k), *x) for k, x in brute.suffix_dedup(texts, width).items())
+            for group in (2048, 1):
+                got = suffix_dedup(docs, width=width, gram=min(48, width // 2), group=group).collect()
+                assert sorted((-1 if r.doc_id is None else r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == want
+        for width in (20, 3):
+            want = sorted((of(k), *x) for k, x in brute.substring_dedup(texts, width).items())
+            got = substring_dedup(docs, width=width).collect()
+            assert sorted((-1 if r.doc_id is None else r.doc_id, r.n_words, r.n_removed, r.text) for r in got) == want
+        want = sorted((of(k), *x) for k, x in line_brute(texts).items())
+        got = line_dedup(docs).collect()
+        assert sorted((-1 if r.doc_id is None else r.doc_id, r.n_lines, r.n_removed, r.text) for r in got) == want
+
+
+def line_brute(rows):
+    seen, want = set(), {}
+    for d, t in rows:
+        lines = (t or "").split("\n")
+        gone = set()
+        for p in range(len(lines) - 2):
+            key = tuple(lines[p: p + 3])
+            if key in seen:
+                gone |= {p, p + 1, p + 2}
+            seen.add(key)
+        want[d] = (len(lines), len(gone), "\n".join(x for k, x in enumerate(lines) if k not in gone))
+    return want
+
+
 @pytest.mark.parametrize("n,percent", [(3, 90), (5, 80), (1, 60)])
 def test_jaccard_classes(docs, rows, n, percent):
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_classes(docs, n=n, percent=percent).collect()}
