@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from matchlake.llm.columns import Rolling, lower_ascii, mix, slices, word_hashes, words
 from matchlake.llm.components import components
-from matchlake.llm.spans import doc_key
+from matchlake.llm.spans import ROW, doc_key, row_keys
 from matchlake.llm.store import SMALL, discard, stored, text_of
 from matchlake.operators.joins import broadcast_if_small
 
@@ -71,12 +71,12 @@ def set_names(grams: np.ndarray, off: np.ndarray) -> np.ndarray:
 def _sets(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, raw, offs in slices(batch, 1):
+            for i, j, raw, offs in slices(batch, 2):
                 grams, off = shingles(lower_ascii(raw), offs, n)
                 size = np.diff(off)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(i, j - i), pa.array(size), pa.array(set_names(grams, off), mask=size == 0)],
-                    ["doc_id", "n", "node"])
+                    batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(size),
+                    pa.array(set_names(grams, off), mask=size == 0)], ["doc", "doc_id", "n", "node"])
     return run
 
 
@@ -160,22 +160,28 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     never the smallest; a component of such rows alone has a null one.  Other
     columns are not read; an empty table gives an empty result.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), doc_key(id_col), text_of(text_col).alias("text"))
-    sets = stored(rows.select("doc_id", "text").mapInArrow(_sets(n), "doc_id long, n long, node long"), "jaccard-sets")
+    out = _labelled(row_keys(docs, id_col, text_col), id_col, text_col, n, percent)
+    lowest = (out.where("node is not null").groupBy("label").agg(F.min("doc_id").alias("lowest")))
+    out = out.join(lowest, "label", "left")
+    return out.select("doc_id", F.col("n").alias("n_shingles"),
+                      F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("lowest")).alias("component_id"))
+
+
+def _labelled(keyed: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> DataFrame:
+    """(doc, doc_id, n, node, label) of each row of ``keyed`` (see ``row_keys``):
+    its key, its identifier, the size and name of its set (null when empty) and
+    the name of its component."""
+    rows = keyed.select(F.col(ROW).alias("doc"), F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
+    sets = stored(rows.mapInArrow(_sets(n), "doc long, doc_id long, n long, node long"), "jaccard-sets")
     some = _candidates(rows.select("text"), n, percent)
     # one text per candidate node; only identifiers are joined with the texts
-    pick = (sets.where("node is not null").groupBy("node").agg(F.min(doc_key("doc_id")).alias("doc"))
+    pick = (sets.where("node is not null").groupBy("node").agg(F.min("doc").alias("doc"))
                 .join(some, "node").select("doc").distinct())
     texts = rows.join(broadcast_if_small(stored(pick, "jaccard-candidates")), "doc", "left_semi")
     grams = stored(texts.select("doc_id", "text").mapInArrow(_grams(n), "node long, grams array<long>"), "jaccard-grams")
     labels = _join_candidates(grams, percent)
     discard(grams)
-    sets = sets.select("doc_id", "n", "node").join(labels, "node", "left")
-    label = F.coalesce("label", "node")
-    lowest = (sets.where("node is not null").groupBy(label.alias("label")).agg(F.min("doc_id").alias("lowest")))
-    out = sets.withColumn("label", label).join(lowest, "label", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"),
-                      F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("lowest")).alias("component_id"))
+    return sets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
 def _join_candidates(grams: DataFrame, percent: int) -> DataFrame:
@@ -232,15 +238,21 @@ def _join_candidates(grams: DataFrame, percent: int) -> DataFrame:
     return out
 
 
-def one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` whose identifier is the smallest of its component,
-    all columns kept.  Of rows that repeat an identifier and text one stays;
-    rows without an identifier, which nothing can name, stay."""
-    classes = jaccard_classes(docs, id_col, text_col, **options)
-    gone = stored(classes.where("doc_id != component_id").select("doc_id").distinct(), "jaccard-gone")
-    twice = docs.groupBy(F.col(id_col).alias("twice")).agg(F.count("*").alias("n")).where("n > 1 and twice is not null")
-    twice = stored(twice.select("twice"), "jaccard-twice")
-    kept = docs.join(gone.select(F.col("doc_id").alias(id_col)), id_col, "left_anti").select(docs.columns)
-    own = F.col(id_col) == F.col("twice")
-    single = kept.join(broadcast_if_small(twice), own, "left_anti")
-    return single.unionByName(kept.join(broadcast_if_small(twice), own, "left_semi").dropDuplicates([id_col, text_col]))
+def one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N,
+                  percent: int = THRESHOLD) -> DataFrame:
+    """One row of each component, all columns kept: that of the smallest
+    identifier (null last); of rows that share it one with the fewest n-grams,
+    the first by row key (``spans.row_keys``).
+
+    Rows go by their keys: another row's identifier decides nothing.  Rows
+    without an n-gram link with nothing and stay, but of those that repeat an
+    identifier one does.
+    """
+    keyed = row_keys(docs, id_col, text_col)
+    rows = stored(_labelled(keyed, id_col, text_col, n, percent), "jaccard-classes")
+    alone = F.col("node").isNull()
+    group = [F.col("label"), F.when(alone, F.col("doc_id")).alias("own"), F.when(alone & F.col("doc_id").isNull(), F.col("doc")).alias("row")]
+    first = rows.groupBy(*group).agg(F.min(F.struct(doc_key("doc_id"), "n", F.col("doc").alias("row"))).alias("first"))
+    gone = stored(rows.join(first.select(F.col("first.row").alias("doc")), "doc", "left_anti").select(F.col("doc").alias(ROW)),
+                  "jaccard-gone")
+    return keyed.join(gone, ROW, "left_anti").select(docs.columns)

@@ -189,6 +189,21 @@ def test_jaccard_odd(odd, none, spark):
     assert kept.count((1, 889)) == 1 and (2, 889) not in kept
 
 
+def test_stages_by_row(spark):
+    """Rows that share an identifier, or have none, go and stay by themselves."""
+    rng = random.Random(12)
+    say = lambda n: " ".join(f"u{rng.randrange(4000)}" for _ in range(n))
+    base, leak = say(150), " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(40))
+    rows = [(None, base), (None, base + " more"), (3, base + " end"), (3, say(100)), (4, base), (4, say(90)), (None, say(80)),
+            (None, leak + " " + say(60)), (8, say(50) + " " + leak), (8, say(120)), (None, ""), (None, None), (9, ""), (9, "")]
+    docs = table(spark, rows)
+    kept = sorted((r.doc_id or -1, r.text or "") for r in one_per_class(docs, n=5, percent=80).collect())
+    assert kept == sorted((i or -1, t or "") for k, (i, t) in enumerate(rows) if k not in (0, 1, 4, 13))
+    tests = spark.createDataFrame([(1, leak)], "item_id long, text string")
+    kept = sorted((r.doc_id or -1, r.text or "") for r in decontaminate.clean(docs, tests).collect())
+    assert kept == sorted((i or -1, t or "") for k, (i, t) in enumerate(rows) if k not in (7, 8))
+
+
 def test_jaccard_chain(spark):
     """A long chain of links is one component, and a group in which each text links with its neighbours only."""
     words = [f"t{i}" for i in range(400)]
