@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchlake.llm.columns import lower_ascii, slices, word_hashes, words
+from matchlake.llm.columns import lower_ascii, mix, slices, word_hashes, words
 from matchlake.llm.store import discard, stored, text_of
 
 SAMPLE = 20_000         # labelled documents the model is fitted on, at most
@@ -213,47 +213,73 @@ def fit_final(x: np.ndarray, y: np.ndarray, rounds: int = 30) -> np.ndarray:
     return theta
 
 
-def _signals(model: Model):
+_WINDOW = "signal boolean, key long, toxic int, levels binary"
+
+
+def _windows(model: Model):
+    """Windows of levels of (text, toxic, h): one around every eighth token
+    above level 0 of a document (``signal``), and one where it begins."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            toxic, ids = (batch.column(k).to_numpy(zero_copy_only=False) for k in (1, 2))
             for i, j, raw, offs in slices(batch, 0):
                 row, index, level, _, _, n = signals(model, raw, offs)
-                off = np.searchsorted(row, np.arange(j - i + 1)).astype(np.int32)
+                begins = np.flatnonzero(n > 0)
+                pick = np.flatnonzero((np.arange(len(row)) - np.searchsorted(row, row)) % 8 == 0)
+                w_row = np.concatenate([begins, row[pick]])
+                w_at = np.concatenate([np.zeros(len(begins), np.int64), np.maximum(index[pick] - WINDOW // 2, 0)])
+                levels = np.zeros((len(w_row), WINDOW), np.int8)
+                place = row * (1 << 32) + index
+                lo = np.searchsorted(place, w_row * (1 << 32) + w_at)
+                hi = np.searchsorted(place, w_row * (1 << 32) + w_at + WINDOW)
+                own = np.repeat(np.arange(len(w_row)), hi - lo)
+                at = np.arange(len(own)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + lo[own]
+                levels[own, index[at] - w_at[own]] = level[at]
+                key = mix(mix(ids[i:j].astype(np.int64).view(np.uint64)[w_row]) + w_at.astype(np.uint64)).view(np.int64)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(1).slice(i, j - i), pa.array(n),
-                    pa.ListArray.from_arrays(pa.array(off), pa.array(index)),
-                    pa.ListArray.from_arrays(pa.array(off), pa.array(level.astype(np.int64)))],
-                    ["toxic", "n", "at", "level"])
+                    pa.array(np.arange(len(w_row)) >= len(begins)), pa.array(key), pa.array(toxic[i:j][w_row], pa.int32()),
+                    pa.array([x.tobytes() for x in levels], pa.binary())], ["signal", "key", "toxic", "levels"])
     return run
 
 
-def _windows(n: np.ndarray, row: np.ndarray, index: np.ndarray, level: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Dense windows of levels and tags: one around every eighth token above
-    level 0, and one where each document begins; evenly thinned to WINDOWS."""
-    pick = np.arange(0, len(row), 8)
-    w_row = np.concatenate([np.flatnonzero(n > 0), row[pick]])
-    w_at = np.concatenate([np.zeros((n > 0).sum(), np.int64), np.maximum(index[pick] - WINDOW // 2, 0)])
-    thin = np.unique(np.linspace(0, len(w_row) - 1, min(WINDOWS, len(w_row))).astype(np.int64))
-    w_row, w_at = w_row[thin], w_at[thin]
-    levels = np.zeros((len(w_row), WINDOW), np.int64)
-    key = row * (1 << 32) + index
-    lo = np.searchsorted(key, w_row * (1 << 32) + w_at)
-    hi = np.searchsorted(key, w_row * (1 << 32) + w_at + WINDOW)
-    own = np.repeat(np.arange(len(w_row)), hi - lo)
-    at = np.arange(len(own)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + lo[own]
-    levels[own, index[at] - w_at[own]] = level[at]
-    tags = (levels >= TOXIC_LEVEL) & (toxic[w_row] > 0)[:, None]
+def training_windows(rows: DataFrame, model: Model, windows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Levels and tags of at most ``windows`` windows of ``rows`` (text, toxic,
+    h), those of smallest hash: half document beginnings and half signal
+    windows, or more of one where the other has fewer."""
+    every = stored(rows.select("text", "toxic", "h").mapInArrow(_windows(model), _WINDOW), "toxicity-windows")
+    begins, hot = (every.where(kind).orderBy("key", "levels", "toxic").limit(windows).collect() for kind in ("not signal", "signal"))
+    discard(every)
+    some = min(len(begins), max(windows // 2, windows - len(hot)))
+    got = begins[:some] + hot[:windows - some]
+    levels = np.frombuffer(b"".join(r["levels"] for r in got), np.int8).reshape(-1, WINDOW).astype(np.int64)
+    tags = (levels >= TOXIC_LEVEL) & (np.array([r["toxic"] for r in got], np.int64) > 0)[:, None]
     return levels, tags.astype(np.int64)
 
 
+def _features(model: Model):
+    """What the score is made of, for each document."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, raw, offs in slices(batch, 0):
+                row, index, level, _, _, n = signals(model, raw, offs)
+                log_z, p = marginals(model.field, row, index, level, n)
+                x = features(log_z, row, p, n)
+                yield pa.RecordBatch.from_arrays([batch.column(1).slice(i, j - i), *(pa.array(c) for c in x.T.copy())],
+                                                 ["toxic", "f0", "f1", "f2", "f3"])
+    return run
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-        sample: int = SAMPLE, terms: int = TERMS) -> Model:
+        sample: int = SAMPLE, terms: int = TERMS, windows: int = WINDOWS) -> Model:
     """The model of a bounded sample of labelled documents outside fold 0.
 
     At most ``sample`` labelled documents, those of smallest identifier hash,
     are used; of a document labelled twice the larger label counts, and null
-    labels and identifiers are left out.  With a class missing the score is
-    the same for all documents.
+    labels and identifiers are left out.  Token labels are made up: a token of
+    TOXIC_LEVEL or more in a toxic document counts as toxic.  The field is fitted
+    on at most ``windows`` windows of WINDOW tokens (``training_windows``), and
+    only they and four numbers a document reach the driver.  With a class
+    missing the score is the same for all documents.
     """
     known = (labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("toxic"))
                    .where(F.col("__id").isNotNull() & F.col("toxic").isNotNull())
@@ -261,7 +287,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                    .orderBy(F.xxhash64("__id"), "__id").limit(sample))      # bounded, so it may be broadcast
     known = F.broadcast(stored(known, "toxicity-sample"))
     train = stored(docs.select(F.col(id_col).alias("__id"), text_of(text_col).alias("text")).join(known, "__id")
-                       .select("text", "toxic", "fold"), "toxicity-train")
+                       .select("text", "toxic", "fold", F.xxhash64("__id").alias("h")), "toxicity-train")
     some = train.where("fold <= 2").groupBy().agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first()
     n_p, n_q = (float(v or 0) for v in some)
     counts = train.where("fold <= 2").select("text", "toxic").mapInArrow(_counts, "term long, p long, q long")
@@ -274,22 +300,18 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     order = np.argsort(name)
     level = np.searchsorted(LEVELS, lexicon["odds"].to_numpy(float), side="right")
     model = Model(name[order], level[order].astype(np.int8), np.zeros(4 + len(LEVELS) + 1), np.zeros(4))
-    got = train.where("fold > 2").select("text", "toxic").mapInArrow(
-        _signals(model), "toxic int, n long, at array<long>, level array<long>").toPandas()
-    discard(train)
-    y = got["toxic"].to_numpy(float)
-    if not 0 < y.sum() < len(y) or not len(lexicon):
-        share = (n_p + y.sum() + 1) / (n_p + n_q + len(y) + 3)
+    rest = train.where("fold > 2")
+    y_p, y_n = (int(v or 0) for v in rest.groupBy().agg(F.sum("toxic"), F.count("*")).first())
+    if not 0 < y_p < y_n or not len(lexicon):
+        discard(train)
+        share = (n_p + y_p + 1) / (n_p + n_q + y_n + 3)
         model.field[:4] = [-9, -9, 0, 0]
         model.final[-1] = np.log(share / (1 - share))
         return model
-    n = got["n"].to_numpy(np.int64)
-    row = np.repeat(np.arange(len(got)), got["at"].map(len).to_numpy(np.int64))
-    index = np.concatenate([*got["at"], []]).astype(np.int64)
-    lev = np.concatenate([*got["level"], []]).astype(np.int64)
-    model.field = fit_field(*_windows(n, row, index, lev, y), len(LEVELS) + 1)
-    log_z, p = marginals(model.field, row, index, lev, n)
-    model.final = fit_final(features(log_z, row, p, n), y)
+    model.field = fit_field(*training_windows(rest, model, windows), len(LEVELS) + 1)
+    got = rest.select("text", "toxic").mapInArrow(_features(model), "toxic int, f0 double, f1 double, f2 double, f3 double").toPandas()
+    discard(train)
+    model.final = fit_final(got[["f0", "f1", "f2", "f3"]].to_numpy(float), got["toxic"].to_numpy(float))
     return model
 
 

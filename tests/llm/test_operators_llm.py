@@ -284,6 +284,18 @@ def test_toxicity(spark, docs, none, odd):
         assert len(flat) == 1 and 0 <= flat[0].score < 0.5
 
 
+def test_training_windows(spark):
+    """The bound is kept, and beginnings do not crowd out the signals."""
+    name = tox._tokens(np.frombuffer(b"idiot", np.uint8), np.array([0, 5]))[0]
+    model = tox.Model(name, np.array([4], np.int8), np.zeros(10), np.zeros(4))
+    rows = [(" ".join(["word"] * 100 + ["idiot"] * (k < 30) + ["word"] * 60), int(k < 30), k) for k in range(400)]
+    train = spark.createDataFrame(rows, "text string, toxic int, h long")
+    for windows, hot in ((40, 20), (200, 30), (1000, 30)):
+        levels, tags = tox.training_windows(train, model, windows)
+        assert len(levels) == min(windows, 430) and (levels.max(1) == 4).sum() == hot == tags.sum()
+    assert (levels[tags.any(1)].argmax(1) == tox.WINDOW // 2).all()
+
+
 def test_mixing(spark, docs, rows, none):
     out = mix_sources(docs).collect()
     assert len(out) == len(rows)
