@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from matchlake.llm import merkle
 from matchlake.llm.decontaminate import contaminated
 from matchlake.llm.exact_dedup import exact_dedup
 from matchlake.llm.jaccard_join import jaccard_classes
@@ -140,3 +141,67 @@ def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op10_decontaminate")
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet"))
+
+
+#: crc32 of a string of ASCII characters, by its table of 256 remainders made here.
+CRC32_SQL = r"""list_reduce([4294967295::BIGINT] || list_transform(string_split({s}, ''), lambda c: ascii(c)::BIGINT), lambda crc, b:
+    xor(crc >> 8, list_reduce([xor(crc & 255, b)] || [0::BIGINT, 0, 0, 0, 0, 0, 0, 0],
+        lambda x, _: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)))"""
+
+
+def crc32_sql(s: str) -> str:
+    return f"xor({CRC32_SQL.format(s=s)}, 4294967295::BIGINT)"
+
+
+def _coded(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR)::VARCHAR || ':' || {value}::VARCHAR, '-')"
+
+
+@_query("op13_merkle_manifest", f"""
+WITH RECURSIVE
+docs AS (SELECT *, {" || ".join(_coded(c) for c in ("doc_id", "source", "lang", "n_chars"))} AS head FROM documents),
+leaves AS (SELECT doc_id, source, sha256(head || {_coded("text")}) AS leaf,
+                  CASE WHEN {crc32_sql("doc_id::VARCHAR")} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS said, head FROM docs),
+placed AS (SELECT doc_id, source, leaf, sha256(head || {_coded("said")}) AS claim,
+                  row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+                  count(*) OVER (PARTITION BY source) AS n FROM leaves),
+nodes AS (SELECT source, 0 AS lvl, idx, leaf AS h, n FROM placed
+          UNION ALL
+          SELECT source, lvl + 1, idx // 3, sha256(string_agg(h, '' ORDER BY idx)), (n + 2) // 3 FROM nodes WHERE n > 1
+          GROUP BY source, lvl, idx // 3, n),
+tops AS (SELECT source, h AS subroot, row_number() OVER (ORDER BY source IS NOT NULL, source) - 1 AS idx, count(*) OVER () AS n
+         FROM nodes WHERE n = 1),
+upper AS (SELECT 0 AS lvl, idx, subroot AS h, n FROM tops
+          UNION ALL
+          SELECT lvl + 1, idx // 3, sha256(string_agg(h, '' ORDER BY idx)), (n + 2) // 3 FROM upper WHERE n > 1
+          GROUP BY lvl, idx // 3, n),
+heights AS (SELECT source, max(lvl) AS height FROM nodes GROUP BY source),
+steps AS (SELECT p.doc_id, p.idx AS place, p.source, x.lvl AS step,
+                 coalesce(string_agg(x.h, '' ORDER BY x.idx) FILTER (x.idx < p.idx // 3 ** x.lvl), '') AS before,
+                 coalesce(string_agg(x.h, '' ORDER BY x.idx) FILTER (x.idx > p.idx // 3 ** x.lvl), '') AS after
+          FROM placed p JOIN nodes x ON x.source IS NOT DISTINCT FROM p.source AND x.n > 1 AND x.idx // 3 = p.idx // 3 ** (x.lvl + 1)
+          GROUP BY p.doc_id, p.idx, p.source, x.lvl
+          UNION ALL
+          SELECT p.doc_id, p.idx, p.source, x.lvl + heights.height,
+                 coalesce(string_agg(x.h, '' ORDER BY x.idx) FILTER (x.idx < t.idx // 3 ** x.lvl), ''),
+                 coalesce(string_agg(x.h, '' ORDER BY x.idx) FILTER (x.idx > t.idx // 3 ** x.lvl), '')
+          FROM placed p JOIN tops t ON t.source IS NOT DISTINCT FROM p.source
+               JOIN heights ON heights.source IS NOT DISTINCT FROM p.source
+               JOIN upper x ON x.n > 1 AND x.idx // 3 = t.idx // 3 ** (x.lvl + 1)
+          GROUP BY p.doc_id, p.idx, p.source, x.lvl, heights.height, t.idx),
+fold AS (SELECT source, idx AS place, 0 AS step, claim AS h FROM placed
+         UNION ALL
+         SELECT f.source, f.place, f.step + 1, sha256(s.before || f.h || s.after) FROM fold f
+         JOIN steps s ON s.source IS NOT DISTINCT FROM f.source AND s.place = f.place AND s.step = f.step),
+ends AS (SELECT source, place, max_by(h, step) AS folded_root FROM fold GROUP BY source, place),
+proofs AS (SELECT source, place, sha256(string_agg(before || after, '' ORDER BY step)) AS proof_sha256 FROM steps GROUP BY source, place)
+SELECT p.doc_id, p.leaf, t.subroot, r.h AS root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = r.h AS verified
+FROM placed p JOIN tops t ON t.source IS NOT DISTINCT FROM p.source JOIN (SELECT h FROM upper WHERE n = 1) r ON true
+JOIN ends e ON e.source IS NOT DISTINCT FROM p.source AND e.place = p.idx
+LEFT JOIN proofs q ON q.source IS NOT DISTINCT FROM p.source AND q.place = p.idx
+""".replace("3 ** x.lvl", "(3 ** x.lvl)::BIGINT").replace("3 ** (x.lvl + 1)", "(3 ** (x.lvl + 1))::BIGINT"))
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    values = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    manifest = merkle.build(docs, F.col("source"), F.col("doc_id"), merkle.leaf_of(*values), merkle.tampered_leaf())
+    return merkle.prove(manifest).select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")

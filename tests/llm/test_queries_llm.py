@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_names():
-    assert [int(q[2:].split("_")[0]) for q in sorted(QUERIES, key=lambda q: int(q[2:].split("_")[0]))] == list(range(1, 11))
+    assert [int(q[2:].split("_")[0]) for q in sorted(QUERIES, key=lambda q: int(q[2:].split("_")[0]))] == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
