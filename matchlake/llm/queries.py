@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.llm import merkle
+from matchlake.llm import conversation_repair as talk, merkle
 from matchlake.llm.decontaminate import contaminated
 from matchlake.llm.exact_dedup import exact_dedup
 from matchlake.llm.jaccard_join import jaccard_classes
@@ -153,6 +153,61 @@ def crc32_sql(s: str) -> str:
     return f"xor({CRC32_SQL.format(s=s)}, 4294967295::BIGINT)"
 
 
+@_query("op12_conversation_repair", rf"""
+WITH RECURSIVE
+raw AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+               {crc32_sql("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS k FROM conversations),
+hit AS (SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+               CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+               unnest(range(CASE WHEN k = 3 THEN 2 ELSE 1 END)) AS copy FROM raw WHERE k <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+                  count(*) OVER (PARTITION BY conv_id) AS n FROM hit),
+marked AS (SELECT *, CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE 'o' END AS c,
+                  NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+                  row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+                  NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') AS cut FROM placed),
+faults AS (SELECT *, NOT blank AND again AS dup, NOT blank AND NOT again AND cut AS trunc,
+                  lag(c) OVER (PARTITION BY conv_id ORDER BY i) || c AS pair FROM marked),
+moves(q, letter, c, add, q2) AS (VALUES (0, 'D', '', 3, 0), (1, 'D', '', 3, 1), (2, 'D', '', 3, 2), (3, 'D', '', 3, 3),
+    (0, 'K', 's', 0, 1), (0, 'K', 'u', 0, 2), (1, 'K', 'u', 0, 2), (3, 'K', 'u', 0, 2), (2, 'K', 'a', 0, 3),
+    (0, 'R', '', 2, 2), (1, 'R', '', 2, 2), (3, 'R', '', 2, 2), (2, 'R', '', 2, 3)),
+gaps(q, letters, add, q2) AS (VALUES (0, '', 0, 0), (1, '', 0, 1), (2, '', 0, 2), (3, '', 0, 3), (0, 'I', 2, 2), (1, 'I', 2, 2),
+    (2, 'I', 2, 3), (3, 'I', 2, 2), (0, 'II', 4, 3), (1, 'II', 4, 3)),
+paths AS (SELECT DISTINCT conv_id, n, 0::BIGINT AS i, 0 AS q, '00000000' AS best FROM placed
+          UNION ALL
+          SELECT p.conv_id, p.n, p.i + 1, m.q2,
+                 min(lpad((left(p.best, 8)::INT + g.add + m.add + CASE WHEN f.trunc AND letter <> 'D' THEN 1 ELSE 0 END)::VARCHAR, 8, '0')
+                     || substr(p.best, 9) || g.letters || m.letter)
+          FROM paths p JOIN faults f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.i = p.i + 1
+          JOIN gaps g ON g.q = p.q JOIN moves m ON m.q = g.q2 AND (m.c = '' OR m.c = f.c) AND (m.letter = 'D' OR NOT (f.blank OR f.dup))
+          GROUP BY p.conv_id, p.n, p.i, m.q2),
+ended AS (SELECT conv_id, min(lpad((left(best, 8)::INT + g.add)::VARCHAR, 8, '0') || substr(best, 9) || g.letters) AS best
+          FROM paths p JOIN gaps g ON g.q = p.q AND g.q2 IN (0, 3) WHERE i = n GROUP BY conv_id),
+audits AS (SELECT conv_id, left(best, 8)::BIGINT AS cost, substr(best, 9) AS audit FROM ended),
+letters AS (SELECT conv_id, unnest(range(1, length(audit) + 1)) AS j, unnest(string_split(audit, '')) AS letter FROM audits WHERE audit <> ''),
+edits AS (SELECT *, sum(CASE WHEN letter <> 'I' THEN 1 ELSE 0 END) OVER w AS i, sum(CASE WHEN letter <> 'D' THEN 1 ELSE 0 END) OVER w AS p,
+                 sum(CASE WHEN letter <> 'D' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id) AS m FROM letters WINDOW w AS (PARTITION BY conv_id ORDER BY j)),
+lines AS (SELECT e.conv_id, j, CASE letter WHEN 'K' THEN f.role ELSE CASE WHEN (p - m % 2) % 2 = 1 THEN 'user' ELSE 'assistant' END END
+                 || ':' || CASE letter WHEN 'I' THEN '' ELSE f.text END AS line
+          FROM edits e LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM e.conv_id AND f.i = e.i WHERE letter <> 'D'),
+sums AS (SELECT conv_id, sha256(string_agg(line, chr(10) ORDER BY j)) AS sha FROM lines GROUP BY conv_id),
+told AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+                count(*) FILTER (dup) AS duplicate, count(*) FILTER (trunc) AS truncated,
+                count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM faults GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, coalesce(sha, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN told t ON t.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN audits a ON a.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN sums s ON s.conv_id IS NOT DISTINCT FROM o.conv_id
+""")
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet")
+    r = talk.repair(talk.damaged(given))
+    every = given.select("conv_id").distinct().withColumn("conv", talk.conversation_key("conv_id"))
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return every.join(r.conversations, "conv", "left").join(talk.digests(talk.repaired(r)), "conv", "left").select(
+        "conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 def _coded(value: str) -> str:
     return f"coalesce(strlen({value}::VARCHAR)::VARCHAR || ':' || {value}::VARCHAR, '-')"
 
