@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.llm import conversation_repair as talk, merkle
+from matchlake.llm import conversation_repair as talk, merkle, quality_gam
 from matchlake.llm.decontaminate import contaminated
 from matchlake.llm.exact_dedup import exact_dedup
 from matchlake.llm.jaccard_join import jaccard_classes
@@ -143,6 +143,13 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet"))
 
 
+@_query("op11_quality")
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = quality_gam.fit(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet"))
+    return quality_gam.quality(docs, model).select("doc_id", (fold("doc_id") == 0).alias("held_out"), "score", "predicted")
+
+
 #: crc32 of a string of ASCII characters, by its table of 256 remainders made here.
 CRC32_SQL = r"""list_reduce([4294967295::BIGINT] || list_transform(string_split({s}, ''), lambda c: ascii(c)::BIGINT), lambda crc, b:
     xor(crc >> 8, list_reduce([xor(crc & 255, b)] || [0::BIGINT, 0, 0, 0, 0, 0, 0, 0],
