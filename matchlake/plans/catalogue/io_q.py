@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from matchlake import schemas
 from matchlake.functions import hour_iso
@@ -15,9 +16,10 @@ from matchlake.plans import ingest, weather
 from matchlake.plans.catalogue.registry import query, table
 from matchlake.session import scratch_dir
 from matchlake.sources import (
-    Source, SourceRegistry, materialize_table, materialize_view, read_csv, read_latest,
-    scan_json_files, write_version,
+    Source, SourceRegistry, batch_counts, commit_batch, ensure_table, materialize_table, materialize_view, missing_required,
+    read_csv, read_latest, scan_json_files, write_files, write_version,
 )
+from matchlake.sources.batches import ROUTE
 from matchlake.streaming import ingest_stream
 
 
@@ -74,6 +76,106 @@ def stream_ingest(spark: SparkSession, d: str) -> DataFrame:
     return landed.join(pre.select("file_name"), "file_name", "left_anti").select("file_name", "content")
 
 
+# --------------------------------------------------------------------------- I1 S1 S2 S3 S6 J1 F15
+def landed_documents(docs: DataFrame) -> DataFrame:
+    """Documents as files: a folder per language, a deeper one for every tenth;
+    some with another ending, some with an upper-case one, some cut short."""
+    n = F.col("doc_id")
+    ending = F.when(n % 10 == 7, ".txt").when(n % 10 == 3, ".JSON").otherwise(".json")
+    name = F.concat(F.coalesce("lang", F.lit("none")), F.when(n % 10 == 2, "/more of+it/").otherwise("/"), F.lit("doc "), n.cast("string"), ending)
+    text = F.to_json(F.struct("doc_id", "text"))
+    files = docs.select("doc_id", name.alias("file_name"), text.alias("whole"))
+    return files.select("doc_id", "file_name", F.when(n % 11 == 5, F.expr("left(whole, length(whole) - 1)")).otherwise(F.col("whole")).alias("content"))
+
+
+@query("ingest_files", """
+SELECT coalesce(lang, 'none') || CASE doc_id % 10 WHEN 2 THEN '/more of+it/' ELSE '/' END || 'doc ' || doc_id::VARCHAR
+       || CASE doc_id % 10 WHEN 3 THEN '.JSON' ELSE '.json' END AS file_name,
+       CASE WHEN doc_id % 11 <> 5 THEN doc_id END AS doc_id, CASE WHEN doc_id % 11 <> 5 THEN text END AS text,
+       CASE WHEN doc_id % 11 = 5 THEN 'quarantined' ELSE 'loaded' END AS place,
+       CASE WHEN doc_id % 2 = 0 THEN 1 ELSE 2 END AS run
+FROM documents WHERE doc_id % 10 <> 7
+""")
+def ingest_files_q(spark: SparkSession, d: str) -> DataFrame:
+    """Files of even documents land and are ingested, then all files; ``run``
+    comes from the load time."""
+    base = scratch_dir(spark, "ingest_files")
+    root, target, quarantine = f"{base}/landing", f"{base}/raw", f"{base}/quarantine"
+    files = landed_documents(table(spark, d, "documents"))
+    write_files(files.where("doc_id % 2 = 0"), root)
+    ingest.ingest_files(spark, root, target, quarantine)
+    first = spark.read.parquet(target, quarantine).agg(F.max("file_upload_timestamp")).first()[0]
+    write_files(files.where("doc_id % 2 <> 0"), root)
+    ingest.ingest_files(spark, root, target, quarantine)
+    doc = F.from_json("content", "doc_id bigint, text string")
+    raw = spark.read.parquet(target).select("file_name", doc["doc_id"].alias("doc_id"), doc["text"].alias("text"), F.lit("loaded").alias("place"),
+                                            "file_upload_timestamp")
+    bad = spark.read.parquet(quarantine).select("file_name", F.lit(None).cast("bigint").alias("doc_id"), F.lit(None).cast("string").alias("text"),
+                                                F.lit("quarantined").alias("place"), "file_upload_timestamp")
+    run = F.when(F.col("file_upload_timestamp") <= F.lit(first), 1).otherwise(2).alias("run")
+    return raw.unionByName(bad).select("file_name", "doc_id", "text", "place", run)
+
+
+# --------------------------------------------------------------------------- A10 S7
+@query("ingest_counts", f"""
+WITH c AS (
+  SELECT CASE WHEN event_type = 'error' THEN props || ' x'
+              WHEN event_type = 'click' AND value > 90 THEN substring(props, 1, 5)
+              WHEN event_type = 'view' AND value > 95 THEN replace(props, '"', '''') ELSE props END AS content, event_type
+  FROM events)
+SELECT count(*) AS received, count(*) FILTER (event_type <> 'signup' AND json_valid(content)) AS loaded,
+       count(*) FILTER (event_type <> 'signup' AND NOT json_valid(content)) AS quarantined,
+       count(*) FILTER (event_type <> 'signup' AND json_valid(content)) AS rows_in_table
+FROM c
+""")
+def ingest_counts(spark: SparkSession, d: str) -> DataFrame:
+    """The counts an ingest stream reports: rows its listener has observed,
+    rows its writes have counted, and what the ledger of batches says."""
+    base = scratch_dir(spark, "ingest_counts")
+    target, quarantine = f"{base}/raw", f"{base}/quarantine"
+    events = table(spark, d, "events")
+    event_candidates(events.where(F.col("event_type") == "signup")).withColumn("file_upload_timestamp", F.current_timestamp()).write.parquet(target)
+    stream = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    report = ingest_stream(spark, event_candidates(stream), target, quarantine, f"{base}/checkpoint")
+    told = spark.createDataFrame([(b["batch"], b["received"], b["loaded"], b["quarantined"]) for b in report.batches],
+                                 "batch bigint, received bigint, loaded bigint, quarantined bigint")
+    ledger = batch_counts(spark, target).where(F.col("table") == "loaded").select(
+        F.substring_index("batch", "-", -1).cast("bigint").alias("batch"), F.col("rows").alias("rows_in_table"))
+    sums = [F.sum(c).alias(c) for c in ("received", "loaded", "quarantined", "rows_in_table")]
+    return told.join(ledger, "batch", "left").agg(*sums)
+
+
+# --------------------------------------------------------------------------- S5
+REQUIRED_EVENT = T.StructType([T.StructField("event_id", T.LongType(), False), T.StructField("user_name", T.StringType(), False),
+                               T.StructField("props", T.StringType(), False), T.StructField("value", T.DoubleType(), True)])
+
+
+@query("required_columns", """
+WITH e AS (
+  SELECT event_id, CASE WHEN event_type <> 'error' THEN 'u' || user_id::VARCHAR END AS user_name,
+         CASE WHEN value <= 90 THEN props END AS props, CASE WHEN event_type <> 'view' THEN value END AS value
+  FROM events)
+SELECT event_id, user_name, props, value, CASE WHEN user_name IS NULL OR props IS NULL THEN 'incomplete' ELSE 'complete' END AS place,
+       list_filter([CASE WHEN user_name IS NULL THEN 'user_name' END, CASE WHEN props IS NULL THEN 'props' END], lambda c: c IS NOT NULL) AS missing
+FROM e
+""")
+def required_columns(spark: SparkSession, d: str) -> DataFrame:
+    """Rows that lack a REQUIRED column go to quarantine, in the same batch as
+    the complete ones go to the table; the write itself checks the table's rows."""
+    base = scratch_dir(spark, "required_columns")
+    e = table(spark, d, "events").select(
+        "event_id", F.when(F.col("event_type") != "error", F.concat(F.lit("u"), F.col("user_id").cast("string"))).alias("user_name"),
+        F.when(F.col("value") <= 90, F.col("props")).alias("props"), F.when(F.col("event_type") != "view", F.col("value")).alias("value"))
+    rows = e.withColumn("missing", missing_required(REQUIRED_EVENT))
+    route = F.when(F.size("missing") == 0, "complete").otherwise("incomplete")
+    tables = {"complete": f"{base}/complete", "incomplete": f"{base}/incomplete"}
+    for path in tables.values():
+        ensure_table(spark, path, T.StructType([*REQUIRED_EVENT.fields, T.StructField("missing", T.ArrayType(T.StringType()))]))
+    commit_batch(rows.withColumn(ROUTE, route), "events", tables, {"complete": REQUIRED_EVENT})
+    out = [spark.read.parquet(path).withColumn("place", F.lit(name)) for name, path in tables.items()]
+    return out[0].unionByName(out[1])
+
+
 # --------------------------------------------------------------------------- I2 M12 J10 X12 X13 P14 F13
 HOURLY_AS_OF = "2024-01-25 00:00:00"
 
@@ -186,8 +288,6 @@ def tables_and_views(spark: SparkSession, d: str) -> DataFrame:
 SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer
 """)
 def seed_csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
-    from pyspark.sql import types as T
-
     path = scratch_dir(spark, "seed_csv_roundtrip")
     (table(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
      .write.option("header", True).csv(path))
@@ -201,8 +301,6 @@ def seed_csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 SELECT c_custkey, c_name FROM customer
 """)
 def csv_replace(spark: SparkSession, d: str) -> DataFrame:
-    from pyspark.sql import types as T
-
     base = scratch_dir(spark, "csv_replace")
     schema = T.StructType([T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType())])
     c = table(spark, d, "customer")

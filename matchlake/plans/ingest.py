@@ -7,6 +7,7 @@ invalid ones to a quarantine table with the same columns.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,10 +15,9 @@ from pyspark.sql import functions as F
 
 from matchlake import schemas
 from matchlake.functions import is_valid_json
-from matchlake.operators import anti_new, observed_count
-from matchlake.sources import (
-    append_parquet, checkpoint_reliably, ensure_table, list_json_files, loaded_keys, read_json_files,
-)
+from matchlake.operators import anti_new, broadcast_if_small
+from matchlake.sources import commit_batch, ensure_table, finish_batches, list_files, loaded_keys, open_files
+from matchlake.sources.batches import ROUTE
 from matchlake.sources.files import JSON_NAME_GLOB
 
 RAW_COLUMNS = [f.name for f in schemas.RAW_DOCUMENTS.fields]
@@ -43,35 +43,47 @@ class IngestReport:
     quarantined: int
 
 
-def write_batch(flagged: DataFrame, target: str, quarantine: str) -> IngestReport:
-    """Append a flagged batch to target and quarantine.
+TABLES = {"loaded": schemas.RAW_DOCUMENTS, "quarantined": schemas.QUARANTINE_DOCUMENTS}
 
-    Invalid files stay candidates on later runs (a fixed file then loads), but
-    a name already in quarantine is not quarantined twice.
 
-    The batch is checkpointed to the shared folder first: both writes then read
-    the same rows (one timestamp, one listing of the target taken before the
-    append), and a lost executor recomputes from the checkpoint, not from the
-    source listing.
+def mark_known_bad(candidates: DataFrame, quarantine: str) -> DataFrame:
+    """``candidates`` with ``known_bad``: the name is in quarantine already."""
+    bad = loaded_keys(candidates.sparkSession, quarantine).withColumn("known_bad", F.lit(True))
+    return candidates.join(broadcast_if_small(bad), "file_name", "left")
+
+
+def write_batch(flagged: DataFrame, target: str, quarantine: str, batch: str | None = None) -> IngestReport:
+    """Append a flagged batch (``is_valid``, ``known_bad``) to target and quarantine.
+
+    Both appends are one batch: every document is written once, to staging, and
+    one manifest publishes it to both tables or to neither.  A batch name that is
+    committed already is not written again.  Invalid files stay candidates on
+    later runs (a fixed file then loads), but a name already in quarantine is
+    not quarantined twice.  A null name fails the batch; a null content is invalid.
     """
-    batch = checkpoint_reliably(flagged)
-    if batch.isEmpty():
-        return IngestReport(0, 0)
-    valid, invalid = split_valid(batch)
-    invalid = anti_new(invalid, loaded_keys(batch.sparkSession, quarantine), "file_name")
-    valid, n_valid = observed_count(valid, "loaded")
-    invalid, n_invalid = observed_count(invalid, "quarantined")
-    append_parquet(valid, target)
-    append_parquet(invalid, quarantine)
-    return IngestReport(n_valid.get["loaded"], n_invalid.get["quarantined"])
+    route = F.when(F.col("is_valid"), "loaded").when(F.col("known_bad").isNull(), "quarantined")
+    rows = flagged.withColumn(ROUTE, route).where(F.col(ROUTE).isNotNull()).select(*RAW_COLUMNS, ROUTE)
+    counts = commit_batch(rows, batch or uuid.uuid4().hex, {"loaded": target, "quarantined": quarantine}, TABLES)
+    return IngestReport(**counts)
+
+
+def ensure_tables(spark: SparkSession, target: str, quarantine: str) -> None:
+    """Both tables exist and hold all that earlier runs have committed."""
+    ensure_table(spark, target, schemas.RAW_DOCUMENTS)
+    ensure_table(spark, quarantine, schemas.QUARANTINE_DOCUMENTS)
+    finish_batches(spark, target)
 
 
 def ingest_files(spark: SparkSession, source_root: str, target: str, quarantine: str,
                  name_glob: str = JSON_NAME_GLOB) -> IngestReport:
-    """Land every new ``*.json`` file under ``source_root`` (recursively)."""
-    ensure_table(spark, target, schemas.RAW_DOCUMENTS)
-    ensure_table(spark, quarantine, schemas.RAW_DOCUMENTS)
-    # names first: the contents of files that are loaded already are not read
-    names = anti_new(list_json_files(spark, source_root, name_glob), loaded_keys(spark, target), "file_name")
-    files = read_json_files(spark, source_root, names)
-    return write_batch(new_documents(files, loaded_keys(spark, target)), target, quarantine)
+    """Land every new ``*.json`` file under ``source_root`` (recursively).
+
+    Names come first, as a distributed table: the contents of files that are
+    loaded already are not read, and no path passes the driver.  One run at a
+    time may write to ``target``.
+    """
+    ensure_tables(spark, target, quarantine)
+    names = anti_new(list_files(spark, source_root, name_glob), loaded_keys(spark, target), "file_name")
+    files = open_files(mark_known_bad(names, quarantine))
+    flagged = files.withColumn("file_upload_timestamp", F.current_timestamp()).withColumn("is_valid", is_valid_json("content"))
+    return write_batch(flagged, target, quarantine)

@@ -18,6 +18,13 @@ RAW_DOCUMENTS = T.StructType([
     T.StructField("file_upload_timestamp", T.TimestampType(), False),
 ])
 
+# Quarantined documents: the same columns, and a file may hold nothing readable.
+QUARANTINE_DOCUMENTS = T.StructType([
+    T.StructField("file_name", S, False),
+    T.StructField("content", S, True),
+    T.StructField("file_upload_timestamp", T.TimestampType(), False),
+])
+
 # Match document.  Every leaf is STRING on purpose: a number written as text
 # ("1") then casts like the warehouse does, where a typed leaf would turn it
 # into NULL.  Only the paths the models read are declared, so the parser

@@ -1,6 +1,10 @@
 """Sources and sinks."""
 
-from matchlake.sources.files import list_json_files, read_json_files, scan_json_files
+from matchlake.sources.batches import (
+    batch_counts, commit_batch, enforce_required, finish_batches, missing_required, required,
+)
+from matchlake.sources.files import scan_json_files
+from matchlake.sources.landing import list_files, open_files, write_files
 from matchlake.sources.sinks import (
     append_parquet, checkpoint_reliably, materialize_table, materialize_view, read_latest, write_version,
 )
@@ -10,7 +14,8 @@ from matchlake.sources.tables import (
 )
 
 __all__ = [
-    "Source", "SourceRegistry", "append_parquet", "checkpoint_reliably", "ensure_table", "list_json_files", "loaded_keys",
-    "materialize_table", "materialize_view", "path_exists", "read_csv", "read_json_files", "read_latest",
-    "read_seed", "read_table_or_empty", "scan_json_files", "spread", "write_version",
+    "Source", "SourceRegistry", "append_parquet", "batch_counts", "checkpoint_reliably", "commit_batch", "enforce_required",
+    "ensure_table", "finish_batches", "list_files", "loaded_keys", "materialize_table", "materialize_view", "missing_required",
+    "open_files", "path_exists", "read_csv", "read_latest", "read_seed", "read_table_or_empty", "required", "scan_json_files",
+    "spread", "write_files", "write_version",
 ]

@@ -57,22 +57,3 @@ def scan_json_files(spark: SparkSession, root: str, name_glob: str = JSON_NAME_G
                           recursiveFileLookup=recursive)
     return raw.select(relative_name(F.col("_metadata.file_path"), root, spark).alias("file_name"),
                       F.col("value").alias("content"))
-
-
-def list_json_files(spark: SparkSession, root: str, name_glob: str = JSON_NAME_GLOB) -> DataFrame:
-    """One row ``(file_name, path)`` per matching file; only the folder
-    listing is read.  Zero-byte files are left out, as in the scan."""
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", name_glob).option("recursiveFileLookup", True).load(root)
-    return listed.where("length > 0").select(relative_name(F.col("path"), root, spark).alias("file_name"), "path")
-
-
-def read_json_files(spark: SparkSession, root: str, names: DataFrame) -> DataFrame:
-    """``(file_name, content)`` of the files listed in ``names``, and of no
-    other.  The paths of new files are the unit of an increment and go to the
-    reader as a list, as the listing itself does."""
-    paths = [r["path"] for r in names.select("path").collect()]
-    if not paths:
-        return spark.createDataFrame([], "file_name string, content string")
-    raw = spark.read.text(paths, wholetext=True)
-    return raw.select(relative_name(F.col("_metadata.file_path"), root, spark).alias("file_name"),
-                      F.col("value").alias("content"))

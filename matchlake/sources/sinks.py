@@ -6,13 +6,17 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from matchlake.sources.batches import enforce_required
 
 VERSION_COL = "_version"
 
 
-def append_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Append rows to a Parquet table (the committer makes each append atomic)."""
-    w = df.write.mode("append")
+def append_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None, schema: T.StructType | None = None) -> None:
+    """Append rows to a Parquet table (the committer makes each append atomic).
+    With ``schema`` a null in one of its REQUIRED columns fails the append."""
+    w = (df if schema is None else enforce_required(df, schema)).write.mode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

@@ -69,8 +69,13 @@ def test_stream_bounded_batches(spark, tmp_dir):
     base = tmp_dir.replace("file:", "")
     root = f"{base}/land"
     landing(root)
-    ingest_stream(spark, json_file_stream(spark, root, max_files_per_trigger=2), f"{base}/raw", f"{base}/q",
-                  f"{base}/ck")
+    report = ingest_stream(spark, json_file_stream(spark, root, max_files_per_trigger=2), f"{base}/raw", f"{base}/q",
+                           f"{base}/ck")
+    # six files with content and an empty one, two a batch; the listener saw each batch's rows
+    assert len(report.batches) >= 3 and all(0 <= b["received"] <= 2 for b in report.batches)
+    assert sum(b["received"] for b in report.batches) == 6
+    assert all(b["loaded"] + b["quarantined"] == b["received"] for b in report.batches)
+    assert (report.loaded, report.quarantined) == (3, 3)
     assert spark.read.parquet(f"{base}/raw").count() == 3
     assert spark.read.parquet(f"{base}/q").count() == 3
 
@@ -111,14 +116,137 @@ def test_no_document_is_too_large(spark):
         assert row["ok"] and row["city"] == "here", name
 
 
-def test_only_new_files_are_read(spark, tmp_dir):
-    from matchlake.sources import list_json_files, read_json_files
+def test_only_named_files_are_opened(spark, tmp_dir):
+    from matchlake.sources import list_files, open_files
 
     base = tmp_dir.replace("file:", "")
     landing(f"{base}/land")
-    names = list_json_files(spark, f"{base}/land")
-    assert sorted(r["file_name"] for r in names.collect()) == ["A B.JSON", "bad1.json", "bad2.json", "bad3.json",
-                                                                "pretty.json", "sub/c.json"]
-    some = read_json_files(spark, f"{base}/land", names.where("file_name like 'sub/%'"))
-    assert len(some.inputFiles()) == 1 and some.first()["file_name"] == "sub/c.json"
-    assert read_json_files(spark, f"{base}/land", names.limit(0)).count() == 0
+    write(base, "land/a+b c%d.json", "{}")
+    write(base, "land/_hidden/x.json", "{}")
+    write(base, "land/deep/er/and/deeper.json", "{}")
+    names = list_files(spark, f"{base}/land")
+    assert sorted(r["file_name"] for r in names.collect()) == [
+        "A B.JSON", "a+b c%d.json", "bad1.json", "bad2.json", "bad3.json", "deep/er/and/deeper.json", "pretty.json", "sub/c.json"]
+    assert {r["file_name"]: r["content"] for r in open_files(names).collect()} == {
+        r["file_name"]: r["content"] for r in scan_json_files(spark, f"{base}/land").collect()}
+    some = names.where("file_name like 'sub/%' or file_name like 'a+%'").withColumn("seen", F.lit(7))
+    for other in ("pretty.json", "bad1.json", "A B.JSON"):
+        os.remove(os.path.join(base, "land", other))           # opening any of these would fail now
+    assert sorted((r["file_name"], r["seen"], r["content"]) for r in open_files(some).collect()) == [
+        ("a+b c%d.json", 7, "{}"), ("sub/c.json", 7, '{"a":1,"a":2}')]
+    assert open_files(names.limit(0)).count() == 0
+    assert list_files(spark, f"{base}/land", "*.txt").first()["file_name"] == "notes.txt"
+
+
+def test_written_files_read_back(spark, tmp_dir):
+    from matchlake.sources import list_files, open_files, write_files
+
+    rows = [(f"d{k % 3}/n {k}+%.json", f"é{k}\n" * k) for k in range(1, 40)]
+    done = write_files(spark.createDataFrame(rows, "file_name string, content string").repartition(3), f"{tmp_dir}/out")
+    assert {r["file_name"]: r["length"] for r in done.collect()} == {n: len(c.encode()) for n, c in rows}
+    assert sorted(map(tuple, open_files(list_files(spark, f"{tmp_dir}/out")).collect())) == sorted(rows)
+
+
+class Killed(Exception):
+    pass
+
+
+def names_of(spark, path):
+    return sorted(r[0] for r in spark.read.parquet(path).select("file_name").collect())
+
+
+def test_replay_after_a_kill_between_the_two_appends(spark, tmp_dir, monkeypatch):
+    from matchlake.sources import batches
+
+    base = tmp_dir.replace("file:", "")
+    root, target, quarantine = f"{base}/land", f"{base}/raw", f"{base}/quarantine"
+    landing(root)
+    real, moved = batches._Files.move, []
+
+    def move(self, a, b):
+        if b.startswith(quarantine):                            # the target is published, the quarantine is not
+            raise Killed
+        moved.append(b)
+        return real(self, a, b)
+    monkeypatch.setattr(batches._Files, "move", move)
+    try:
+        ingest_files(spark, root, target, quarantine)
+        raise AssertionError("not killed")
+    except Killed:
+        pass
+    assert any(b.startswith(target + "/part-") for b in moved) and spark.read.schema(schemas.RAW_DOCUMENTS).parquet(quarantine).count() == 0
+    monkeypatch.setattr(batches._Files, "move", real)
+    again = ingest_files(spark, root, target, quarantine)       # finishes the batch, finds nothing new
+    assert (again.loaded, again.quarantined) == (0, 0)
+    assert names_of(spark, target) == ["A B.JSON", "pretty.json", "sub/c.json"]
+    assert names_of(spark, quarantine) == ["bad1.json", "bad2.json", "bad3.json"]
+
+
+def test_kill_before_the_commit_leaves_nothing(spark, tmp_dir, monkeypatch):
+    from matchlake.sources import batches
+
+    base = tmp_dir.replace("file:", "")
+    root, target, quarantine = f"{base}/land", f"{base}/raw", f"{base}/quarantine"
+    landing(root)
+    real = batches._Files.write
+    monkeypatch.setattr(batches._Files, "write", lambda *a: (_ for _ in ()).throw(Killed()))
+    try:
+        ingest_files(spark, root, target, quarantine)
+    except Killed:
+        pass
+    assert names_of(spark, target) == []
+    monkeypatch.setattr(batches._Files, "write", real)
+    report = ingest_files(spark, root, target, quarantine)
+    assert (report.loaded, report.quarantined) == (3, 3)
+    assert not os.listdir(f"{target}/_staging")
+
+
+def test_a_replayed_stream_batch_lands_once(spark, tmp_dir):
+    import shutil
+
+    base = tmp_dir.replace("file:", "")
+    root, target, quarantine, ck = f"{base}/land", f"{base}/raw", f"{base}/q", f"{base}/ck"
+    landing(root)
+    first = ingest_stream(spark, json_file_stream(spark, root), target, quarantine, ck)
+    assert (first.loaded, first.quarantined) == (3, 3)
+    for name in os.listdir(f"{ck}/commits"):                    # the stream forgets that batch 0 is done
+        os.remove(f"{ck}/commits/{name}")
+    shutil.rmtree(f"{target}/_staging", ignore_errors=True)
+    again = ingest_stream(spark, json_file_stream(spark, root), target, quarantine, ck)
+    assert (again.loaded, again.quarantined) == (0, 0)
+    assert len(names_of(spark, target)) == 3 and len(names_of(spark, quarantine)) == 3
+
+
+def test_every_document_is_written_once(spark, tmp_dir):
+    """One batch: as many bytes in the tables as were staged, and no cache or checkpoint behind them."""
+    from matchlake.sources import batch_counts
+
+    base = tmp_dir.replace("file:", "")
+    landing(f"{base}/land")
+    ingest_files(spark, f"{base}/land", f"{base}/raw", f"{base}/q")
+    told = {r["table"]: r["rows"] for r in batch_counts(spark, f"{base}/raw").collect()}
+    assert told == {"loaded": 3, "quarantined": 3}
+    assert not list(spark.sparkContext._jsc.getPersistentRDDs().keys())
+
+
+def test_required_columns(spark, tmp_dir):
+    import pytest
+
+    from matchlake.sources import append_parquet, commit_batch, ensure_table, missing_required
+
+    schema = schemas.RAW_DOCUMENTS
+    rows = spark.createDataFrame([("a", "{}"), (None, "{}"), ("c", None), (None, None)], "file_name string, content string") \
+        .withColumn("file_upload_timestamp", F.current_timestamp())
+    target = f"{tmp_dir}/t"
+    ensure_table(spark, target, schema)
+    with pytest.raises(Exception, match="REQUIRED column file_name is null"):
+        append_parquet(rows.where("content is not null"), target, schema=schema)
+    with pytest.raises(Exception, match="REQUIRED column content is null"):
+        append_parquet(rows.where("file_name is not null"), target, schema=schema)
+    assert spark.read.parquet(target).count() == 0
+    append_parquet(rows.where("file_name = 'a'"), target, schema=schema)
+    assert spark.read.parquet(target).count() == 1
+    with pytest.raises(Exception, match="REQUIRED column file_name of x is null"):
+        commit_batch(rows.withColumn("__to", F.lit("x")), "b", {"x": f"{tmp_dir}/x"}, {"x": schema})
+    got = sorted(r[0] for r in rows.select(missing_required(schema)).collect())
+    assert got == [[], ["content"], ["file_name"], ["file_name", "content"]]
