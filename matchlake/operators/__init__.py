@@ -7,13 +7,13 @@ from matchlake.operators.quality import (
     unique_violations,
 )
 from matchlake.operators.ranking import (
-    attach_dense_id, dense_id, pivot_top_n, sequence_within, top_n_per_group,
+    attach_dense_id, dense_id, number_all, pivot_top_n, sequence_within, top_n_per_group,
 )
 from matchlake.operators.reshape import explode_level, unpivot_sides
 
 __all__ = [
     "accepted_values_violations", "anti_new", "attach_dense_id", "broadcast_if_small",
     "column_check_counts", "dense_id", "estimated_size_bytes", "explode_level", "join_null_safe",
-    "not_null_violations", "observed_count", "pivot_top_n", "relationships_violations",
+    "not_null_violations", "number_all", "observed_count", "pivot_top_n", "relationships_violations",
     "sequence_within", "top_n_per_group", "unique_violations", "unpivot_sides",
 ]

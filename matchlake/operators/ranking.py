@@ -3,10 +3,12 @@ numbers / dense ids that stay balanced when one group holds most rows."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from matchlake.operators.joins import join_null_safe
 
@@ -45,58 +47,133 @@ def pivot_top_n(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[C
     return ranked.groupBy(*group_cols).agg(*aggs)
 
 
+#: Slices a hot group is cut into for each partition's share of rows it holds, and sampled rows for each slice.
+SLICES_PER_SHARE, SAMPLES_PER_SLICE = 4, 32
+
+
+def _order_key(c: Column | str) -> tuple[str, bool, bool]:
+    """(name, descending, NULLs first) of an order column given by name, F.asc or F.desc."""
+    if isinstance(c, str):
+        return c, False, True
+    m = re.fullmatch(r"Column<'([^' ]+)(?: (ASC|DESC) NULLS (FIRST|LAST))?'>", str(c))
+    if not m:
+        raise ValueError(f"order by plain columns, not {c}")
+    return m[1], m[2] == "DESC", m[3] != "LAST"
+
+
+def _before(split: Column, order: Sequence[Column | str]) -> Column:
+    """Whether the order values ``split`` come strictly before the row's."""
+    out = F.lit(False)
+    for name, desc, nulls_first in reversed([_order_key(c) for c in order]):
+        a, b = split[name], F.col(name)
+        less = (a > b) if desc else (a < b)
+        null_less = (a.isNull() & b.isNotNull()) if nulls_first else (a.isNotNull() & b.isNull())
+        out = F.coalesce(less, F.lit(False)) | null_less | (a.eqNullSafe(b) & out)
+    return out
+
+
+def _hot_splits(df: DataFrame, groups: Sequence[str], order: Sequence[Column | str], parts: int) -> DataFrame | None:
+    """``(groups, __n, __splits)`` of the groups that hold more than one
+    partition's share of the rows, or None.  There are fewer than ``parts`` of
+    them, and at most (SLICES_PER_SHARE + 1) * ``parts`` splits in all."""
+    from matchlake.session import scratch_dir
+    from matchlake.sources.sinks import materialize_table
+
+    spark, seen = df.sparkSession, Observation()
+    largest = (df.select(*groups).observe(seen, F.count(F.lit(1)).alias("n")).groupBy(*groups).agg(F.count(F.lit(1)).alias("__n"))
+                 .orderBy(F.desc("__n")).limit(parts).collect())
+    share = seen.get["n"] / parts if largest else 0
+    hot = [r for r in largest if r["__n"] > share]
+    if not hot or parts < 2:
+        return None
+    schema = T.StructType([*[df.schema[g] for g in groups], T.StructField("__n", T.LongType())])
+    rows = spark.createDataFrame([tuple(r) for r in hot], T.StructType([T.StructField(f.name, f.dataType) for f in schema]))
+    wanted = sum(SAMPLES_PER_SLICE * (SLICES_PER_SHARE * r["__n"] / share + 1) for r in hot)
+    names = list(dict.fromkeys(_order_key(c)[0] for c in order))
+    cols = [*groups, *(n for n in names if n not in groups)]
+    sampled = join_null_safe(df.select(*cols).where(F.rand(7) < wanted / sum(r["__n"] for r in hot)), rows, groups, "inner", broadcast_right=True)
+    # the sample is small: cut each group's part of it into slices of equal size
+    w = Window.partitionBy(*groups)
+    cut = F.floor((F.row_number().over(w.orderBy(*[_sort(c) for c in order])) - 1) * F.ceil(F.col("__n") * SLICES_PER_SHARE / F.lit(share))
+                  / F.count(F.lit(1)).over(w))
+    starts = (sampled.withColumn("__cut", cut).withColumn("__first", F.row_number().over(
+        Window.partitionBy(*groups, "__cut").orderBy(*[_sort(c) for c in order]))).where("__cut > 0 and __first = 1"))
+    splits = starts.groupBy(*groups, "__n").agg(F.collect_list(F.struct(*names)).alias("__splits"))
+    return materialize_table(splits, scratch_dir(spark, "splits"))      # fixed: every branch slices alike
+
+
 def sequence_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Column | str],
                     out_col: str = "rn", num_partitions: int | None = None,
                     size_col: str | None = None) -> DataFrame:
     """ROW_NUMBER() OVER (PARTITION BY group_cols ORDER BY order_cols) for every
-    row, without sending a whole group to one task.
-
-    Rows are range-partitioned on (group, order), so a hot group is spread
-    over consecutive partitions.  Each partition numbers its own slice of a
-    group; a group continued from earlier partitions gets the count of its
-    rows there as offset.  Only the first group of a partition can be
-    continued, so the offset table has at most one row per partition and its
-    broadcast is bounded by the partition count.  ``order_cols`` must make the
-    order total (end with an identifying column).  The range-partitioned rows
-    are checkpointed once (eagerly), so the result is consistent even when
-    the input is recomputed in a different row order.  With ``size_col``
-    each row also gets its group's row count (COUNT(*) OVER the group), summed
-    from the same per-partition counts, so the input is evaluated once.
+    row, with one exchange of the rows and no whole group in one task.
+
+    Rows are dealt out by (group, slice).  A group is cut into slices only if it
+    holds more than one partition's share of the rows (one counting pass over
+    the group columns tells); its slices follow the order, cut at values of a
+    small sample.  A row's slice depends on the row and those fixed values
+    alone, so nothing has to be pinned: the window numbers each slice, and the
+    rows of a hot group's earlier slices, counted apart, are added.  That table
+    has some rows per partition at most, so its broadcast is bounded.
+    ``order_cols`` must make the order total (end with an identifying column)
+    and are plain columns, by name, F.asc or F.desc.  With ``size_col`` each
+    row also gets its group's row count (COUNT(*) OVER the group).
     """
-    from matchlake.sources.sinks import checkpoint_reliably
+    if not group_cols:
+        if size_col:
+            raise ValueError("size_col needs group columns")
+        return number_all(df, order_cols, out_col, num_partitions)
+    groups = list(group_cols)
+    parts = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    splits = _hot_splits(df, groups, order_cols, parts)
+    if splits is None:
+        sliced, keys = df, groups
+    else:
+        with_splits = join_null_safe(df, splits.drop("__n"), groups, "left", broadcast_right=True)
+        sliced = with_splits.withColumn("__slice", F.coalesce(
+            F.size(F.filter("__splits", lambda s: _before(s, order_cols))), F.lit(0))).drop("__splits")
+        keys = [*groups, "__slice"]
+    dealt = sliced.repartition(num_partitions, *keys) if num_partitions else sliced
+    w = Window.partitionBy(*keys)
+    out = dealt.withColumn(out_col, F.row_number().over(w.orderBy(*[_sort(c) for c in order_cols])).cast("bigint"))
+    if size_col:
+        out = out.withColumn(size_col, F.count(F.lit(1)).over(w))
+    if splits is None:
+        return out
+    # rows of each slice of the hot groups, and before it
+    counts = join_null_safe(sliced, splits.select(*groups, "__n"), groups, "inner", broadcast_right=True) \
+        .groupBy(*keys, "__n").agg(F.count(F.lit(1)).alias("__own"))
+    ahead = Window.partitionBy(*groups).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(*keys, "__n", F.coalesce(F.sum("__own").over(ahead), F.lit(0)).alias("__before"))
+    out = join_null_safe(out, before, keys, "left", broadcast_right=True)
+    out = out.withColumn(out_col, F.col(out_col) + F.coalesce("__before", F.lit(0)))
+    if size_col:
+        out = out.withColumn(size_col, F.coalesce("__n", size_col))
+    return out.drop("__slice", "__before", "__n")
+
+
+def number_all(df: DataFrame, order_cols: Sequence[Column | str], out_col: str = "rn",
+               num_partitions: int | None = None) -> DataFrame:
+    """ROW_NUMBER() OVER (ORDER BY order_cols) of all rows, without a single-partition window.
+
+    Rows are range-partitioned, sorted and written once with their position
+    (partition and place in it); a row's number is its place plus the rows of
+    earlier partitions, a table of one row per partition.
+    """
+    from matchlake.session import scratch_dir
+    from matchlake.sources.sinks import materialize_table
 
-    if size_col and not group_cols:
-        raise ValueError("size_col needs group columns")
     order = [_sort(c) for c in order_cols]
-    keys = [*[F.col(g).asc() for g in group_cols], *order]
-    # Range bounds come from sampling the input; two plan branches that each
-    # re-plan the exchange can sample rows in a different order and disagree
-    # on the bounds.  The partitioned rows are therefore pinned once (with
-    # their partition id) in the checkpoint folder, and both the local
-    # numbering and the offsets read that same copy.
-    # Without an explicit count AQE may merge adjacent range partitions to fit
-    # the data; merged ranges stay in order, and the partition id is taken
-    # after the merge.
-    ranged = (df.repartitionByRange(num_partitions, *keys) if num_partitions
-              else df.repartitionByRange(*keys))
-    base = checkpoint_reliably(ranged.withColumn("__pid", F.spark_partition_id()))
-    local = base.withColumn(
-        "__local", F.row_number().over(Window.partitionBy("__pid", *group_cols).orderBy(*order)))
-    # Rows per (partition, group), counted on the pinned copy with a partial
-    # aggregate: only the small counts cross the network.
-    counts = base.groupBy("__pid", *group_cols).agg(F.count(F.lit(1)).alias("__cnt"))
-    earlier = (Window.partitionBy(*group_cols).orderBy("__pid")
-               .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = (counts.withColumn("__before", F.sum("__cnt").over(earlier))
-                     .where(F.col("__before") > 0)
-                     .drop("__cnt"))
-    joined = join_null_safe(local, offsets, ["__pid", *group_cols], "left", broadcast_right=True)
-    out = (joined.withColumn(out_col, (F.col("__local") + F.coalesce("__before", F.lit(0))).cast("bigint"))
-                 .drop("__pid", "__local", "__before"))
-    if size_col:
-        sizes = counts.groupBy(*group_cols).agg(F.sum("__cnt").cast("bigint").alias(size_col))
-        out = join_null_safe(out, sizes, list(group_cols), "left")
-    return out
+    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    placed = materialize_table(ranged.sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id()),
+                               scratch_dir(df.sparkSession, "numbered"))
+    placed = placed.withColumn("__part", F.shiftright("__at", 33))
+    counts = placed.groupBy("__part").agg(F.count(F.lit(1)).alias("__own"))
+    ahead = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)     # over one row per partition
+    before = counts.select("__part", F.coalesce(F.sum("__own").over(ahead), F.lit(0)).alias("__before"))
+    out = placed.join(F.broadcast(before), "__part")
+    number = F.expr("__at & 8589934591") + F.col("__before") + 1        # the low 33 bits: the place in the partition
+    return out.withColumn(out_col, number.cast("bigint")).drop("__part", "__at", "__before")
 
 
 def dense_id(df: DataFrame, key: Column | str, id_col: str = "id",
@@ -105,7 +182,7 @@ def dense_id(df: DataFrame, key: Column | str, id_col: str = "id",
     keys, NULL first, computed without a single-partition window."""
     k = F.col(key) if isinstance(key, str) else key
     keys = df.select(k.alias("__key")).distinct()
-    return (sequence_within(keys, [], ["__key"], id_col, num_partitions)
+    return (number_all(keys, ["__key"], id_col, num_partitions)
             .withColumnRenamed("__key", key if isinstance(key, str) else "key"))
 
 

@@ -1,12 +1,13 @@
 """Declared model checks, and plan properties the scale design relies on."""
 
 import datetime as dt
+import re
 
 from pyspark.sql import functions as F
 
 import fixtures
 from matchlake import schemas
-from matchlake.operators import sequence_within
+from matchlake.operators import number_all, sequence_within
 from matchlake.plans import marts, shop, staging
 from matchlake.plans.checks import check_summary, run_checks
 from matchlake.sources import read_seed
@@ -58,11 +59,43 @@ def test_points_table_reads_matches_once(spark):
     assert plan.count("Scan ExistingRDD") + plan.count("LocalTableScan") <= 2   # one per input
 
 
+def wide_exchanges(df, payload):
+    """Exchanges (broadcasts left out) of a formatted plan whose rows hold ``payload``."""
+    df.write.format("noop").mode("overwrite").save()
+    text = df._jdf.queryExecution().explainString(df._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    text = text.split("== Initial Plan")[0] if "== Initial Plan" in text else text
+    nodes = dict(re.findall(r"\n\((\d+)\) (?:Exchange|BroadcastExchange)\n(Input.*)\n", text))
+    shuffles = {n: row for n, row in nodes.items() if re.search(rf"\n\({n}\) Exchange\n", text)}
+    final = re.search(r"== Final Plan ==(.*?)(== Initial Plan|\n\n\n)", text, re.S)
+    if final:
+        shuffles = {n: row for n, row in shuffles.items() if re.search(rf"Exchange \({n}\)", final[1])}
+    return [row for row in shuffles.values() if re.search(rf"\b{payload}#", row)]
+
+
 def test_sequence_within_has_no_single_partition_exchange(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("g"), "id")
     plan = plan_of(sequence_within(df, ["g"], ["id"], "rn"))
-    # the range partitioning ran in the checkpoint job; this plan reads the pinned copy
-    assert "SinglePartition" not in plan and "ExistingRDD" in plan
+    assert "SinglePartition" not in plan
+
+
+def test_numbers_take_one_exchange_of_full_rows(spark, tmp_dir):
+    df = spark.range(4000).select(F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).alias("g"), "id", F.lit("payload").alias("w"))
+    df.write.parquet(f"{tmp_dir}/in")
+    rows = spark.read.parquet(f"{tmp_dir}/in")
+    hot = sequence_within(rows, ["g"], ["id"], "rn", size_col="n")
+    assert len(wide_exchanges(hot, "w")) == 1                   # half the rows in one group: sliced
+    assert hot.where("g = 0").agg(F.max("rn"), F.max("n"), F.min("n")).first() == (2000, 2000, 2000)
+    cold = sequence_within(rows.where("g > 0"), ["g"], ["id"], "rn", size_col="n")
+    assert len(wide_exchanges(cold, "w")) == 1 and cold.where("rn <> 1 or n <> 1").count() == 0
+    assert len(wide_exchanges(number_all(rows, ["id"], "rn"), "w")) == 0     # its one exchange ran before the written copy
+
+
+def test_a_hot_group_spreads_over_tasks(spark):
+    df = spark.range(20000).select(F.lit("day").alias("g"), F.col("id"))
+    out = sequence_within(df, ["g"], [F.desc("id")], "rn", num_partitions=8, size_col="n")
+    per_task = [r[1] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(per_task) >= 4 and max(per_task) < 12000
+    assert out.where("rn <> 20000 - id or n <> 20000").count() == 0
 
 
 def test_parsed_documents_prune_nested_columns(spark, tmp_dir):

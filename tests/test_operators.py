@@ -22,6 +22,21 @@ def test_sequence_within_matches_window_under_skew(spark):
     assert j.count() == 5000 and j.where("rn <> rn2").count() == 0
 
 
+def test_sequence_within_any_order_and_type(spark):
+    """Hot groups with nulls and ties in the order columns, every direction."""
+    df = spark.range(0, 3000).select(
+        F.when(F.col("id") % 5 != 0, F.lit(None)).otherwise(F.col("id") % 4).cast("int").alias("g"),
+        F.when(F.col("id") % 3 != 0, (F.col("id") * 31 % 50).cast("string")).alias("s"),
+        F.when(F.col("id") % 7 != 0, F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 90).cast("int"))).alias("d"), "id")
+    for order in (["s", F.desc("d"), "id"], [F.desc("s"), F.asc_nulls_last("d"), F.desc("id")], [F.desc_nulls_first("d"), "id"]):
+        got = sequence_within(df, ["g"], order, "rn", num_partitions=5, size_col="n")
+        w = Window.partitionBy("g")
+        want = df.withColumn("a", F.row_number().over(w.orderBy(*order))).withColumn("b", F.count("*").over(w)).select("id", "a", "b")
+        j = got.join(want, "id")
+        assert j.count() == 3000 and j.where("rn <> a or n <> b").count() == 0
+    assert sequence_within(df.where("id < 0"), ["g"], ["id"], "rn").count() == 0
+
+
 def test_dense_id_null_first_and_null_safe_join(spark):
     df = spark.createDataFrame([("b",), ("a",), (None,), ("b",), ("c",)], "k string")
     assert sorted(dense_id(df, "k", "id").collect(), key=lambda r: r["id"]) == \
