@@ -47,7 +47,7 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("--teams", required=True)
     b.add_argument("--players", required=True)
     b.add_argument("--coordinates", required=True)
-    b.add_argument("--weather", required=True, help="weather job output folder (versioned CSV)")
+    b.add_argument("--weather", required=True, help="weather job output folder")
     b.add_argument("--out", required=True)
     b.add_argument("--season", default="2025")
     b.add_argument("--customers", help="shop customers (id, first_name, last_name): also builds the shop models")
@@ -57,6 +57,8 @@ def main(argv: list[str] | None = None) -> int:
     w.add_argument("--schedule", required=True, help="schedule CSV")
     w.add_argument("--archive", required=True, help="hourly archive table (Parquet)")
     w.add_argument("--out", required=True)
+    w.add_argument("--layout", choices=["versions", "seasons"], default="versions",
+                   help="write the whole output as a new version, or replace the seasons with new rows")
     w.add_argument("--as-of", default=None, help="cut-off 'YYYY-MM-DD HH:MM:SS' (default: now, local time)")
 
     c = sub.add_parser("check")
@@ -82,14 +84,12 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps({"loaded": r.loaded, "quarantined": r.quarantined}))
     elif a.job == "build":
         from matchlake.plans.build import Sources, build
-        from matchlake.plans.weather import OUTPUT_SCHEMA
-        from matchlake.sources import read_latest
+        from matchlake.plans.weather import read_enriched
 
         from pyspark.sql import functions as F
 
         # the weather job writes no view counts; the staging model still lists the column
-        weather = (read_latest(spark, a.weather, fmt="csv", schema=OUTPUT_SCHEMA, header="true")
-                   .withColumn("total_views", F.lit(None).cast("bigint")))
+        weather = read_enriched(spark, a.weather).withColumn("total_views", F.lit(None).cast("bigint"))
         src = Sources(spark.read.schema(schemas.RAW_DOCUMENTS).parquet(a.raw),
                       _read(spark, a.teams, schemas.IPL_TEAMS), _read(spark, a.players, schemas.PLAYERS_INFO),
                       _read(spark, a.coordinates, schemas.STADIUM_COORDINATES), weather)
@@ -108,7 +108,7 @@ def main(argv: list[str] | None = None) -> int:
         from matchlake.plans.weather import run_weather_job
 
         archive = spark.read.schema(schemas.HOURLY_ARCHIVE).parquet(a.archive)
-        print(json.dumps(run_weather_job(spark, a.schedule, archive, a.out, a.as_of)))
+        print(json.dumps(run_weather_job(spark, a.schedule, archive, a.out, a.as_of, a.layout)))
     elif a.job == "check":
         from matchlake.plans.checks import DECLARED_CHECKS, check_summary
         from matchlake.plans.staging import stg_cricket_match

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from matchlake.plans import intermediate, marts, staging
 from matchlake.session import scratch_dir
-from matchlake.sources import materialize_table, materialize_view, read_seed
+from matchlake.sources import materialize_table, materialize_view, read_seed, write_sorted
 
 
 @dataclass
@@ -33,7 +33,11 @@ def build(spark: SparkSession, src: Sources, out_dir: str | None = None, season:
     m: dict[str, DataFrame] = {}
 
     def store(name: str, df: DataFrame) -> DataFrame:
-        m[name] = materialize_table(df, f"{out_dir}/{name}")
+        if name in marts.ORDER:         # files in the model's order: ``read_positions`` gives each row's place
+            write_sorted(df, f"{out_dir}/{name}", marts.ORDER[name])
+            m[name] = spark.read.parquet(f"{out_dir}/{name}")
+        else:
+            m[name] = materialize_table(df, f"{out_dir}/{name}")
         return m[name]
 
     raw = store("stg_cricket_match", staging.stg_cricket_match(src.cricket_match_raw))

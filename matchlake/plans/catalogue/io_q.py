@@ -254,6 +254,47 @@ def hourly_lookup(spark: SparkSession, d: str) -> DataFrame:
     return all_rows
 
 
+# --------------------------------------------------------------------------- A9 S9 S8 I2
+EARLIER, LATER = "2024-01-08 00:00:00", "2024-01-17 00:00:00"
+
+
+@query("weather_by_season", f"""
+WITH s AS (
+  SELECT 'D' || (day(ts) // 5)::VARCHAR AS season, event_id::VARCHAR AS match_id, event_type AS city, user_id::VARCHAR AS match_num,
+         'V' || (user_id % 4)::VARCHAR AS venue, day(ts)::VARCHAR || '/' || month(ts)::VARCHAR || '/' || year(ts)::VARCHAR AS match_date,
+         hour(ts)::VARCHAR || ':' || lpad(minute(ts)::VARCHAR, 2, '0') AS match_time, event_type AS team1, NULL::VARCHAR AS team2,
+         (user_id % 4)::BIGINT AS venue_id, (user_id % 4)::DOUBLE AS latitude, 0.0::DOUBLE AS longitude, ts
+  FROM events WHERE event_type = 'purchase'),
+h AS (
+  SELECT (user_id % 4)::DOUBLE AS lat, ts::DATE AS d, strftime(date_trunc('hour', ts), '%Y-%m-%dT%H:00') AS hr, max(value) AS t, min(value) AS hm,
+         count(*)::DOUBLE AS p, max(json_extract_string(props, '$.k')::DOUBLE) AS c,
+         sum(json_extract_string(props, '$.k')::BIGINT)::DOUBLE AS r, max(value) - min(value) AS w
+  FROM events WHERE event_type = 'view' GROUP BY 1, 2, 3)
+SELECT season, match_id, city, match_num, venue, match_date, match_time, team1, team2, venue_id, latitude, longitude, hr AS datetime,
+       t AS "temp_C", hm AS "humidity_%", p AS "pressure_hPa", c AS "cloudcover_%", r AS rain_mm, w AS wind_m_s,
+       CASE WHEN max(date_trunc('minute', ts)) OVER (PARTITION BY season) > TIMESTAMP '{EARLIER}' THEN 2 ELSE 1 END AS written
+FROM s JOIN h ON latitude = lat AND ts::DATE = d AND strftime(date_trunc('hour', ts), '%Y-%m-%dT%H:00') = hr
+WHERE date_trunc('minute', ts) <= TIMESTAMP '{LATER}'
+""")
+def weather_by_season(spark: SparkSession, d: str) -> DataFrame:
+    """The weather job over five-day seasons, run early and again later:
+    ``written`` is the run that wrote a row's season last."""
+    base = scratch_dir(spark, "weather_by_season")
+    events = table(spark, d, "events")
+    schedule = purchase_schedule(events).withColumn(
+        "season", F.concat(F.lit("D"), F.floor(F.split("match_date", "/")[0].cast("int") / 5).cast("string")))
+    schedule.select(*schemas.SCHEDULE_COLUMNS).write.option("header", True).csv(f"{base}/schedule")
+    weather.write_archive(view_archive(events), f"{base}/archive")
+    archive = spark.read.schema(schemas.HOURLY_ARCHIVE).parquet(f"{base}/archive")
+
+    def run(as_of: str) -> DataFrame:
+        weather.run_weather_job(spark, f"{base}/schedule", archive, f"{base}/out", as_of, layout="seasons")
+        out = weather.read_enriched(spark, f"{base}/out")
+        return out.select("*", F.col("_metadata.file_modification_time").alias("written"))
+    first = run(EARLIER).agg(F.max("written")).first()[0]
+    return run(LATER).withColumn("written", F.when(F.col("written") <= F.lit(first), 1).otherwise(2))
+
+
 # --------------------------------------------------------------------------- S1 S2 S3
 @query("file_scan", """
 SELECT doc_id, text FROM documents

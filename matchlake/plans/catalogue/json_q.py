@@ -129,7 +129,7 @@ p AS (
     ON r.match_type = dp.match_type),
 m AS (
   SELECT CAST(year(o_orderdate) AS VARCHAR) AS season, CAST(o_orderkey AS VARCHAR) AS match_id
-  FROM orders WHERE o_orderstatus <> 'P')
+  FROM orders)
 SELECT CAST(p.l_orderkey AS VARCHAR) || '.json' AS file_name, CAST(inning_no AS BIGINT) AS inning_id,
        CAST(over_no AS BIGINT) AS over_number, 'team_' || l_returnflag AS batting_team,
        CAST(ball_no AS BIGINT) AS ball_in_over,
@@ -152,7 +152,7 @@ FROM p LEFT JOIN m ON CAST(p.l_orderkey AS VARCHAR) = m.match_id
 def json_nested_explode(spark: SparkSession, d: str) -> DataFrame:
     stg = staging.stg_cricket_match(order_documents(spark, d))
     deliveries = staging.stg_match_innings(stg, read_seed(spark, "default_powerplay"))
-    info = (table(spark, d, "orders").where(F.col("o_orderstatus") != "P")
+    info = (table(spark, d, "orders")
             .select(F.year("o_orderdate").cast("string").alias("season"),
                     F.col("o_orderkey").cast("string").alias("match_id")))
     return intermediate.int_match_innings(deliveries, info)
@@ -248,3 +248,19 @@ FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
 """)
 def document_header(spark: SparkSession, d: str) -> DataFrame:
     return staging.stg_match_info(staging.stg_cricket_match(order_header_documents(spark, d)))
+
+
+# --------------------------------------------------------------------------- M10 X7 X9
+@query("teams_of_documents", """
+WITH listed AS (SELECT DISTINCT c_mktsegment AS team, c_nationkey::BIGINT AS team_id, 'img/' || lower(c_mktsegment) AS image_url FROM customer),
+named AS (SELECT DISTINCT unnest([c_mktsegment, o_orderpriority]) AS team_name, 'club' AS team_type FROM orders JOIN customer ON c_custkey = o_custkey)
+SELECT team_name, team_type, team_id, image_url FROM named LEFT JOIN listed ON team = team_name
+""")
+def teams_of_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Teams named in the documents, with the ids of the team table; a segment
+    is listed once per nation, a priority not at all."""
+    teams = table(spark, d, "customer").select(
+        F.col("c_nationkey").cast("bigint").alias("team_id"), F.col("c_mktsegment").alias("team"),
+        F.concat(F.lit("img/"), F.lower("c_mktsegment")).alias("image_url")).distinct()
+    documents = staging.stg_cricket_match(order_header_documents(spark, d))
+    return intermediate.int_teams(documents, staging.stg_ipl_teams(teams))

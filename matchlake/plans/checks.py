@@ -10,9 +10,8 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from matchlake import constants as C
 from matchlake.operators import (
@@ -63,32 +62,65 @@ def failing_rows(models: Mapping[str, DataFrame], check: Check) -> DataFrame:
     raise ValueError(check.test)
 
 
-def run_checks(models: Mapping[str, DataFrame], checks=DECLARED_CHECKS) -> dict[str, DataFrame]:
-    """Failing rows per applicable check (checks on absent models are skipped)."""
-    return {c.name: failing_rows(models, c) for c in checks if c.model in models
-            and (c.to is None or c.to in models)}
+def run_checks(models: Mapping[str, DataFrame], checks=DECLARED_CHECKS) -> dict[str, DataFrame | None]:
+    """Failing rows per check; None where the check's model (or the parent it
+    refers to) is absent, so that it could not run."""
+    return {c.name: failing_rows(models, c) if _can_run(c, models) else None for c in checks}
+
+
+def _can_run(c: Check, models: Mapping[str, DataFrame]) -> bool:
+    return c.model in models and (c.to is None or c.to in models)
+
+
+#: What a model's row adds to a check: a failure, a key to be unique, a key that refers, a key referred to.
+FAILS, KEY, CHILD, PARENT = "fails", "key", "child", "parent"
+
+
+def _said(check: Check, role: str, cond: Column, key: Column | None = None) -> Column:
+    key = F.lit(None).cast("string") if key is None else key.cast("string")
+    return F.when(cond, F.struct(F.lit(check.name).alias("check"), F.lit(role).alias("role"), key.alias("key")))
 
 
 def check_summary(spark: SparkSession, models: Mapping[str, DataFrame], checks=DECLARED_CHECKS) -> DataFrame:
-    """One row per check: name and number of failing rows; NULL when the
-    check's model is missing, so that it did not run.
+    """One row per check: name and number of failing rows (of key values, for
+    unique); NULL when the check's model is missing, so that it did not run.
 
-    Row-level checks (not_null, accepted_values) on the same model are
-    counted in one aggregation pass; unique and relationships checks need
-    their own grouping or join, one small job each.
+    All checks of all models are one plan: each model is scanned once and every
+    row stacked as the (check, key) pairs it has a say in; one aggregation per
+    (check, key), combined map-side, then counts repeats, failures and
+    references without a parent.  Keys compare as text.
     """
-    applicable = [c for c in checks if c.model in models and (c.to is None or c.to in models)]
-    row_level: dict[str, list[Check]] = {}
-    rows = [(c.name, None) for c in checks if c not in applicable]
-    for c in applicable:
-        if c.test in ("not_null", "accepted_values"):
-            row_level.setdefault(c.model, []).append(c)
+    says: dict[str, list[Column]] = {}
+    for c in checks:
+        if not _can_run(c, models):
+            continue
+        col = F.col(c.column)
+        if c.test == "not_null":
+            said = _said(c, FAILS, col.isNull())
+        elif c.test == "accepted_values":
+            said = _said(c, FAILS, ~col.isin(list(c.values)))
+        elif c.test == "unique":
+            said = _said(c, KEY, col.isNotNull(), col)
+        elif c.test == "relationships":
+            said = _said(c, CHILD, col.isNotNull(), col)
+            parent = F.col(c.field_ or c.column)
+            says.setdefault(c.to, []).append(_said(c, PARENT, parent.isNotNull(), parent))
         else:
-            rows.append((c.name, failing_rows(models, c).count()))
-    for model, cs in row_level.items():
-        aggs = [F.count_if(F.col(c.column).isNull() if c.test == "not_null"
-                           else ~F.col(c.column).isin(list(c.values))).alias(c.name) for c in cs]
-        counts = models[model].agg(*aggs).first()
-        rows += [(c.name, counts[c.name]) for c in cs]
-    schema = T.StructType([T.StructField("check", T.StringType()), T.StructField("failures", T.LongType())])
-    return spark.createDataFrame(rows, schema).orderBy(F.col("check"))
+            raise ValueError(c.test)
+        says.setdefault(c.model, []).append(said)
+    names = spark.createDataFrame([(c.name,) for c in checks], "check string")
+    ran = spark.createDataFrame([(c.name,) for c in checks if _can_run(c, models)], "check string")
+    stacked = None
+    for model, said in says.items():
+        rows = models[model].select(F.explode(F.filter(F.array(*said), lambda x: x.isNotNull())).alias("x")).select("x.*")
+        stacked = rows if stacked is None else stacked.unionByName(rows)
+    if stacked is None:
+        return names.select("check", F.lit(None).cast("bigint").alias("failures")).orderBy("check")
+    counts = stacked.groupBy("check", "key").agg(
+        *[F.count_if(F.col("role") == r).alias(f"n_{r}") for r in (FAILS, KEY, CHILD, PARENT)])
+    orphans = F.when(F.col(f"n_{PARENT}") == 0, F.col(f"n_{CHILD}")).otherwise(0)
+    failed = counts.groupBy("check").agg(F.sum(F.col(f"n_{FAILS}") + (F.col(f"n_{KEY}") > 1).cast("bigint") + orphans).alias("n"))
+    # the declared checks are a fixed list, so broadcasting their results is bounded by it
+    return (names.join(F.broadcast(ran.join(F.broadcast(failed), "check", "left")
+                                      .select("check", F.coalesce("n", F.lit(0)).alias("failures"))), "check", "left")
+                 .orderBy("check"))

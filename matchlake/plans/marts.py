@@ -7,8 +7,20 @@ from pyspark.sql import functions as F
 
 from matchlake.functions import flag_from_predicate
 from matchlake.operators import broadcast_if_small, top_n_per_group, unpivot_sides
+from matchlake.sources import sort_columns
 from matchlake import constants as C
 
+#: Row order of the sorted models; the last columns identify a row, so that the order is total.
+ORDER = {
+    "points_table": "season, points desc, wins desc, team, team_id",
+    "innings_summary": "match_id, inning_id",
+    "ipl_schedule": "season, match_date, match_num, match_id",
+    "match_ids": "match_date, match_number desc, match_id",
+    "stg_players_info": "player_name, category, type, age, batting_style, bowling_style, team",
+    "stg_stadium_coordinates": "venue_id, city_cleaned, venue_cleaned",
+    "int_stadiums_info": "venue_id, city_cleaned, venue_cleaned, latitude, longitude",
+}
+
 POINTS_COLUMNS = ["season", "team", "matches_played", "wins", "losses", "no_results", "points",
                   "team_id", "image_url"]
 
@@ -44,7 +56,7 @@ def points_table(int_match_info: DataFrame, int_teams: DataFrame) -> DataFrame:
     teams = int_teams.select(F.col("team_name").alias("team"), "team_id", "image_url")
     return (summary.join(broadcast_if_small(teams), "team", "inner")
                    .select(*POINTS_COLUMNS)
-                   .orderBy("season", F.desc("points"), F.desc("wins"), "team"))
+                   .orderBy(*sort_columns(ORDER["points_table"])))
 
 
 BATTER_COLUMNS = {"batter": "{label}_batter", "total_runs": "{label}_batter_runs",
@@ -129,7 +141,7 @@ def innings_summary(int_match_innings: DataFrame, int_match_info: DataFrame,
     meta = int_match_info.select(*MATCH_META).distinct()
     return (per_innings.join(meta, "match_id", "inner")
                        .select(*INNINGS_SUMMARY_COLUMNS)
-                       .orderBy("match_id", "inning_id"))
+                       .orderBy(*sort_columns(ORDER["innings_summary"])))
 
 
 SCHEDULE_BASE_COLUMNS = ["season", "match_id", "city", "match_num", "venue", "match_date",
@@ -159,11 +171,11 @@ def ipl_schedule(int_match_info: DataFrame, int_stadiums_info: DataFrame,
     w = int_weather_info.select(F.col("match_id").cast("string").alias("__wid"), *WEATHER_MEASURES)
     return (base.join(w, base["match_id"].cast("string") == F.col("__wid"), "inner")
                 .select(*SCHEDULE_BASE_COLUMNS, *WEATHER_MEASURES)
-                .orderBy("season", "match_date", "match_num"))
+                .orderBy(*sort_columns(ORDER["ipl_schedule"])))
 
 
 def match_ids(int_match_info: DataFrame, season: str = "2025") -> DataFrame:
-    """Matches of one season, by date then match number descending (as text)."""
+    """Matches of one season, by date, then match number descending (as text), then id."""
     return (int_match_info.where(F.col("season") == F.lit(season))
             .select("season", "match_id", "match_date", "match_number", "team1", "team2")
-            .orderBy("match_date", F.desc("match_number")))
+            .orderBy(*sort_columns(ORDER["match_ids"])))

@@ -41,6 +41,25 @@ def test_declared_checks(spark):
     customers = {r["customer_id"]: r for r in models["customers"].collect()}
     assert customers[3]["number_of_orders"] == 0 and customers[3]["first_order_date"] is None
     assert run_checks(models)["unique__customers__customer_id"].count() == 1
+    some = {"stg_orders": models["stg_orders"]}
+    assert run_checks(some)["relationships__stg_orders__customer_id"] is None       # the parent is absent
+    summary = {r["check"]: r["failures"] for r in check_summary(spark, some).collect()}
+    assert summary["not_null__stg_orders__customer_id"] == 1 and summary["relationships__stg_orders__customer_id"] is None
+    assert all(r["failures"] is None for r in check_summary(spark, {}).collect())
+
+
+def test_check_summary_agrees_with_failing_rows(spark):
+    models = shop_models(spark)
+    assert {r["check"]: r["failures"] for r in check_summary(spark, models).collect()} == \
+        {name: df.count() for name, df in run_checks(models).items()}
+
+
+def test_all_checks_scan_each_model_once(spark):
+    from matchlake.plans.catalogue.quality_q import TABLE_CHECKS, dq_summary
+
+    plan = plan_of(dq_summary(spark, "/root/testdata/sf0.001"))
+    scans = re.findall(r"FileScan parquet .*?/(\w+)\.parquet", plan.split("== Initial Plan")[0])
+    assert sorted(scans) == sorted({m for c in TABLE_CHECKS for m in (c.model, c.to) if m and m != "referees"})
 
 
 def test_seed_is_broadcast(spark):

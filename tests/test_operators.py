@@ -116,3 +116,20 @@ def test_sequence_within_group_sizes(spark):
     j = got.join(ref.select("id", "n2"), "id")
     assert j.count() == 3000 and j.where("n <> n2").count() == 0
     assert got.where("rn > n").count() == 0
+
+
+def test_positions_follow_the_stored_order(spark, tmp_dir):
+    """Many files, duplicates and nulls: the place read back is the row number of the order."""
+    from matchlake.sources import read_positions, sort_columns, write_sorted
+
+    df = spark.range(3000).select((F.col("id") * 7919 % 211).alias("a"), F.when(F.col("id") % 9 != 0, F.col("id") % 13).alias("b"), "id").repartition(7)
+    order = "a, b desc, id"
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_sorted(df, f"{tmp_dir}/sorted", order)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    got = read_positions(spark, f"{tmp_dir}/sorted")
+    assert len(got.inputFiles()) > 1
+    want = df.withColumn("rn", F.row_number().over(Window.orderBy(*sort_columns(order)))).select("id", "rn")
+    assert got.join(want, "id").where("position <> rn").count() == 0 and got.count() == 3000
