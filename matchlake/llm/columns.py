@@ -4,12 +4,13 @@ memory follows the longest text, not the partition."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 _MULT = 0x9E3779B97F4A7C15
 _BASE = 0xD6E8FEB86659FD93  # odd, so it has an inverse modulo 2**64
 _BASE_INV = pow(_BASE, -1, 1 << 64)
@@ -37,6 +38,31 @@ def slices(batch: pa.RecordBatch, text_index: int, limit: int = SLICE_BYTES) ->
         i = j
 
 
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` in a task that gives its memory back: Python workers serve one
+    task after the other, and what an allocator keeps of a task's arrays would
+    add up over the stages of a job.  Large arrays are mapped, so that they go
+    when they are freed, and the rest is returned at the end of the task."""
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        libc = _libc()
+        if libc:
+            libc.mallopt(-3, 1 << 20)       # M_MMAP_THRESHOLD, fixed
+        try:
+            yield from run(batches)
+        finally:
+            _powers.clear()
+            pa.default_memory_pool().release_unused()
+            if libc:
+                libc.malloc_trim(0)
+    return go
+
+
+def _libc():
+    """The C library where it is glibc, else None."""
+    libc = ctypes.CDLL(None)
+    return libc if hasattr(libc, "malloc_trim") and hasattr(libc, "mallopt") else None
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Finaliser: spreads a 64-bit value over all bits."""
     h = h ^ (h >> np.uint64(31))
@@ -58,7 +84,7 @@ def powers(n: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
         up, down = np.ones(size, np.uint64), np.ones(size, np.uint64)
         up[1:], down[1:] = np.uint64(base), np.uint64(pow(base, -1, 1 << 64))
         got = (np.multiply.accumulate(up), np.multiply.accumulate(down))
-        if size <= 4 * SLICE_BYTES:
+        if size <= 16 * SLICE_BYTES:
             _powers[seed] = got
     return got
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchlake.llm.columns import Rolling, lower_ascii, mix, slices, word_hashes, words
+from matchlake.llm.columns import Rolling, lean, lower_ascii, mix, slices, word_hashes, words
 from matchlake.llm.components import components
 from matchlake.llm.spans import ROW, doc_key, row_keys
 from matchlake.llm.store import SMALL, discard, stored, text_of
@@ -103,7 +103,7 @@ def _prefixes(n: int, percent: int, bits=None):
 def _candidates(texts: DataFrame, n: int, percent: int) -> DataFrame:
     """(node) of the sets that share enough of their prefix; ``texts`` is read twice."""
     columns = "key long, node long, n long"
-    keys = texts.mapInArrow(_prefixes(n, percent), columns)
+    keys = texts.mapInArrow(lean(_prefixes(n, percent)), columns)
     multi = stored(keys.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key"), "jaccard-multi")
     low = F.col("key").bitwiseAND(F.lit((1 << BITS) - 1))
     words_ = (multi.groupBy(F.shiftright(low, 6).alias("at"))
@@ -111,7 +111,7 @@ def _candidates(texts: DataFrame, n: int, percent: int) -> DataFrame:
                    .toArrow())                                   # at most 2**BITS / 64 rows
     bits = np.zeros(1 << (BITS - 6), np.uint64)
     bits[words_.column("at").to_numpy()] = words_.column("w").to_numpy().view(np.uint64)
-    some = texts.mapInArrow(_prefixes(n, percent, texts.sparkSession.sparkContext.broadcast(bits)), columns)
+    some = texts.mapInArrow(lean(_prefixes(n, percent, texts.sparkSession.sparkContext.broadcast(bits))), columns)
     pairs = stored(some.join(multi, "key").distinct(), "jaccard-prefixes")     # equal sets are one node from here on
     least = F.floor(F.ceil(F.col("n") * percent / 100) * SPARE / 100) + 1
     for _ in range(ROUNDS):
@@ -172,13 +172,13 @@ def _labelled(keyed: DataFrame, id_col: str, text_col: str, n: int, percent: int
     its key, its identifier, the size and name of its set (null when empty) and
     the name of its component."""
     rows = keyed.select(F.col(ROW).alias("doc"), F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    sets = stored(rows.mapInArrow(_sets(n), "doc long, doc_id long, n long, node long"), "jaccard-sets")
+    sets = stored(rows.mapInArrow(lean(_sets(n)), "doc long, doc_id long, n long, node long"), "jaccard-sets")
     some = _candidates(rows.select("text"), n, percent)
     # one text per candidate node; only identifiers are joined with the texts
     pick = (sets.where("node is not null").groupBy("node").agg(F.min("doc").alias("doc"))
                 .join(some, "node").select("doc").distinct())
     texts = rows.join(broadcast_if_small(stored(pick, "jaccard-candidates")), "doc", "left_semi")
-    grams = stored(texts.select("doc_id", "text").mapInArrow(_grams(n), "node long, grams array<long>"), "jaccard-grams")
+    grams = stored(texts.select("doc_id", "text").mapInArrow(lean(_grams(n)), "node long, grams array<long>"), "jaccard-grams")
     labels = _join_candidates(grams, percent)
     discard(grams)
     return sets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from matchlake.llm.columns import mix
+from matchlake.llm.columns import lean, mix
 from matchlake.llm.store import partitions, stored, text_of
 from matchlake.session import scratch_dir
 
@@ -184,7 +184,7 @@ def write_tokens(docs: DataFrame, folder: str | None = None, id_col: str = "doc_
     with open(vocabulary, "rb") as f:
         ranks = f.read()
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    packed = stored(rows.mapInArrow(_pack(ranks, pattern, end, length), _PACKED), "token-packed")
+    packed = stored(rows.mapInArrow(lean(_pack(ranks, pattern, end, length)), _PACKED), "token-packed")
     # one row per partition of the first pass
     sizes = packed.groupBy("part").agg(F.sum("n").alias("n"))
     starts = stored(sizes.select("part", "n", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("start")), "token-starts")
@@ -195,9 +195,9 @@ def write_tokens(docs: DataFrame, folder: str | None = None, id_col: str = "doc_
     shards = -(-n // per_shard)
     parts = min(shards, max(partitions(spark), -(-shards // 64)))
     sent = packed.join(F.broadcast(starts.select("part", "start")), "part").select("first", "n", "used", "ids", "pieces", "start")
-    sent = sent.mapInArrow(_send(length, n, per_shard, key), _SENT)
+    sent = sent.mapInArrow(lean(_send(length, n, per_shard, key)), _SENT)
     ranged = sent.repartitionById(parts, (F.col("shard") * parts / shards).cast("int")).sortWithinPartitions("slot")
-    return stored(ranged.mapInArrow(_write(folder, length, per_shard), columns), "token-index")
+    return stored(ranged.mapInArrow(lean(_write(folder, length, per_shard)), columns), "token-index")
 
 
 def read_slots(folder: str, first: int, count: int, length: int = LENGTH, per_shard: int = PER_SHARD) -> np.ndarray:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchlake.llm.columns import lower_ascii, mix, slices, word_hashes, words
+from matchlake.llm.columns import lean, lower_ascii, mix, slices, word_hashes, words
 from matchlake.llm.store import discard, stored, text_of
 
 SAMPLE = 20_000         # labelled documents the model is fitted on, at most
@@ -246,7 +246,7 @@ def training_windows(rows: DataFrame, model: Model, windows: int) -> tuple[np.nd
     """Levels and tags of at most ``windows`` windows of ``rows`` (text, toxic,
     h), those of smallest hash: half document beginnings and half signal
     windows, or more of one where the other has fewer."""
-    every = stored(rows.select("text", "toxic", "h").mapInArrow(_windows(model), _WINDOW), "toxicity-windows")
+    every = stored(rows.select("text", "toxic", "h").mapInArrow(lean(_windows(model)), _WINDOW), "toxicity-windows")
     begins, hot = (every.where(kind).orderBy("key", "levels", "toxic").limit(windows).collect() for kind in ("not signal", "signal"))
     discard(every)
     some = min(len(begins), max(windows // 2, windows - len(hot)))
@@ -290,7 +290,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                        .select("text", "toxic", "fold", F.xxhash64("__id").alias("h")), "toxicity-train")
     some = train.where("fold <= 2").groupBy().agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first()
     n_p, n_q = (float(v or 0) for v in some)
-    counts = train.where("fold <= 2").select("text", "toxic").mapInArrow(_counts, "term long, p long, q long")
+    counts = train.where("fold <= 2").select("text", "toxic").mapInArrow(lean(_counts), "term long, p long, q long")
     counts = counts.groupBy("term").agg(F.sum("p").alias("p"), F.sum("q").alias("q")).where("p >= 3")
     odds = (F.log((F.col("p") + 0.5) / (n_p + 1)) - F.log((F.col("q") + 0.5) / (n_q + 1))
             - F.sqrt(1 / (F.col("p") + 0.5) + 1 / (F.col("q") + 0.5)))
@@ -309,7 +309,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         model.final[-1] = np.log(share / (1 - share))
         return model
     model.field = fit_field(*training_windows(rest, model, windows), len(LEVELS) + 1)
-    got = rest.select("text", "toxic").mapInArrow(_features(model), "toxic int, f0 double, f1 double, f2 double, f3 double").toPandas()
+    got = rest.select("text", "toxic").mapInArrow(lean(_features(model)), "toxic int, f0 double, f1 double, f2 double, f3 double").toPandas()
     discard(train)
     model.final = fit_final(got[["f0", "f1", "f2", "f3"]].to_numpy(float), got["toxic"].to_numpy(float))
     return model
@@ -348,7 +348,7 @@ def toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    out = rows.mapInArrow(_score(model, 1, least), f"doc_id {id_type}, {_SCORED}")
+    out = rows.mapInArrow(lean(_score(model, 1, least)), f"doc_id {id_type}, {_SCORED}")
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
@@ -359,5 +359,5 @@ def reject_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataF
     rows = docs.toDF(*[f"c{k}" for k in range(len(names))])
     rows = rows.withColumn("read", text_of(f"c{names.index(text_col)}"))
     schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in rows.drop("read").schema] + [_SCORED])
-    kept = rows.mapInArrow(_score(model, len(names), 0.5), schema).where("score < 0.5")
+    kept = rows.mapInArrow(lean(_score(model, len(names), 0.5)), schema).where("score < 0.5")
     return kept.drop("score", "spans").toDF(*names)
