@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchlake.llm.store import stored, text_of
+from matchlake.operators import sequence_within
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1.0, 2.0, 3.0)
@@ -59,12 +60,24 @@ def source_targets(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap:
          .otherwise(F.least(F.col("w") * level["share"], F.lit(float(cap)) * F.col("source_size"))).alias("target"))
 
 
-def uniform(id_col: Column, seed: str) -> Column:
-    """A uniform number in (0, 1) fixed by identifier and seed: 48 bits of MD5."""
-    hexa = F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce(id_col.cast("string"), F.lit("null")))), 1, 12)
+def uniform(id_col: Column, copy: Column, seed: str) -> Column:
+    """A uniform number in (0, 1) fixed by identifier, number of the row among
+    those that share it, and seed: 48 bits of MD5."""
+    key = F.concat(F.lit(seed + ":"), F.coalesce(id_col.cast("string"), F.lit("null")))
+    hexa = F.substring(F.md5(F.when(copy == 1, key).otherwise(F.concat(key, F.lit(":"), copy.cast("string")))), 1, 12)
     return (F.conv(hexa, 16, 10).cast("double") + F.lit(0.5)) / F.lit(float(1 << 48))
 
 
+def _told_apart(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``__copy``, which tells rows of one ``__id`` (null is one,
+    too) apart: 1, 2, .. in the order of a hash of source and text, then of all they
+    hold, so that only equal rows are interchangeable.  Where no identifier repeats it is 1."""
+    if rows.groupBy("__id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        return rows.withColumn("__copy", F.lit(1).cast("long"))
+    hashed = rows.withColumn("__hash", F.xxhash64("__id", "source", "__text")).withColumn("__all", F.xxhash64(*rows.columns))
+    return stored(sequence_within(hashed, ["__id"], ["__hash", "__all"], "__copy").drop("__hash", "__all"), "mix-rows")
+
+
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                 weights: tuple[float, ...] = WEIGHTS, cap: int = CAP, seed: str = "mix",
                 keep: tuple[str, ...] = ()) -> DataFrame:
@@ -72,14 +85,17 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     taken (words taken, copies counted), and the columns named in ``keep``.
 
     Null or empty texts have size 0 and take nothing.  A null source is a
-    source of its own, ordered last.  Rows that repeat an identifier share
-    their random number, and are ordered by size.  All sizes zero gives zero
+    source of its own, ordered last.  Rows that repeat an identifier, or have
+    none, are drawn each for itself (``_told_apart``).  All sizes zero gives zero
     targets; an empty table gives an empty result; columns not named are not
-    read.  The result depends on identifiers, sizes, sources and ``seed`` only.
+    read.  The result depends on what the rows hold and on ``seed`` only.
     """
-    def sized(*more: Column) -> DataFrame:
-        return docs.select(F.col(id_col).alias("__id"), F.col(source_col).cast("string").alias("source"),
-                           n_words(text_of(text_col)).alias("size"), *more)
+    base = _told_apart(docs.select(
+        F.col(id_col).alias("__id"), F.col(source_col).cast("string").alias("source"), text_of(text_col).alias("__text"),
+        *[F.col(c).alias(f"__keep_{c}") for c in keep]))
+
+    def sized(*more: str) -> DataFrame:
+        return base.select("__id", "__copy", "source", n_words(F.col("__text")).alias("size"), *more)
 
     slim = stored(sized(), "mix-sizes")
     # one row per source: its size is bounded by the number of sources
@@ -99,20 +115,20 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    .select(F.col("source").alias("s"), F.col("bin").alias("cross_bin"),
                            (F.col("upto") - F.col("bin_size")).alias("before"))
     inside = (ranked.join(crossing, F.col("source").eqNullSafe(F.col("s")) & (F.col("bin") == F.col("cross_bin")))
-                    .select("source", "__id", "size", "q", "before", "rest"))
-    in_bin = Window.partitionBy("source").orderBy("q", "__id", "size").rowsBetween(Window.unboundedPreceding, 0)
+                    .select("source", "__id", "__copy", "size", "q", "before", "rest"))
+    in_bin = Window.partitionBy("source").orderBy("q", "__id", "__copy", "size").rowsBetween(Window.unboundedPreceding, 0)
     inside = inside.withColumn("upto", F.col("before") + F.sum("size").over(in_bin))
     # the document that crosses the target is taken if that ends nearer to it
     inside = inside.where((F.col("upto") <= F.col("rest"))
                           | (F.col("upto") - F.col("rest") < F.col("rest") - (F.col("upto") - F.col("size"))))
-    last = inside.groupBy("source").agg(F.max(F.struct("q", "__id", "size")).alias("last"))
+    last = inside.groupBy("source").agg(F.max(F.struct("q", "__id", "__copy", "size")).alias("last"))
     limits = (crossing.join(last, F.col("s").eqNullSafe(F.col("source")), "left")
                       .select("s", "cross_bin", "last"))
     limits = (plan.join(limits, F.col("source").eqNullSafe(F.col("s")), "left").drop("s"))
 
-    rows = sized(*[F.col(c).alias(f"__keep_{c}") for c in keep]) if keep else slim
+    rows = sized(*[f"__keep_{c}" for c in keep]) if keep else slim
     out = _ranked(rows, stored(limits, "mix-limits"), seed)
-    here = F.struct("q", "__id", "size")
+    here = F.struct("q", "__id", "__copy", "size")
     extra = F.when(F.col("bin").isNull(), False) \
              .when(F.col("cross_bin").isNull() | (F.col("bin") < F.col("cross_bin")), True) \
              .when(F.col("bin") > F.col("cross_bin"), False) \
@@ -127,7 +143,7 @@ def _ranked(rows: DataFrame, plan: DataFrame, seed: str) -> DataFrame:
     """Rows with their source's plan, their Pareto rank q and its bin."""
     rows = (rows.join(plan.withColumnRenamed("source", "__s"), F.col("source").eqNullSafe(F.col("__s")))
                 .drop("__s"))
-    u = uniform(F.col("__id"), seed)
+    u = uniform(F.col("__id"), F.col("__copy"), seed)
     q = (u / (1 - u)) / (F.col("p") / (1 - F.col("p")))
     rows = rows.withColumn("q", F.when((F.col("p") > 0) & (F.col("size") > 0), q))
     # q / (1 + q) is in (0, 1) and near 1/2 where the sample ends

@@ -315,6 +315,25 @@ def test_mixing(spark, docs, rows, none):
     assert {r.doc_id: (r.size, r.taken) for r in alone} == {1: (3, 3), 2: (0, 0)}
 
 
+@pytest.mark.parametrize("ids", ["unique", "a third null", "five", "all null"])
+def test_mixing_without_identifiers(spark, ids):
+    """Whatever the identifiers, every source ends within one document of its target, and reruns agree."""
+    number = {"unique": lambda k: k, "a third null": lambda k: None if k % 3 == 0 else k, "five": lambda k: k % 5, "all null": lambda k: None}[ids]
+    rows = [(number(k), " ".join(["w"] * 10) + f" {k // 2}" * (k % 4)) for k in range(600)]
+    docs = spark.createDataFrame([(i, t, "en", "ab"[k % 2], len(t), *EXTRA) for k, (i, t) in enumerate(rows)], SCHEMA)
+    out = mix_sources(docs).collect()
+    big = max(r.size for r in out)
+    for source in "ab":
+        own = [r for r in out if r.source == source]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= big
+        assert {r.copies for r in own} <= {int(own[0].target / own[0].source_size), int(own[0].target / own[0].source_size) + 1}
+    mixed = mixed_rows(docs)
+    assert mixed.count() == sum(r.copies for r in out)
+    again = mix_sources(docs.repartition(7)).collect()
+    key = lambda r: (str(r.doc_id), r.source, r.size, r.taken)
+    assert sorted(map(key, out)) == sorted(map(key, again))
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 17, 256, 1000])
 def test_permutation(n):
     assert sorted(permuted(np.arange(n), n, 7)) == list(range(n))
