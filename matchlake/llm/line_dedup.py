@@ -20,12 +20,15 @@ WINDOW = 3
 
 
 def _windows(rows: DataFrame, width: int) -> DataFrame:
-    """One row per window: row key, index of its first line, two 64-bit hashes."""
-    last = F.size("lines") - width
-    hashes = F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(
-        F.xxhash64(F.slice("lines", i + 1, width)).alias("a"),
-        F.xxhash64(F.lit("second"), F.slice("lines", i + 1, width)).alias("b"))))
-    return rows.select("doc", F.posexplode(hashes).alias("pos", "h")).select("doc", "pos", "h.a", "h.b")
+    """One row per window: row key, index of its first line, two 64-bit hashes.
+    The lines and the lines after them are zipped, so a text is split once and
+    each line is looked at ``width`` times, however many there are."""
+    n = F.size("lines") - width + 1
+    zipped = F.arrays_zip(*[F.slice("lines", F.lit(k + 1), F.greatest(n, F.lit(0))) for k in range(width)])
+    each = rows.select("doc", F.posexplode(F.when(n > 0, zipped)).alias("pos", "w"))
+    # the whole window as one text: a line feed stands in no line
+    said = F.concat_ws("\n", *[F.col("w").getItem(str(k)) for k in range(width)])
+    return each.select("doc", "pos", F.xxhash64(said).alias("a"), F.xxhash64(F.lit("second"), said).alias("b"))
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WINDOW) -> DataFrame:
@@ -47,10 +50,12 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     .where(F.struct("doc", "pos") != F.col("first"))
                     .groupBy("doc").agg(F.collect_set("pos").alias("cut")))
     later = stored(later, "line-dedup")
-    covered = F.array_distinct(F.flatten(F.transform("cut", lambda p: F.sequence(p, p + width - 1))))
-    out = (rows.join(later, "doc", "left")
-               .withColumn("covered", F.coalesce(covered, F.array().cast("array<int>")))
-               .withColumn("kept", F.filter("lines", lambda _, i: ~F.array_contains("covered", i))))
+    # the starts in order: what is kept stands between one window's end and the next one's start
+    starts = F.array_sort("cut")
+    ends = F.concat(F.array(F.lit(0)), F.transform(starts, lambda p: p + width))
+    begins = F.concat(starts, F.array(F.size("lines")))
+    pieces = F.zip_with(ends, begins, lambda e, b: F.when(b > e, F.slice("lines", e + 1, b - e)).otherwise(F.array().cast("array<string>")))
+    out = rows.join(later, "doc", "left").withColumn("kept", F.when(F.col("cut").isNull(), F.col("lines")).otherwise(F.flatten(pieces)))
     return out.select("doc_id", F.size("lines").cast("long").alias("n_lines"),
                       (F.size("lines") - F.size("kept")).cast("long").alias("n_removed"),
                       F.array_join("kept", "\n").alias("text"))

@@ -315,6 +315,19 @@ def test_mixing(spark, docs, rows, none):
     assert {r.doc_id: (r.size, r.taken) for r in alone} == {1: (3, 3), 2: (0, 0)}
 
 
+def test_line_dedup_of_long_texts(spark):
+    """Time grows as the lines do: 100,000 lines, twice, and runs of all kinds in them."""
+    import time
+
+    rng = random.Random(8)
+    long = [f"line {k}" if rng.random() < 0.5 else "the same" for k in range(100_000)]
+    rows = [(1, "\n".join(long)), (2, "\n".join(long)), (3, "\n".join(long[::2])), (4, "\n".join(["x"] * 50_000))]
+    began = time.time()
+    got = {r.doc_id: (r.n_lines, r.n_removed) for r in line_dedup(table(spark, rows)).collect()}
+    assert time.time() - began < 90
+    assert got[1][0] == got[2][0] == got[2][1] == 100_000 and got[4] == (50_000, 49_999)
+
+
 @pytest.mark.parametrize("ids", ["unique", "a third null", "five", "all null"])
 def test_mixing_without_identifiers(spark, ids):
     """Whatever the identifiers, every source ends within one document of its target, and reruns agree."""
