@@ -1,9 +1,10 @@
 """Exact dedup by content sort.
 
 Texts are compared after each run of white space became one space.  Sampled
-splitters range-partition the normalised bytes (ties split further by
-identifier, so one text held by a third of all rows spreads over many
-partitions), Spark's external sort puts equals next to each other, and each
+splitters range-partition the normalised bytes, each text named by its beginning
+and its SHA-256, so that splitters are short whatever the texts are (ties split
+further by identifier, so one text held by a third of all rows spreads over many
+partitions); Spark's external sort puts equals next to each other, and each
 text is compared in full with its neighbour.  A run of equal texts inside a
 partition is closed there; a run that touches a partition's edge is joined to
 its neighbours through an edge table of at most two rows per partition.
@@ -11,7 +12,6 @@ its neighbours through an edge table of at most two rows per partition.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from matchlake.llm.store import partitions, stored, text_of
 
 WHITE = r"[\x20\x09-\x0D]+"
+BEGINNING = 64          # characters of a text in its splitter
 _OUT = ("doc_id long, text_sha256 string, part int, run long, first_id long, run_size long, "
         "row_in_run long, at_start boolean, at_end boolean")
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("text_sha256", pa.string()), ("part", pa.int32()),
@@ -34,12 +35,10 @@ def _neighbour_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     """Runs of equal neighbours of one sorted partition.  Only the identifiers
     of the open run and one text are held."""
     part = TaskContext.get().partitionId()
-    text, ids, run = None, [], -1
+    text, sha, ids, run = None, None, [], -1
 
     def close(last: bool) -> pa.RecordBatch:
-        n = len(ids)
-        sha = hashlib.sha256(text.encode()).hexdigest()
-        first = ids[0]
+        n, first = len(ids), ids[0]
         return pa.RecordBatch.from_arrays([
             pa.array(ids, pa.int64()), pa.array([sha] * n), pa.array(np.full(n, part, np.int32)),
             pa.array(np.full(n, run, np.int64)), pa.array([first] * n, pa.int64()), pa.array(np.full(n, n, np.int64)),
@@ -48,7 +47,7 @@ def _neighbour_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     waiting: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:
-        for doc_id, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        for doc_id, t, name in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
             if run >= 0 and t == text:
                 ids.append(doc_id)
                 continue
@@ -58,7 +57,7 @@ def _neighbour_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 if size >= 4096:
                     yield pa.Table.from_batches(waiting).combine_chunks().to_batches()[0]
                     waiting, size = [], 0
-            text, ids, run = t, [doc_id], run + 1
+            text, sha, ids, run = t, name, [doc_id], run + 1
     if run >= 0:
         waiting.append(close(True))
         yield pa.Table.from_batches(waiting).combine_chunks().to_batches()[0]
@@ -75,8 +74,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     n = num_partitions or partitions(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.regexp_replace(text_of(text_col), WHITE, " ").alias("norm"))
-    order = [F.col("norm").asc(), F.col("doc_id").asc_nulls_last()]
+                       F.regexp_replace(text_of(text_col), WHITE, " ").alias("norm")).withColumn("sha", F.sha2("norm", 256))
+    order = [F.substring("norm", 1, BEGINNING).asc(), F.col("sha").asc(), F.col("doc_id").asc_nulls_last()]
     ordered = rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
     runs = stored(ordered.mapInArrow(_neighbour_runs, _OUT), "exact-dedup")
 
