@@ -185,8 +185,7 @@ def _labelled(keyed: DataFrame, id_col: str, text_col: str, n: int, percent: int
 
 
 def _join_candidates(grams: DataFrame, percent: int) -> DataFrame:
-    """(node, label) of the linked nodes among the candidates (node, grams)."""
-    grams = grams.where(F.size("grams") > 0).dropDuplicates(["node"])
+    """(node, label) of the linked nodes among the candidates (node, grams), one row per node."""
     each = grams.select("node", F.explode("grams").alias("g"))
     common = each.groupBy("g").agg(F.count("*").alias("df")).where("df > 1")
     shared = stored(each.join(common, "g"), "jaccard-shared")
@@ -197,8 +196,8 @@ def _join_candidates(grams: DataFrame, percent: int) -> DataFrame:
     node = stored(node.select("node", "n", "c", (-F.col("s") / F.col("n")).alias("rank")), "jaccard-nodes")
     # the rarest n-grams of a node: those of its own come first and meet nobody
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.col("c"))
-    per_node = (shared.join(broadcast_if_small(node, SMALL), "node").groupBy("node", "n", "c", "rank")
-                      .agg(F.array_sort(F.collect_list(F.struct("df", "g"))).alias("all")))
+    per_node = (shared.join(broadcast_if_small(node.select("node"), SMALL), "node", "left_semi").groupBy("node")
+                      .agg(F.array_sort(F.collect_list(F.struct("df", "g"))).alias("all")).join(broadcast_if_small(node, SMALL), "node"))
     # left: n-grams of a node from its position in this order on
     index = stored(per_node.select("node", "n", "c", "rank", F.posexplode(F.slice("all", 1, prefix.cast("int"))).alias("k", "x"))
                            .select("node", "n", "rank", "x.g", (F.col("c") - F.col("k")).alias("left")), "jaccard-index")
