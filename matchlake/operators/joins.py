@@ -7,27 +7,42 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Upper bound for an explicit broadcast hint.  Above it the join stays a
-# shuffle join, which AQE may still turn into a broadcast once the real
+# Upper bound for an explicit broadcast hint, on what the side reads from
+# storage.  Above it the join stays a shuffle join, which AQE may still turn into a broadcast once the real
 # (measured) size of the shuffled side is known.
-BROADCAST_MAX_BYTES = 32 * 1024 * 1024
+BROADCAST_MAX_BYTES = 8 * 1024 * 1024
 
 
-def estimated_size_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of the optimised plan, or None when unavailable
-    (e.g. a Spark Connect session).  No job runs."""
+# Plan nodes whose result is no larger than what they read.
+_NO_GROWTH = {"Project", "Filter", "Aggregate", "Distinct", "Deduplicate", "Sort", "Union", "LocalLimit", "GlobalLimit", "Repartition",
+              "RepartitionByExpression", "SubqueryAlias", "View", "LogicalRelation", "Relation", "LocalRelation", "OneRowRelation"}
+
+
+def proven_size_bytes(df: DataFrame) -> int | None:
+    """The size of what ``df`` reads, where the result can be no larger: stored
+    tables, filtered, projected, aggregated or united.  None when it cannot be
+    told, as after a join or an explode, whose size is only an estimate.  No job runs."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # noqa: BLE001
+        plan = df._jdf.queryExecution().optimizedPlan()
+    except Exception:  # noqa: BLE001 - no JVM access, e.g. a remote session
         return None
 
+    def size(node) -> int | None:
+        if node.nodeName().split(" ")[0] not in _NO_GROWTH:
+            return None
+        children = [node.children().apply(k) for k in range(node.children().size())]
+        if not children:
+            return int(str(node.stats().sizeInBytes()))
+        sizes = [size(c) for c in children]
+        return None if None in sizes else sum(sizes)
+    return size(plan)
+
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Hint a broadcast only when the planner's estimate is within ``max_bytes``."""
-    size = estimated_size_bytes(df)
-    if size is not None and size <= max_bytes:
-        return F.broadcast(df)
-    return df
+    """Hint a broadcast only when ``df`` provably reads no more than
+    ``max_bytes``; otherwise the planner decides, and may step back at run time."""
+    size = proven_size_bytes(df)
+    return F.broadcast(df) if size is not None and size <= max_bytes else df
 
 
 def anti_new(candidates: DataFrame, loaded: DataFrame, keys: str | Sequence[str]) -> DataFrame:

@@ -133,3 +133,18 @@ def test_positions_follow_the_stored_order(spark, tmp_dir):
     assert len(got.inputFiles()) > 1
     want = df.withColumn("rn", F.row_number().over(Window.orderBy(*sort_columns(order)))).select("id", "rn")
     assert got.join(want, "id").where("position <> rn").count() == 0 and got.count() == 3000
+
+
+def test_broadcast_hints_need_a_proven_bound(spark, tmp_dir):
+    from matchlake.operators import broadcast_if_small, proven_size_bytes
+
+    spark.range(1000).withColumn("k", F.col("id") % 10).write.parquet(f"{tmp_dir}/t")
+    t = spark.read.parquet(f"{tmp_dir}/t")
+
+    def hinted(df, **limit):
+        return "ResolvedHint" in broadcast_if_small(df, **limit)._jdf.queryExecution().analyzed().toString()
+    assert hinted(t) and hinted(t.where("k > 3").select("k").distinct()) and hinted(t.unionByName(t).groupBy("k").count())
+    assert not hinted(t, max_bytes=100)
+    # a row may become many: only an estimate
+    assert not hinted(t.select(F.explode(F.sequence(F.lit(1), F.col("id"))))) and not hinted(t.join(t.withColumnRenamed("id", "i"), "k"))
+    assert proven_size_bytes(t.join(t, "k")) is None
