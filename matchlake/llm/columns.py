@@ -5,6 +5,7 @@ memory follows the longest text, not the partition."""
 from __future__ import annotations
 
 import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -41,22 +42,33 @@ def slices(batch: pa.RecordBatch, text_index: int, limit: int = SLICE_BYTES) ->
 def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
     """``run`` in a task that gives its memory back: Python workers serve one
     task after the other, and what an allocator keeps of a task's arrays would
-    add up over the stages of a job.  Large arrays are mapped, so that they go
-    when they are freed, and the rest is returned at the end of the task."""
+    add up over the stages of a job."""
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        libc = _libc()
-        if libc:
-            libc.mallopt(-3, 1 << 20)       # M_MMAP_THRESHOLD, fixed
+        map_arrays()
         try:
             yield from run(batches)
         finally:
-            _powers.clear()
-            pa.default_memory_pool().release_unused()
-            if libc:
-                libc.malloc_trim(0)
+            give_back()
     return go
 
 
+def map_arrays() -> None:
+    """From now on this process maps large arrays, so that they go when they are freed."""
+    libc = _libc()
+    if libc:
+        libc.mallopt(-3, 1 << 20)       # M_MMAP_THRESHOLD, fixed
+
+
+def give_back() -> None:
+    """Returns what this process has freed to the system."""
+    _powers.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    libc = _libc()
+    if libc:
+        libc.malloc_trim(0)
+
+
 def _libc():
     """The C library where it is glibc, else None."""
     libc = ctypes.CDLL(None)

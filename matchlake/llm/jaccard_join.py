@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchlake.llm.columns import Rolling, lean, lower_ascii, mix, slices, word_hashes, words
+from matchlake.llm.columns import Rolling, give_back, lean, map_arrays, lower_ascii, mix, slices, word_hashes, words
 from matchlake.llm.components import components
 from matchlake.llm.spans import ROW, doc_key, row_keys
 from matchlake.llm.store import SMALL, discard, stored, text_of
@@ -102,6 +102,7 @@ def _prefixes(n: int, percent: int, bits=None):
 
 def _candidates(texts: DataFrame, n: int, percent: int) -> DataFrame:
     """(node) of the sets that share enough of their prefix; ``texts`` is read twice."""
+    map_arrays()
     columns = "key long, node long, n long"
     keys = texts.mapInArrow(lean(_prefixes(n, percent)), columns)
     multi = stored(keys.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key"), "jaccard-multi")
@@ -111,8 +112,14 @@ def _candidates(texts: DataFrame, n: int, percent: int) -> DataFrame:
                    .toArrow())                                   # at most 2**BITS / 64 rows
     bits = np.zeros(1 << (BITS - 6), np.uint64)
     bits[words_.column("at").to_numpy()] = words_.column("w").to_numpy().view(np.uint64)
-    some = texts.mapInArrow(lean(_prefixes(n, percent, texts.sparkSession.sparkContext.broadcast(bits))), columns)
+    del words_
+    sent = texts.sparkSession.sparkContext.broadcast(bits)
+    some = texts.mapInArrow(lean(_prefixes(n, percent, sent)), columns)
     pairs = stored(some.join(multi, "key").distinct(), "jaccard-prefixes")     # equal sets are one node from here on
+    sent.destroy()
+    del bits
+    discard(multi)
+    give_back()
     least = F.floor(F.ceil(F.col("n") * percent / 100) * SPARE / 100) + 1
     for _ in range(ROUNDS):
         common = pairs.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchlake.llm.columns import lean, lower_ascii, mix, slices, word_hashes, words
+from matchlake.llm.columns import give_back, lean, lower_ascii, map_arrays, mix, slices, word_hashes, words
 from matchlake.llm.store import discard, stored, text_of
 
 SAMPLE = 20_000         # labelled documents the model is fitted on, at most
@@ -281,6 +281,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     only they and four numbers a document reach the driver.  With a class
     missing the score is the same for all documents.
     """
+    map_arrays()
     known = (labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("toxic"))
                    .where(F.col("__id").isNotNull() & F.col("toxic").isNotNull())
                    .groupBy("__id").agg(F.max("toxic").alias("toxic")).withColumn("fold", fold("__id")).where("fold != 0")
@@ -312,6 +313,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     got = rest.select("text", "toxic").mapInArrow(lean(_features(model)), "toxic int, f0 double, f1 double, f2 double, f3 double").toPandas()
     discard(train)
     model.final = fit_final(got[["f0", "f1", "f2", "f3"]].to_numpy(float), got["toxic"].to_numpy(float))
+    del got
+    give_back()
     return model
 
 
