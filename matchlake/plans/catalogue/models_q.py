@@ -307,8 +307,8 @@ def legal_ball_counts(spark: SparkSession, d: str) -> DataFrame:
     li = table(spark, d, "lineitem")
     extra = F.when(F.col("l_linestatus") == "O",
                    F.when(F.col("l_returnflag") == "A", "wides").when(F.col("l_returnflag") == "N", "noballs"))
-    b = li.select("l_suppkey", F.lit(1).alias("balls_faced"),
-                  F.when(extra.isin("wides", "noballs"), 0).otherwise(1).alias("legal_ball"))
+    b = li.select("l_suppkey", F.lit(1).alias("balls_faced"), extra.alias("extra_type")) \
+        .withColumn("legal_ball", marts.legal_ball("extra_type"))
     return b.groupBy("l_suppkey").agg(F.sum("balls_faced").cast("bigint").alias("balls_faced"),
                                       F.sum("legal_ball").cast("bigint").alias("legal_balls"))
 

@@ -33,7 +33,7 @@ class Check:
         return f"{self.test}__{self.model}__{self.column}"
 
 
-# Declared tests of the models.
+# The declared tests of the models (model, column, test).
 ORDER_STATUSES = C.ORDER_STATUSES
 DECLARED_CHECKS = (
     Check("customers", "customer_id", "unique"),

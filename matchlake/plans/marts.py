@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchlake.functions import flag_from_predicate
@@ -76,6 +76,11 @@ INNINGS_SUMMARY_COLUMNS = [
 ]
 
 
+def legal_ball(extra_type: str) -> Column:
+    """1 for a legal ball, 0 for a wide or no-ball; no extra (NULL) is legal."""
+    return F.when(F.col(extra_type).isin(*C.ILLEGAL_EXTRAS), 0).otherwise(1)
+
+
 def innings_summary(int_match_innings: DataFrame, int_match_info: DataFrame,
                     labels: tuple[str, ...] = ("top", "second")) -> DataFrame:
     """Per innings: total, wickets, the two best batters and bowlers, match header.
@@ -99,7 +104,7 @@ def innings_summary(int_match_innings: DataFrame, int_match_info: DataFrame,
     base = int_match_innings.select(
         *keys, "batter", "bowler", "runs_batter", "runs_total",
         F.when(F.col("dismissal_kind").isNotNull(), 1).otherwise(0).alias("is_wicket"),
-        F.when(F.col("extra_type").isin(*C.ILLEGAL_EXTRAS), 0).otherwise(1).alias("legal_ball"),
+        legal_ball("extra_type").alias("legal_ball"),
     )
     # One scan, one aggregation: innings totals, per batter and per bowler as
     # grouping sets (grouping_id over (batter, bowler): 3 innings, 1 batter,

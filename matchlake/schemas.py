@@ -1,4 +1,7 @@
-"""Declared schemas: nothing in the library infers a schema at read time."""
+"""Declared schemas: nothing in the library infers a schema at read time.
+
+Table and column names, their order and types are fixed values: results depend on them.
+"""
 
 from __future__ import annotations
 
