@@ -101,7 +101,7 @@ def ingest_files_q(spark: SparkSession, d: str) -> DataFrame:
     comes from the load time."""
     base = scratch_dir(spark, "ingest_files")
     root, target, quarantine = f"{base}/landing", f"{base}/raw", f"{base}/quarantine"
-    files = landed_documents(table(spark, d, "documents"))
+    files = landed_documents(table(spark, d, "documents", row_heavy=True))
     write_files(files.where("doc_id % 2 = 0"), root)
     ingest.ingest_files(spark, root, target, quarantine)
     first = spark.read.parquet(target, quarantine).agg(F.max("file_upload_timestamp")).first()[0]
@@ -300,11 +300,15 @@ def weather_by_season(spark: SparkSession, d: str) -> DataFrame:
 SELECT doc_id, text FROM documents
 """)
 def file_scan(spark: SparkSession, d: str) -> DataFrame:
-    """Documents written one per ``.json`` file (plus Spark's marker files),
-    scanned back whole, and parsed."""
+    """Documents written one per ``.json`` file (plus a marker file), a folder
+    for each task's, scanned back whole, and parsed."""
     root = scratch_dir(spark, "file_scan")
-    (table(spark, d, "documents").select("doc_id", "text")
-     .write.option("maxRecordsPerFile", 1).json(root))
+    docs = table(spark, d, "documents", row_heavy=True).select("doc_id", "text")
+    # a name of its own for each row, whatever its identifier
+    name = F.format_string("%05d/part-%d.json", F.spark_partition_id(), F.monotonically_increasing_id())
+    files = docs.select(name.alias("file_name"), F.to_json(F.struct("doc_id", "text")).alias("content"))
+    write_files(files, root)
+    write_files(spark.createDataFrame([("_SUCCESS", "")], "file_name string, content string").coalesce(1), root)
     files = scan_json_files(spark, root)
     doc = F.from_json("content", "doc_id bigint, text string")
     return files.select(doc["doc_id"].alias("doc_id"), doc["text"].alias("text"))

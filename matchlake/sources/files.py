@@ -48,11 +48,17 @@ def scan_json_files(spark: SparkSession, root: str, name_glob: str = JSON_NAME_G
     """One row ``(file_name, content)`` per file under ``root`` whose name
     matches ``name_glob``; a pretty-printed file stays one row.
 
-    ``wholetext`` must be a keyword of ``text()``: set as an option it is
-    overridden.  Zero-byte files are skipped by the reader.  Files are packed
-    into read tasks by ``spark.sql.files.maxPartitionBytes`` and
-    ``openCostInBytes``, so millions of small files do not mean millions of tasks.
+    A folder that Arrow opens is listed by tasks and its files are opened by
+    path (``landing``), so neither their number nor their names pass the driver
+    and small files do not mean millions of tasks.  Anything else (a glob, one
+    file, a store that only Spark reads, ``recursive=False``) goes to Spark's text
+    reader, where ``wholetext`` must be a keyword of ``text()``: set as an option
+    it is overridden.  Zero-byte files are skipped either way.
     """
+    from matchlake.sources.landing import list_files, listable, open_files
+
+    if recursive and listable(spark, root):
+        return open_files(list_files(spark, root, name_glob))
     raw = spark.read.text(root, wholetext=True, pathGlobFilter=name_glob,
                           recursiveFileLookup=recursive)
     return raw.select(relative_name(F.col("_metadata.file_path"), root, spark).alias("file_name"),

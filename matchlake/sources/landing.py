@@ -4,7 +4,7 @@ Paths stay a distributed table from the listing to the read: no file name
 passes the driver.  A folder tree is listed level by level, each task listing
 its share of a level's folders, so the rounds are the depth of the tree.  Files
 are opened by path with ``pyarrow.fs`` inside tasks that each take about
-``spark.sql.files.maxPartitionBytes`` of them.
+``spark.sql.files.maxPartitionBytes`` of them, or are many small ones.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Files read or written between two Arrow batches: by count and by bytes.
 BATCH_FILES, BATCH_BYTES = 256, 8 << 20
+#: Tasks a core that small files are dealt out to, at most.
+WAVES = 4
 
 
 def _file_system(uri: str):
@@ -43,6 +45,15 @@ def _file_system(uri: str):
     return system, base.rstrip("/") + path
 
 
+def listable(spark: SparkSession, root: str) -> bool:
+    """Whether ``root`` is an existing folder of a kind that ``list_files`` opens."""
+    scheme = qualify(spark, root).split(":", 1)[0]
+    if scheme not in ("file", "hdfs", "s3", "gs", "abfs", "abfss"):
+        return False
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).isDirectory(path)
+
+
 def _hidden(name: str) -> bool:
     """Names Spark's readers leave out, too."""
     return name.startswith(".") or name.startswith("_") and "=" not in name
@@ -126,14 +137,18 @@ def open_files(files: DataFrame) -> DataFrame:
     other; malformed UTF-8 is replaced, as Spark's text reader does.
 
     The files are dealt out by path to as many tasks as their bytes fill
-    (``maxPartitionBytes``, each file counting ``openCostInBytes`` more).  A file
-    that is gone by now is an error.
+    (``maxPartitionBytes``); each file counts ``openCostInBytes`` more until
+    there are ``WAVES`` tasks a core, so that small files in any number make no
+    more tasks, and no more parts of a table written from them, than that.  A
+    file that is gone by now is an error.
     """
     spark = files.sparkSession
     most = _bytes(spark, "spark.sql.files.maxPartitionBytes")
     cost = _bytes(spark, "spark.sql.files.openCostInBytes")
-    total = files.agg(F.sum(F.col("length") + F.lit(cost))).first()[0] or 0
-    tasks = max(-(-total // most), min(spark.sparkContext.defaultParallelism, -(-total // max(cost, 1))), 1)
+    held, count = files.agg(F.coalesce(F.sum("length"), F.lit(0)), F.count("*")).first()
+    cores = spark.sparkContext.defaultParallelism
+    opened = max(-(-(held + count * cost) // most), min(cores, count))
+    tasks = max(-(-held // most), min(opened, WAVES * cores), 1)
     extra = [c for c in files.columns if c not in ("file_name", "path", "length", "modified")]
     given = files.select("file_name", "path", *extra).repartition(int(tasks), "path")
     kept = [0, *range(2, 2 + len(extra))]

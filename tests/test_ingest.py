@@ -250,3 +250,27 @@ def test_required_columns(spark, tmp_dir):
         commit_batch(rows.withColumn("__to", F.lit("x")), "b", {"x": f"{tmp_dir}/x"}, {"x": schema})
     got = sorted(r[0] for r in rows.select(missing_required(schema)).collect())
     assert got == [[], ["content"], ["file_name"], ["file_name", "content"]]
+
+
+def test_small_files_do_not_mean_many_tasks(spark, tmp_dir):
+    """Opening costs may not make a task, and a part of a table, of every few files."""
+    from matchlake.sources import list_files, open_files, write_files
+
+    files = spark.range(600).select(F.format_string("d%d/f %d.json", F.col("id") % 3, F.col("id")).alias("file_name"),
+                                    F.format_string('{"id": %d}', F.col("id")).alias("content"))
+    write_files(files, f"{tmp_dir}/land")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")       # an opening cost fills a task
+    try:
+        listed = list_files(spark, f"{tmp_dir}/land")
+        most = 4 * spark.sparkContext.defaultParallelism
+        assert open_files(listed).rdd.getNumPartitions() <= most
+        scanned = scan_json_files(spark, f"{tmp_dir}/land")
+        assert scanned.rdd.getNumPartitions() <= most
+        assert sorted(map(tuple, scanned.collect())) == sorted(map(tuple, files.collect()))
+        # bytes still make tasks of their own: 600 files of nominal 1 MB each
+        assert open_files(listed.withColumn("length", F.lit(1 << 20).cast("long"))).rdd.getNumPartitions() >= 150
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    one = scan_json_files(spark, f"{tmp_dir}/land/d0/f 0.json").collect()       # not a folder: Spark's reader
+    assert [r["content"] for r in one] == ['{"id": 0}']
