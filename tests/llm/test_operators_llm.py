@@ -441,3 +441,22 @@ def test_longest_common_subsequence():
     for _ in range(200):
         a, b = (rng.integers(0, 9, rng.integers(0, 80)).astype(np.uint64) for _ in range(2))
         assert decontaminate.common(a, b) == plain(a.tolist(), b.tolist())
+
+
+def test_pii_learns_from_every_certain_proposal(spark, monkeypatch):
+    """More certain proposals than any sample held: half of them all are fitted."""
+    from matchlake.llm import pii
+
+    class Seen(Exception):
+        pass
+
+    class Counting(pii.GBTClassifier):
+        def fit(self, rows, params=None):
+            raise Seen(rows.count())
+
+    monkeypatch.setattr(pii, "GBTClassifier", Counting)
+    words = " ".join("abcdefghijklmnopqrstu" + chr(97 + k % 26) * (k // 26 + 1) for k in range(500))
+    rows = [(k, f"{words} call +49 30 {1000000 + k} now") for k in range(100)]
+    with pytest.raises(Seen) as told:
+        find_pii(table(spark, rows))
+    assert told.value.args[0] > 24_000
