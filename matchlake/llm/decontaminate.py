@@ -2,10 +2,10 @@
 
 Passages (two neighbouring blocks of ``BLOCK`` words) are TF-IDF vectors over
 hashed words; document frequencies are counted over the whole corpus.  A
-randomised SVD of a bounded sample of passages and of all benchmark passages
-gives the latent space: each task multiplies its own passages with the current
-basis, Spark adds the parts up per block of terms, and the driver only
-orthogonalises a table of fixed size.  Every passage of every document is then
+randomised SVD of all passages and of all benchmark passages gives the latent
+space: texts are written once as hashed words, each task multiplies its own
+passages with the current basis, Spark adds the parts up per block of terms, and
+the driver only orthogonalises a table of fixed size.  Every passage of every document is then
 projected; a benchmark passage of high cosine makes its item a candidate, and
 the words around the passage are compared with the item by longest common
 subsequence, a weaker match needing the item's answer (its last words) intact.
@@ -29,9 +29,9 @@ TERM_BITS = 14
 TERMS = 1 << TERM_BITS  # hashed terms
 RANK = 128              # latent dimensions
 EXTRA = 8               # further columns of the random sketch
-WEIGHT = 4              # times the benchmark stands in the sample
+WEIGHT = 4              # times each benchmark item counts beside PER documents
+PER = 1500              # so many documents weigh against the benchmark once; with more, it counts more in proportion
 BLOCK = 8               # words of a block; a passage is two blocks
-SAMPLE = 1500           # documents whose passages the space is fitted on, at most
 ITEMS = 4096            # benchmark items compared in one pass over the corpus
 STEP = 2                # words between the offsets at which an item's passages begin
 COSINE = 0.65           # of a text's passage and an item's, latent
@@ -41,7 +41,7 @@ WEAK = 1e-6             # directions below this share of the strongest one's pow
 SAME = 0.8              # share of an item's words in common order: a copy
 CLOSE = 0.6             # the same, when the answer is there, too
 ANSWER = 5              # last words of an item
-FIT_TASKS = 4           # tasks that share the bounded sample; each sends a table of fixed size
+FIT_TASKS = 4           # tasks that fit, or the cores if they are more; each sends a table of fixed size
 _SPLIT = 16             # blocks of terms that are summed apart
 
 
@@ -97,15 +97,33 @@ def sums(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return np.add.reduceat(values[word], np.cumsum(n) - n, axis=0)
 
 
+def _terms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The hashed terms of each text, two bytes each, and its weight."""
+    for batch in batches:
+        for i, j, raw, offs in slices(batch, 0):
+            names, first = _words(raw, offs)
+            data = _term(names).astype("<u2").tobytes()
+            cut = (first * 2).tolist()
+            yield pa.RecordBatch.from_arrays([
+                pa.array([data[x:y] for x, y in zip(cut[:-1], cut[1:], strict=True)], pa.binary()),
+                batch.column(1).slice(i, j - i)], ["terms", "weight"])
+
+
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(terms, index of each row's first, weights) for runs of rows of a bounded size."""
+    for i, j, raw, offs in slices(batch.set_column(0, "terms", batch.column(0).cast(pa.large_binary()).view(pa.large_string())), 0):
+        yield (np.frombuffer(raw.tobytes(), "<u2").astype(np.int64), offs // 2,
+               batch.column(1).slice(i, j - i).to_numpy(zero_copy_only=False))
+
+
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents per hashed term, per task."""
     total, n = np.zeros(TERMS, np.int64), 0
     for batch in batches:
-        for i, j, raw, offs in slices(batch, 0):
-            names, first = _words(raw, offs)
-            row = np.repeat(np.arange(j - i), np.diff(first))
-            total += np.bincount(np.unique(row * TERMS + _term(names)) % TERMS, minlength=TERMS)
-            n += j - i
+        for term, first, _ in _runs(batch):
+            row = np.repeat(np.arange(len(first) - 1), np.diff(first))
+            total += np.bincount(np.unique(row * TERMS + term) % TERMS, minlength=TERMS)
+            n += len(first) - 1
     at = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(total[at], n))], ["term", "df"])
 
@@ -116,51 +134,51 @@ class Space:
     basis: np.ndarray       # (TERMS, rank): idf-weighted right singular vectors
 
 
-def _sketch(sent, block: int, gram: bool):
-    """Sums over this task's passages a of a (a Q), in blocks of terms, or
-    with ``gram`` of (a Q)' (a Q); ``sent`` holds the weights and Q."""
+def _sketch(sent, block: int):
+    """Sums over this task's passages a of a (a Q), in blocks of terms;
+    ``sent`` holds the weights of terms and Q."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         idf, basis = sent.value
         weighted = (basis.astype(np.float32) * idf[:, None]).astype(np.float32)
-        width = basis.shape[1]
-        total = np.zeros((width, width)) if gram else np.zeros((TERMS, width))
+        total = np.zeros((TERMS, basis.shape[1]))
         for batch in batches:
-            for _, _, raw, offs in slices(batch, 0):
-                names, first = _words(raw, offs)
-                term = _term(names)
+            for term, first, weight in _runs(batch):
                 if not len(term):
                     continue
-                start, end, _ = passages(first, block)
-                norm = np.sqrt(np.maximum(sums((idf[term] ** 2)[:, None], start, end), 1e-12))
-                own = sums(weighted[term], start, end) / norm
-                if gram:
-                    total += own.T @ own
-                    continue
-                # every word of a passage adds the passage's row, weighted, to its term
-                at, word = inner(start, end)
-                for k in range(0, len(at), 1 << 15):
-                    a, w = at[k: k + (1 << 15)], term[word[k: k + (1 << 15)]]
-                    order = np.argsort(w, kind="stable")
-                    a, w = a[order], w[order]
-                    new = np.flatnonzero(np.append(True, w[1:] != w[:-1]))
-                    total[w[new]] += np.add.reduceat(own[a] * (idf[w] / norm[a, 0])[:, None], new)
-        rows = total.reshape(1 if gram else _SPLIT, -1)
+                start, end, row = blocks(first, block)
+                one, two = paired(row)
+                pair = one != two
+                # a passage is the sum of its blocks, and every word of a block adds the passages the block is in
+                own, power = np.add.reduceat(weighted[term], start, axis=0), np.add.reduceat(idf[term] ** 2, start)
+                norm = np.maximum(power[one] + np.where(pair, power[two], 0), 1e-12)
+                share = (own[one] + np.where(pair[:, None], own[two], 0)) * (weight[row[one]] / norm)[:, None].astype(np.float32)
+                give = np.zeros_like(own)
+                give[one] += share
+                give[two[pair]] += share[pair]
+                order = np.argsort(term.astype(np.uint16), kind="stable")
+                held = term[order]
+                new = np.flatnonzero(np.append(True, held[1:] != held[:-1]))
+                of = np.repeat(np.arange(len(start)), end - start)
+                total[held[new]] += np.add.reduceat(give[of[order]], new, axis=0)
+        total *= idf[:, None]
+        rows = total.reshape(_SPLIT, -1)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(rows))), pa.array([r.astype(np.float32).tobytes() for r in rows], pa.binary())],
                                          ["part", "sums"])
     return run
 
 
-def _sketched(passages_of: DataFrame, idf: np.ndarray, basis: np.ndarray, block: int, gram: bool) -> list:
+def _sketched(terms: DataFrame, idf: np.ndarray, basis: np.ndarray, block: int) -> np.ndarray:
     """The summed sketch, a table of fixed size; nothing of it stays behind on the executors."""
-    spark = passages_of.sparkSession
-    sent = spark.sparkContext.broadcast((idf, basis.astype(np.float16)))
+    spark = terms.sparkSession
+    sent = spark.sparkContext.broadcast((idf, basis))
     try:
-        parts = (passages_of.mapInArrow(lean(_sketch(sent, block, gram)), "part long, sums binary")
-                            .groupBy("part").applyInArrow(_add, "part long, sums binary"))
+        parts = (terms.mapInArrow(lean(_sketch(sent, block)), "part long, sums binary")
+                      .groupBy("part").applyInArrow(_add, "part long, sums binary"))
         parts = stored(parts, "decontaminate-sketch")
         got = parts.orderBy("part").collect()
         discard(parts)
-        return got
+        none = [np.zeros(TERMS * basis.shape[1] // _SPLIT, np.float32)] * (0 if got else _SPLIT)
+        return np.concatenate([np.frombuffer(r["sums"], np.float32) for r in got] or none).astype(float).reshape(TERMS, -1)
     finally:
         sent.destroy()
 
@@ -170,41 +188,39 @@ def _add(key, table):
     return pa.table({"part": pa.array([key[0].as_py()], pa.int64()), "sums": pa.array([total.tobytes()], pa.binary())})
 
 
-def fit_space(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-              rank: int = RANK, block: int = BLOCK, sample: int = SAMPLE) -> Space:
-    """The latent space.  Document frequencies are of all documents; the SVD
-    sees the passages of at most ``sample`` documents (those of smallest
-    identifier hash) and of the benchmark."""
+def fit_space(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", rank: int = RANK, block: int = BLOCK) -> Space:
+    """The latent space of the passages of all documents and of the benchmark;
+    document frequencies are of all documents.
+
+    Two products with all passages: the first one's range is the sketch of the
+    second, and what that gives is solved for the strongest directions
+    (Nystroem), which takes no further pass.
+    """
     map_arrays()
-    text = text_of(text_col).alias("text")
-    counts = {r["term"]: r["df"] for r in docs.select(text).mapInArrow(lean(_frequencies), "term long, df long")
+    cores = max(FIT_TASKS, docs.sparkSession.sparkContext.defaultParallelism)
+    whole = "terms binary, weight double"
+    own = stored(docs.select(text_of(text_col).alias("text"), F.lit(1.0).alias("weight")).mapInArrow(lean(_terms_of), whole), "decontaminate-terms")
+    counts = {r["term"]: r["df"] for r in own.mapInArrow(lean(_frequencies), "term long, df long")
               .groupBy("term").agg(F.sum("df").alias("df")).collect()}          # at most TERMS rows
     n = counts.pop(-1, 0)
     df = np.zeros(TERMS)
     df[list(counts)] = list(counts.values())
-    idf = np.log((n + 1) / (df + 1)) + 0.1
-    pick = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col)).alias("h")).orderBy("h", "id").limit(sample)
-    pick = F.broadcast(stored(pick.select("id").where("id is not null").distinct(), "decontaminate-sample"))
-    tests = benchmark.select(text_of("text").alias("text"), F.explode(F.sequence(F.lit(1), F.lit(WEIGHT)))).select("text")
-    some = docs.select(F.col(id_col).alias("id"), text).join(pick, "id").select("text").unionByName(tests)
-    train = stored(some, "decontaminate-train")
-    some = train.coalesce(FIT_TASKS)
-    basis = np.random.default_rng(11).standard_normal((TERMS, rank + EXTRA)).astype(np.float32)
-    for _ in range(2):
-        parts = _sketched(some, idf, basis, block, False)
-        if not parts:
-            break
-        basis = np.linalg.qr(np.concatenate([np.frombuffer(r["sums"], np.float32) for r in parts]).astype(float).reshape(TERMS, -1))[0].astype(np.float32)
-    got = _sketched(some, idf, basis, block, True)
-    if got:
-        power, turn = np.linalg.eigh(np.frombuffer(got[0]["sums"], np.float32).astype(float).reshape(basis.shape[1], -1))
-        kept = np.flatnonzero(power[::-1][:rank] > WEAK * max(power[-1], 1e-30))
-        power, turn = power[::-1][kept], turn[:, ::-1][:, kept]
-        # every direction counts alike, else the commonest words decide the cosine
-        basis = basis @ (turn / np.sqrt(power))
-        basis = basis / max(np.abs(basis).max(initial=0), 1e-30)          # cosines do not change; no entry is out of a short float's range
-    discard(train)
-    space = Space(idf.astype(np.float32), (basis * idf[:, None]).astype(np.float32))
+    idf = (np.log((n + 1) / (df + 1)) + 0.1).astype(np.float32)
+    tests = benchmark.select(text_of("text").alias("text"), F.lit(WEIGHT * max(1.0, n / PER)).alias("weight"))
+    train = own.unionByName(tests.mapInArrow(lean(_terms_of), whole)).coalesce(cores)
+    basis = np.random.default_rng(11).standard_normal((TERMS, rank + EXTRA)).astype(np.float16)
+    basis = np.linalg.qr(_sketched(train, idf, basis, block))[0].astype(np.float16)
+    got = _sketched(train, idf, basis, block)
+    discard(own)
+    inner_, turn = np.linalg.eigh((half := basis.astype(float).T @ got) + half.T)
+    kept = np.flatnonzero(inner_ > WEAK * max(inner_[-1], 1e-30))
+    got = got @ (turn[:, kept] / np.sqrt(inner_[kept] / 2))          # got got' is the sum of a'a, as far as the sketch tells
+    power, turn = np.linalg.eigh(got.T @ got)
+    kept = np.flatnonzero(power[::-1][:rank] > WEAK * max(power[-1:].max(initial=0), 1e-30))
+    # every direction counts alike, else the commonest words decide the cosine
+    basis = got @ (turn[:, ::-1][:, kept] / power[::-1][kept])
+    basis = basis / max(np.abs(basis).max(initial=0), 1e-30)          # cosines do not change; no entry is out of a short float's range
+    space = Space(idf, (basis * idf[:, None]).astype(np.float32))
     del basis, got
     give_back()
     return space
@@ -378,7 +394,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     out = spark.createDataFrame([], _MATCH)
     if not n:
         return out
-    space = fit_space(docs, tests, id_col, text_col, rank, block)
+    space = fit_space(docs, tests, text_col, rank, block)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     passes = -(-n // items)
     for k in range(passes):

@@ -70,3 +70,13 @@ def test_weak_directions_do_not_overflow(spark, n):
         space = d.fit_space(docs, bench)
         assert np.isfinite(space.basis.astype(np.float16)).all()
         assert d.contaminated(docs, bench).count() == 0
+
+
+def test_space_knows_every_document(spark):
+    """Words that stand in one document of thousands have a place in the latent space, whichever documents those are."""
+    rare = [f"rare{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(40)]
+    rows = [(k, f"usual words all over {rare[k // 100] if k % 100 == 0 else 'here'}") for k in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    space = d.fit_space(docs, spark.createDataFrame([(1, "some other words")], "item_id long, text string"))
+    seen = np.abs(space.basis[d._term(words_of(" ".join(rare).replace("0", "")))]).max(axis=1)
+    assert (seen > 1e-4 * np.abs(space.basis).max()).all()
