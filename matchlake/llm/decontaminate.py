@@ -42,6 +42,9 @@ SAME = 0.8              # share of an item's words in common order: a copy
 CLOSE = 0.6             # the same, when the answer is there, too
 ANSWER = 5              # last words of an item
 FIT_TASKS = 4           # tasks that fit, or the cores if they are more; each sends a table of fixed size
+TILE = 512              # runs of rows that are added up at a time
+PIECE = 32              # rows of a run that are added up before other pieces of it
+SLICE = 1 << 16         # bytes of text that are cut into words at a time
 _SPLIT = 16             # blocks of terms that are summed apart
 
 
@@ -88,19 +91,55 @@ def inner(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n) + start[at]
 
 
-def sums(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Sums of the rows of ``values`` over each passage (none is empty)."""
-    if not len(start):
-        return values[:0]
-    _, word = inner(start, end)
-    n = end - start
-    return np.add.reduceat(values[word], np.cumsum(n) - n, axis=0)
+def _tiles(table: np.ndarray, at: np.ndarray, start: np.ndarray, end: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(runs, their sums of rows ``table[at[i]]``, start <= i < end), ``TILE`` runs at a time (none is empty).
+
+    Runs of like length go together, the first row of each, then the second and
+    so on: what is added up stays in the cache, and no row is copied for each word.
+    """
+    order = np.argsort(start - end, kind="stable")
+    held, more = np.empty((2, min(TILE, len(order)), table.shape[1]), table.dtype)
+    for k in range(0, len(order), TILE):
+        run = order[k: k + TILE]
+        first, size = start[run], end[run] - start[run]
+        np.take(table, at[first], axis=0, out=held[: len(run)], mode="clip")
+        for j in range(1, int(size[0])):
+            m = int(np.searchsorted(-size, -j))         # runs longer than j
+            np.take(table, at[first[:m] + j], axis=0, out=more[:m], mode="clip")
+            held[:m] += more[:m]
+        yield run, held[: len(run)]
+
+
+def sums(table: np.ndarray, at: np.ndarray, start: np.ndarray, end: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
+    """Sums of the rows ``table[at[i]]`` over each run start <= i < end (none is empty)."""
+    if out is None:
+        out = np.empty((len(start), table.shape[1]), table.dtype)
+    for run, held in _tiles(table, at, start, end):
+        out[run] = held
+    return out
+
+
+def add_sums(total: np.ndarray, names: np.ndarray, table: np.ndarray, at: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
+    """Adds the sum of each run to the row of ``total`` that ``names`` gives it
+    (no two the same); long runs are added up in pieces first."""
+    short = end - start <= PIECE
+    if not short.all():
+        first, last = start[~short], end[~short]
+        pieces = -(-(last - first) // PIECE)
+        stop = np.cumsum(pieces)
+        of = np.repeat(np.arange(len(pieces)), pieces)
+        begin = first[of] + PIECE * (np.arange(len(of)) - (stop - pieces)[of])
+        parts = sums(table, at, begin, np.minimum(begin + PIECE, last[of]))
+        add_sums(total, names[~short], parts, np.arange(len(parts)), stop - pieces, stop)
+    names = names[short]
+    for run, held in _tiles(table, at, start[short], end[short]):
+        total[names[run]] += held
 
 
 def _terms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The hashed terms of each text, two bytes each, and its weight."""
     for batch in batches:
-        for i, j, raw, offs in slices(batch, 0):
+        for i, j, raw, offs in slices(batch, 0, SLICE):
             names, first = _words(raw, offs)
             data = _term(names).astype("<u2").tobytes()
             cut = (first * 2).tolist()
@@ -122,7 +161,9 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for term, first, _ in _runs(batch):
             row = np.repeat(np.arange(len(first) - 1), np.diff(first))
-            total += np.bincount(np.unique(row * TERMS + term) % TERMS, minlength=TERMS)
+            order = np.argsort(term.astype(np.uint16), kind="stable")
+            term, row = term[order], row[order]
+            total += np.bincount(term[np.append(True, (term[1:] != term[:-1]) | (row[1:] != row[:-1]))[: len(term)]], minlength=TERMS)
             n += len(first) - 1
     at = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(total[at], n))], ["term", "df"])
@@ -141,28 +182,35 @@ def _sketch(sent, block: int):
         idf, basis = sent.value
         weighted = (basis.astype(np.float32) * idf[:, None]).astype(np.float32)
         total = np.zeros((TERMS, basis.shape[1]))
+        rows = np.empty((2, 0, basis.shape[1]), np.float32)
         for batch in batches:
             for term, first, weight in _runs(batch):
                 if not len(term):
                     continue
                 start, end, row = blocks(first, block)
-                one, two = paired(row)
-                pair = one != two
+                if rows.shape[1] < len(start):
+                    rows = np.empty((2, len(start), basis.shape[1]), np.float32)
+                own, share = rows[0, : len(start)], rows[1, : len(start) - 1]
                 # a passage is the sum of its blocks, and every word of a block adds the passages the block is in
-                own, power = np.add.reduceat(weighted[term], start, axis=0), np.add.reduceat(idf[term] ** 2, start)
-                norm = np.maximum(power[one] + np.where(pair, power[two], 0), 1e-12)
-                share = (own[one] + np.where(pair[:, None], own[two], 0)) * (weight[row[one]] / norm)[:, None].astype(np.float32)
-                give = np.zeros_like(own)
-                give[one] += share
-                give[two[pair]] += share[pair]
+                sums(weighted, term, start, end, own)
+                power = np.add.reduceat(idf[term] ** 2, start)
+                pair = row[1:] == row[:-1]                      # with the next block
+                alone = np.flatnonzero(~(np.append(pair, False) | np.append(False, pair)))
+                single = own[alone] * (weight[row[alone]] / np.maximum(power[alone], 1e-12)).astype(np.float32)[:, None]
+                np.add(own[:-1], own[1:], out=share)
+                share *= np.where(pair, weight[row[:-1]] / np.maximum(power[:-1] + power[1:], 1e-12), 0).astype(np.float32)[:, None]
+                own[:-1] = share
+                own[-1] = 0
+                own[1:] += share
+                own[alone] = single
                 order = np.argsort(term.astype(np.uint16), kind="stable")
                 held = term[order]
                 new = np.flatnonzero(np.append(True, held[1:] != held[:-1]))
                 of = np.repeat(np.arange(len(start)), end - start)
-                total[held[new]] += np.add.reduceat(give[of[order]], new, axis=0)
+                add_sums(total, held[new], own, of[order], new, np.append(new[1:], len(held)))
         total *= idf[:, None]
-        rows = total.reshape(_SPLIT, -1)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(rows))), pa.array([r.astype(np.float32).tobytes() for r in rows], pa.binary())],
+        parts = total.reshape(_SPLIT, -1)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(parts))), pa.array([r.astype(np.float32).tobytes() for r in parts], pa.binary())],
                                          ["part", "sums"])
     return run
 
@@ -257,23 +305,20 @@ def _bits(term: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return np.bitwise_or.reduceat(np.uint64(1) << (term[word] & 63).astype(np.uint64), np.cumsum(n) - n)
 
 
-def _near(weight: np.ndarray, known: np.ndarray, term: np.ndarray, b_start, b_end, one, two, cosine: float) -> np.ndarray:
+def _near(weight: np.ndarray, known: np.ndarray, any_known: np.ndarray, term: np.ndarray, b_start, b_end, one, two, cosine: float) -> np.ndarray:
     """Passages that have the share ``cosine`` ** 2 of their squared weight on
-    words of some group of items: the cosine with anything made of an item's
+    words of some group of items (``known``: that weight per term and group,
+    ``any_known``: per term, in any group): the cosine with anything made of an item's
     words is at most the root of the share on them."""
-    held = weight[term]
-    total = np.concatenate([[0], np.cumsum(held)])
-    some = np.concatenate([[0], np.cumsum(np.where(known.any(axis=1)[term], held, 0))])
-    start, end = b_start[one], b_end[two]
-    need = cosine ** 2 * (total[end] - total[start]) * (1 - 1e-5)
-    near = np.flatnonzero(some[end] - some[start] >= need)              # on words of any item, then of a group
+    total, some = (np.add.reduceat(w[term], b_start) for w in (weight, any_known))
+    twice = one != two
+    need = cosine ** 2 * (total[one] + np.where(twice, total[two], 0)) * (1 - 1e-5)
+    near = np.flatnonzero(some[one] + np.where(twice, some[two], 0) >= need)            # on words of any item, then of a group
     out = [near[:0]]
     for k in range(0, len(near), 2048):
         at = near[k: k + 2048]
         blocks_, back = np.unique(np.concatenate([one[at], two[at]]), return_inverse=True)
-        _, word = inner(b_start[blocks_], b_end[blocks_])
-        size = b_end[blocks_] - b_start[blocks_]
-        part = np.add.reduceat(known[term[word]] * held[word, None].astype(np.float32), np.cumsum(size) - size, axis=0)
+        part = sums(known, term, b_start[blocks_], b_end[blocks_])
         a, b = back[: len(at)], back[len(at):]
         most = np.where(a != b, (part[a] + part[b]).max(axis=1), part[a].max(axis=1))
         out.append(at[most >= need[at]])
@@ -287,7 +332,7 @@ def _compare(space: Space, item_ids: list, item_words: list[np.ndarray], block:
         for k in range(0, min(block, len(w)), STEP):
             term = _term(w[k:])
             start, end, _ = passages(np.array([0, len(term)]), block)
-            vectors.append(sums(space.basis[term], start, end))
+            vectors.append(sums(space.basis, term, start, end))
             bits.append(_bits(term, start, end))
             owner += [it] * len(start)
             begin += (start + k).tolist()
@@ -298,15 +343,16 @@ def _compare(space: Space, item_ids: list, item_words: list[np.ndarray], block:
     packed, idf = space.basis.astype(np.float16), space.idf          # what travels with the job
     owner, begin = np.array(owner, np.int64), np.array(begin, np.int64)
     kinds = [np.unique(w) for w in item_words]
-    known = np.zeros((TERMS, GROUPS), np.float32)
+    known = np.zeros((TERMS, GROUPS), bool)
     for it, w in enumerate(item_words):
-        known[_term(w), it % GROUPS] = 1
+        known[_term(w), it % GROUPS] = True
     known = known[:, : max(min(GROUPS, len(item_words)), 1)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight, basis = idf.astype(float) ** 2, packed.astype(np.float32)
+        in_group, in_any = known * weight[:, None].astype(np.float32), np.where(known.any(axis=1), weight, 0)
         for batch in batches:
-            for i, j, raw, offs in slices(batch, 1):
+            for i, j, raw, offs in slices(batch, 1, SLICE):
                 names, top = _words(raw, offs)
                 if not len(names) or not len(query):
                     continue
@@ -314,15 +360,13 @@ def _compare(space: Space, item_ids: list, item_words: list[np.ndarray], block:
                 b_start, b_end, b_row = blocks(top, block)
                 one, two = paired(b_row)
                 start, end, row = b_start[one], b_end[two], b_row[one]
-                near = _near(weight, known, term, b_start, b_end, one, two, cosine)
+                near = _near(weight, in_group, in_any, term, b_start, b_end, one, two, cosine)
                 best: dict[tuple[int, int], tuple] = {}
                 tried: set = set()
                 for k in range(0, len(near), 1024):
                     some = near[k: k + 1024]
                     need, back = np.unique(np.concatenate([one[some], two[some]]), return_inverse=True)
-                    _, word = inner(b_start[need], b_end[need])
-                    n = b_end[need] - b_start[need]
-                    own = np.add.reduceat(basis[term[word]], np.cumsum(n) - n, axis=0)
+                    own = sums(basis, term, b_start[need], b_end[need])
                     a, b = back[: len(some)], back[len(some):]
                     own = np.where((a != b)[:, None], own[a] + own[b], own[a])
                     own /= np.maximum(np.linalg.norm(own, axis=1, keepdims=True), 1e-30)
