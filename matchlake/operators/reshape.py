@@ -19,5 +19,9 @@ def unpivot_sides(df: DataFrame, keep: Sequence[str],
 def explode_level(df: DataFrame, array_col: str, pos_col: str, elem_col: str,
                   keep: Sequence[str | Column]) -> DataFrame:
     """``CROSS JOIN UNNEST(arr) WITH OFFSET``: one row per element with its
-    0-based position; rows whose array is NULL or empty disappear."""
-    return df.select(*keep, F.posexplode(array_col).alias(pos_col, elem_col))
+    0-based position; rows whose array is NULL or empty disappear.
+
+    The array is given as an expression: from a bare column the optimiser infers
+    a filter on its size, pushes it below the step that made the column, and a
+    document would be parsed again for every condition of that filter."""
+    return df.select(*keep, F.posexplode(F.coalesce(F.col(array_col), F.array())).alias(pos_col, elem_col))

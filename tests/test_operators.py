@@ -148,3 +148,20 @@ def test_broadcast_hints_need_a_proven_bound(spark, tmp_dir):
     # a row may become many: only an estimate
     assert not hinted(t.select(F.explode(F.sequence(F.lit(1), F.col("id"))))) and not hinted(t.join(t.withColumnRenamed("id", "i"), "k"))
     assert proven_size_bytes(t.join(t, "k")) is None
+
+
+def test_explode_level_parses_a_document_once(spark):
+    """No condition on an array is pushed below the parse that made it, where each would parse the document again."""
+    from matchlake.operators import explode_level
+    from matchlake.plans import staging
+    from matchlake.sources import read_seed
+
+    texts = ['{"info": {"match_type": "T20"}, "innings": [{"team": "a", "overs": [{"over": "0", "deliveries": [{"batter": "x"}, {"batter": "y"}]}]}]}',
+             '{"info": {}, "innings": []}', '{"info": {}}', '{"innings": [{"team": "b", "overs": null}, {"team": "c", "overs": [{"over": "1"}]}]}']
+    raw = spark.createDataFrame([(f"{k}.json", t) for k, t in enumerate(texts)], "file_name string, raw_file string")
+    rows = staging.stg_match_innings(raw, read_seed(spark, "default_powerplay"))
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("from_json(StructField(info") == 1
+    assert [tuple(r) for r in rows.select("file_name", "inning_id", "ball_in_over", "batter").orderBy("ball_in_over").collect()] == [
+        ("0.json", 1, 1, "x"), ("0.json", 1, 2, "y")]
+    df = spark.createDataFrame([(1, ["a", None]), (2, []), (3, None)], "k int, v array<string>")
+    assert sorted(map(tuple, explode_level(df, "v", "at", "x", ["k"]).collect()), key=lambda r: r[1]) == [(1, 0, "a"), (1, 1, None)]
