@@ -44,7 +44,7 @@ ANSWER = 5              # last words of an item
 FIT_TASKS = 4           # tasks that fit, or the cores if they are more; each sends a table of fixed size
 TILE = 512              # runs of rows that are added up at a time
 PIECE = 32              # rows of a run that are added up before other pieces of it
-SLICE = 1 << 16         # bytes of text that are cut into words at a time
+SLICE = 1 << 16         # bytes of text that are made terms at a time
 _SPLIT = 16             # blocks of terms that are summed apart
 
 
@@ -352,7 +352,7 @@ def _compare(space: Space, item_ids: list, item_words: list[np.ndarray], block:
         weight, basis = idf.astype(float) ** 2, packed.astype(np.float32)
         in_group, in_any = known * weight[:, None].astype(np.float32), np.where(known.any(axis=1), weight, 0)
         for batch in batches:
-            for i, j, raw, offs in slices(batch, 1, SLICE):
+            for i, j, raw, offs in slices(batch, 1):
                 names, top = _words(raw, offs)
                 if not len(names) or not len(query):
                     continue
