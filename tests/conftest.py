@@ -22,3 +22,11 @@ def tmp_dir(spark):
     from matchlake.session import scratch_dir
 
     return scratch_dir(spark, "test")
+
+
+@pytest.fixture(autouse=True)
+def nothing_cached(request):
+    """What a test caches goes with it; others look for cached tables."""
+    yield
+    if "spark" in request.fixturenames:
+        request.getfixturevalue("spark").catalog.clearCache()
