@@ -120,22 +120,25 @@ def commit_batch(rows: DataFrame, batch: str, tables: Mapping[str, str], schemas
 
     All or nothing, and once: a batch that is committed already is published if
     need be and not written again.  The first table keeps the ledger; all must
-    be on one file system.  ``schemas``: REQUIRED columns that are checked while
-    the batch is written.  Returns the rows of each table, counted by the write.
+    be on one file system.  ``schemas``: REQUIRED columns, whose nulls the write
+    counts; with any, the error names every such column, whichever task came
+    first, and nothing is committed.  Returns the rows of each table, counted by
+    the write.
     """
     spark, home = rows.sparkSession, next(iter(tables.values()))
     files = _Files(spark, home)
     known = committed(spark, home, batch)
     if known is None:
         staging = f"{home}/{STAGING}/{batch}"
-        for name, schema in (schemas or {}).items():
-            for c in required(schema):
-                broken = (F.col(ROUTE) == name) & F.col(c).isNull()
-                rows = rows.withColumn(c, F.when(broken, F.raise_error(F.lit(f"REQUIRED column {c} of {name} is null")).cast(rows.schema[c].dataType))
-                                            .otherwise(F.col(c)))
+        broken = {f"REQUIRED column {c} of {name} is null": (F.col(ROUTE) == name) & F.col(c).isNull()
+                  for name, schema in (schemas or {}).items() for c in required(schema)}
         seen = Observation()
-        counted = rows.observe(seen, *[F.count_if(F.col(ROUTE) == name).alias(name) for name in tables])
+        counted = rows.observe(seen, *[F.count_if(F.col(ROUTE) == name).alias(name) for name in tables],
+                               *[F.count_if(x).alias(told) for told, x in broken.items()])
         counted.write.mode("overwrite").partitionBy(ROUTE).parquet(staging)
+        if wrong := [f"{told} in {seen.get[told]} rows" for told in broken if seen.get[told]]:
+            files.delete(staging)
+            raise ValueError(f"batch {batch}: {'; '.join(wrong)}")
         moves = []
         for name, table in tables.items():
             own = f"{staging}/{ROUTE}={name}"

@@ -252,6 +252,23 @@ def test_required_columns(spark, tmp_dir):
     assert got == [[], ["content"], ["file_name"], ["file_name", "content"]]
 
 
+def test_a_rejected_batch_names_every_column(spark, tmp_dir):
+    """Whichever task fails first, the error is the same; nothing is staged or committed."""
+    import pytest
+
+    from matchlake.sources import batch_counts, commit_batch, ensure_table
+
+    schema, target = schemas.RAW_DOCUMENTS, f"{tmp_dir}/x"
+    rows = spark.createDataFrame([("a", "{}"), (None, "{}"), ("c", None), (None, None)], "file_name string, content string") \
+        .withColumn("file_upload_timestamp", F.current_timestamp()).withColumn("__to", F.lit("x")).repartition(4)
+    ensure_table(spark, target, schema)
+    with pytest.raises(Exception, match="file_name of x is null in 2 rows; REQUIRED column content of x is null in 2 rows"):
+        commit_batch(rows, "b", {"x": target}, {"x": schema})
+    assert not os.listdir(f"{target}/_staging".replace("file:", ""))
+    assert spark.read.parquet(target).count() == 0 and batch_counts(spark, target).count() == 0
+    assert commit_batch(rows.where("file_name = 'a'"), "b", {"x": target}, {"x": schema}) == {"x": 1}
+
+
 def test_small_files_do_not_mean_many_tasks(spark, tmp_dir):
     """Opening costs may not make a task, and a part of a table, of every few files."""
     from matchlake.sources import list_files, open_files, write_files
